@@ -1,0 +1,204 @@
+"""Operators on a table where one key holds a third of the rows or more, cut into many
+segments, against brute force in plain Python."""
+
+import bisect
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspan.operators import (
+    asof_join,
+    count_within,
+    exact_percentile,
+    find_cuts,
+    islands,
+    moving,
+    previous,
+    sessions,
+    with_lookback,
+)
+from tallyspan.operators.segments import COPIED, SEGMENT
+
+START = dt.datetime(2024, 1, 1)
+SCHEMA = "id bigint, key bigint, ts timestamp_ntz, kind string, value double"
+# 64 puts every row in the sample; 400 samples about one row in six.
+SIZES = [64, 400]
+
+
+def make_rows(seed, n=4000):
+    """Key 1 is hot, so is the null key; half of the hot key's rows share few instants."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        key = rng.choices([1, None, rng.randrange(2, 60)], [40, 20, 40])[0]
+        seconds = rng.randrange(40) * 3600 if rng.random() < 0.3 else rng.randrange(40 * 3600)
+        kind = rng.choice("ab") if seconds > 20 * 3600 else "a"
+        rows.append((i, key, START + dt.timedelta(seconds=seconds), kind, float(rng.randrange(300))))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.fixture(scope="module", params=[3, 4])
+def rows(request):
+    return make_rows(request.param)
+
+
+@pytest.fixture(scope="module")
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5).cache()
+
+
+def by_key(rows, place=lambda r: (r[2], r[0])):
+    groups = defaultdict(list)
+    for r in sorted(rows, key=place):
+        groups[r[1]].append(r)
+    return groups
+
+
+def as_set(df):
+    got = [tuple(r) for r in df.collect()]
+    return sorted(got, key=str)
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_cuts_spread_the_hot_keys(frame, rows, size):
+    cuts = find_cuts(frame, ["key"], ["ts", "id"], 4, size)
+    tagged = cuts.tag_with_overlap(frame)
+    own = tagged.where(~F.col(COPIED))
+    assert sorted(r.id for r in own.collect()) == list(range(len(rows)))
+    sizes = {(r["key"], r[SEGMENT]): r["count"] for r in own.groupBy("key", SEGMENT).count().collect()}
+    assert len([k for k in sizes if k[0] == 1]) > 2
+    assert len([k for k in sizes if k[0] is None]) > 1
+    assert max(sizes.values()) < 3 * size
+    copies = {
+        (r["key"], r[SEGMENT]): r["count"]
+        for r in tagged.where(COPIED).groupBy("key", SEGMENT).count().collect()
+    }
+    assert set(copies) == {k for k in sizes if k[1] > 0}
+    assert min(copies.values()) >= 4
+
+
+def test_no_cuts_without_hot_keys(frame):
+    assert find_cuts(frame, ["id"], ["ts"], 0, 64).empty
+    assert find_cuts(frame, ["key"], ["ts"], 0, 10**9).empty
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_lookback(frame, rows, size):
+    got = with_lookback(
+        frame, ["key"], ["ts", "id"], 4,
+        {
+            "one": previous("value"), "four": previous("id", 4),
+            "total": moving(F.sum("value"), 5), "n": moving(F.count("value"), 5),
+        },
+        rows_per_segment=size,
+    ).select("id", "one", "four", "total", "n")
+    expected = []
+    for group in by_key(rows).values():
+        for i, r in enumerate(group):
+            last5 = [x[4] for x in group[max(0, i - 4):i + 1]]
+            expected.append((
+                r[0], group[i - 1][4] if i else None, group[i - 4][0] if i >= 4 else None,
+                sum(last5), len(last5),
+            ))
+    assert as_set(got) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("size", SIZES + [10**9])
+def test_count_within(spark, frame, rows, size):
+    extra = spark.createDataFrame([(9001, 1, None, "a", 0.0), (9002, 1, None, "a", 0.0)], SCHEMA)
+    got = count_within(frame.unionByName(extra), ["key"], "ts", "2 hours", "n", size).select("id", "n")
+    expected = [(9001, 2), (9002, 2)]
+    for group in by_key(rows).values():
+        times = [r[2] for r in group]
+        for r in group:
+            first = bisect.bisect_left(times, r[2] - dt.timedelta(hours=2))
+            expected.append((r[0], bisect.bisect_right(times, r[2]) - first))
+    assert as_set(got) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("size", SIZES + [10**9])
+@pytest.mark.parametrize("gap", [30, 300])
+def test_sessions(frame, rows, size, gap):
+    got = sessions(frame, ["key"], "ts", "id", f"{gap} seconds", size)
+    expected = []
+    for key, group in by_key(rows).items():
+        for r in group:
+            if expected and expected[-1][0] == key and (r[2] - expected[-1][2]).total_seconds() <= gap:
+                expected[-1][2] = r[2]
+                expected[-1][3] += 1
+            else:
+                expected.append([key, r[2], r[2], 1])
+    assert as_set(got) == sorted(map(tuple, expected), key=str)
+
+
+@pytest.mark.parametrize("size", SIZES + [10**9])
+def test_islands(frame, rows, size):
+    """Kind 'a' fills the first half of the hot key, so one run covers many segments."""
+    got = islands(frame, ["key"], "ts", "id", "kind", size)
+    expected = []
+    for key, group in by_key(rows).items():
+        for r in group:
+            if expected and expected[-1][:2] == [key, r[3]]:
+                expected[-1][3] = r[2]
+                expected[-1][4] += 1
+            else:
+                expected.append([key, r[3], r[2], r[2], 1])
+    assert as_set(got) == sorted(map(tuple, expected), key=str)
+
+
+@pytest.mark.parametrize("size", SIZES + [10**9])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_asof_join(frame, rows, size, how):
+    """Right rows are kind 'b', which the first segments of the hot key lack."""
+    left = frame.where("kind = 'a'").select("key", "id", "ts")
+    right = frame.where("kind = 'b'").select(
+        "key", F.col("id").alias("r_id"), F.col("ts").alias("r_ts"), F.col("value").alias("r_value")
+    )
+    got = asof_join(left, right, ["key"], ("ts", "id"), ("r_ts", "r_id"), how, size).select(
+        "id", "r_id", "r_ts", "r_value"
+    )
+    expected = []
+    rights = by_key([r for r in rows if r[3] == "b"])
+    for r in rows:
+        if r[3] != "a":
+            continue
+        before = [x for x in rights[r[1]] if x[2] <= r[2]] if r[1] is not None else []
+        if before:
+            expected.append((r[0], before[-1][0], before[-1][2], before[-1][4]))
+        elif how == "left":
+            expected.append((r[0], None, None, None))
+    assert as_set(got) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("size", SIZES + [10**9])
+@pytest.mark.parametrize("p", [0.0, 0.5, 0.93, 1.0])
+def test_exact_percentile(spark, frame, rows, size, p):
+    missing = spark.createDataFrame([(9001, 1, START, "a", None)], SCHEMA)
+    got = exact_percentile(frame.unionByName(missing), ["key"], "value", p, "v", size)
+    expected = {}
+    for key, group in by_key(rows).items():
+        values = sorted(r[4] for r in group)
+        at = (len(values) - 1) * p
+        low = int(at)
+        high = min(low + 1, len(values) - 1)
+        expected[key] = values[low] + (at - low) * (values[high] - values[low])
+    found = {r["key"]: r["v"] for r in got.collect()}
+    assert found.keys() == expected.keys()
+    for key, v in expected.items():
+        assert found[key] == pytest.approx(v, abs=1e-9)
+
+
+def test_one_value_holds_half(spark):
+    """All rows of one instant and one value."""
+    rows = [(i, 1, START if i % 2 else START + dt.timedelta(minutes=i), "a", float(i % 3)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    counts = count_within(frame, ["key"], "ts", "1 hour", "n", 64)
+    assert counts.where("id = 1").first()["n"] == 1001
+    assert exact_percentile(frame, ["key"], "value", 0.5, "v", 64).first()["v"] == 1.0
+    cuts = find_cuts(frame, ["key"], ["ts", "id"], 0, 64)
+    biggest = cuts.tag(frame).groupBy(SEGMENT).count().agg(F.max("count")).first()[0]
+    assert biggest <= 65
