@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 SEGMENT = "__segment"
 COPIED = "__copied"
 _CUTS = "__cuts"
+_FIRST = "__first"
 
 # A key is split once it holds about this many rows.
 ROWS_PER_SEGMENT = 1_000_000
@@ -34,6 +35,8 @@ SAMPLES_PER_SEGMENT = 64
 # MAX_HOT_KEYS holds less than 1 / MAX_HOT_KEYS of the rows, so it is not hot.
 MAX_HOT_KEYS = 10_000
 MAX_SAMPLES = 4_000_000
+# Cuts in one node of the tree.
+_FANOUT = 32
 _SEED = 17
 
 
@@ -41,64 +44,62 @@ _SEED = 17
 class Cuts:
     """Where the rows of hot keys are cut.
 
-    ``table`` has one row per hot key, with a sorted array of (cut, tail) pairs. A
-    segment starts at its cut. The rows from ``tail`` up to the next cut number
-    at least ``overlap``, being rows of the sample. ``table`` is None where no key is hot.
+    A hot key has a sorted list of (cut, tail) pairs: a segment starts at its cut, and
+    at least ``overlap`` rows lie from ``tail`` up to the cut. The list is kept as a
+    tree of small arrays, since a join copies the array it finds into each row.
+    ``levels`` goes from the root to the leaves; it is empty where no key is hot.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    overlap: int
-    table: DataFrame | None
-    longest: int
+    levels: tuple[DataFrame, ...]
 
     @property
     def empty(self) -> bool:
-        return self.table is None
+        return not self.levels
 
     def _place(self, df: DataFrame) -> DataFrame:
-        """Add the array of cuts (null unless the key is hot) and the segment number."""
-        df = join_small(df, self.table, self.keys, "left")
+        """Add the segment number, and the leaf (null unless the key is hot)."""
         here = F.struct(*[F.col(c) for c in self.order])
-        # The number of cuts at or before the row, found bit by bit from the highest.
-        steps = [1 << bit for bit in reversed(range(self.longest.bit_length()))]
-        found = F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda n, step: F.when(
-                F.get(F.col(_CUTS), n + step - 1)["cut"] <= here, n + step
-            ).otherwise(n),
-        )
-        return df.withColumn(
-            SEGMENT, F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(found)
-        )
+        df = df.withColumn(SEGMENT, F.lit(0))
+        for level in self.levels:
+            df = join_small(df.drop(_CUTS, _FIRST), level, [*self.keys, SEGMENT], "left")
+            passed = _count_at_or_before(F.col(_CUTS), here)
+            # Of a node's cuts each starts a child; rows before all are in the first.
+            number = passed if level is self.levels[-1] else F.greatest(passed - 1, F.lit(0))
+            df = df.withColumn(
+                SEGMENT,
+                F.when(F.col(_CUTS).isNull(), 0).otherwise(F.col(SEGMENT) * _FANOUT + number),
+            )
+        return df
 
     def tag(self, df: DataFrame) -> DataFrame:
         """``df`` with a segment number."""
-        return self._place(df).drop(_CUTS)
+        return self._place(df).drop(_CUTS, _FIRST)
 
     def tag_with_overlap(self, df: DataFrame) -> DataFrame:
         """``df`` with a segment number, plus a copy of the last rows of each segment
         in the segment after it. The copies carry ``COPIED`` = true and number at
         least ``overlap``. This is a map step: it adds no shuffle."""
         here = F.struct(*[F.col(c) for c in self.order])
+        following = F.get(F.col(_CUTS), F.col(SEGMENT) - F.col(_FIRST))
         own = F.struct(F.col(SEGMENT).alias("segment"), F.lit(False).alias("copied"))
         after = F.struct((F.col(SEGMENT) + 1).alias("segment"), F.lit(True).alias("copied"))
-        in_tail = F.get(F.col(_CUTS), F.col(SEGMENT))["tail"] <= here
+        in_tail = following["tail"] <= here
         placed = self._place(df).withColumn(
             "__at", F.explode(F.when(in_tail, F.array(own, after)).otherwise(F.array(own)))
         )
         return placed.withColumns(
             {SEGMENT: F.col("__at.segment"), COPIED: F.col("__at.copied")}
-        ).drop(_CUTS, "__at")
+        ).drop(_CUTS, _FIRST, "__at")
 
     def hot(self, df: DataFrame) -> DataFrame:
         """The rows of hot keys only."""
-        return join_small(df, self.table.select(*self.keys), self.keys, "left_semi")
+        return join_small(df, self.levels[0].select(*self.keys), self.keys, "left_semi")
 
     def cold(self, df: DataFrame) -> DataFrame:
         """The rows of all other keys."""
-        return join_small(df, self.table.select(*self.keys), self.keys, "left_anti")
+        return join_small(df, self.levels[0].select(*self.keys), self.keys, "left_anti")
 
 
 def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -128,7 +129,7 @@ def find_cuts(
     if overlap >= SAMPLES_PER_SEGMENT:
         raise ValueError(f"overlap must be below {SAMPLES_PER_SEGMENT}")
     keys, order = tuple(keys), tuple(order)
-    none = Cuts(keys, order, overlap, None, 0)
+    none = Cuts(keys, order, ())
     fraction = min(1.0, SAMPLES_PER_SEGMENT / rows_per_segment)
     hot = (
         _sample(df.select(*keys), fraction)
@@ -165,15 +166,47 @@ def find_cuts(
     for r in sorted(rows, key=lambda r: r["__n"]):
         # Equal cuts, from ties in the order, become one.
         found.setdefault(tuple(r[c] for c in keys), {}).setdefault(tuple(r["cut"]), tuple(r["tail"]))
-    if not found:
-        return none
     place_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
+    lists = {key: list(cuts.items()) for key, cuts in found.items()}
+    return Cuts(keys, order, _tree(spark, lists, key_type, place_type))
+
+
+def _tree(
+    spark: SparkSession,
+    lists: dict[tuple, list[tuple]],
+    key_type: T.StructType,
+    place_type: T.StructType,
+) -> tuple[DataFrame, ...]:
+    """Small tables, root first, of the nodes over each key's list of (cut, tail)."""
     pair_type = T.StructType([T.StructField("cut", place_type), T.StructField("tail", place_type)])
-    table = spark.createDataFrame(
-        [(*key, list(cuts.items())) for key, cuts in found.items()],
-        T.StructType([*key_type.fields, T.StructField(_CUTS, T.ArrayType(pair_type))]),
+    node_type = T.StructType([
+        *key_type.fields,
+        T.StructField(SEGMENT, T.IntegerType()),
+        T.StructField(_FIRST, T.IntegerType()),
+        T.StructField(_CUTS, T.ArrayType(pair_type)),
+    ])
+    levels = []
+    while lists:
+        # A node also shows the first cut of the next one, for the tail ahead of it.
+        nodes = [
+            (*key, first // _FANOUT, first, pairs[first:first + _FANOUT + 1])
+            for key, pairs in lists.items()
+            for first in range(0, len(pairs), _FANOUT)
+        ]
+        levels.insert(0, spark.createDataFrame(nodes, node_type))
+        tall = max(len(pairs) for pairs in lists.values()) > _FANOUT
+        lists = {key: pairs[::_FANOUT] for key, pairs in lists.items()} if tall else {}
+    return tuple(levels)
+
+
+def _count_at_or_before(cuts: Column, here: Column) -> Column:
+    """How many of the sorted cuts are at or before a place, found bit by bit."""
+    steps = [1 << bit for bit in reversed(range(_FANOUT.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda n, step: F.when(F.get(cuts, n + step - 1)["cut"] <= here, n + step).otherwise(n),
     )
-    return Cuts(keys, order, overlap, table, max(len(c) for c in found.values()))
 
 
 def _sample(df: DataFrame, fraction: float) -> DataFrame:

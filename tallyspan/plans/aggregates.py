@@ -110,13 +110,12 @@ def median_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY user_id
 """)
 def event_counts_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provisional P13: pivot. The values are given, so no job runs to find them."""
+    """Provisional P13: pivot to columns. With the values known, a count per column
+    needs one shuffle; ``pivot`` makes two, by (user, type) and then by user."""
     return (
         read_table(spark, sf_dir, "events")
         .groupBy("user_id")
-        .pivot("event_type", EVENT_TYPES)
-        .agg(F.count(F.lit(1)))
-        .fillna(0, EVENT_TYPES)
+        .agg(*[F.count_if(F.col("event_type") == kind).alias(kind) for kind in EVENT_TYPES])
     )
 
 

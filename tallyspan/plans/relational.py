@@ -191,14 +191,13 @@ def largest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def parts_above_brand_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P30: correlated scalar subquery, which the optimizer turns into an
-    aggregate and a join. Price times count is held against the sum, since an average
-    is rounded."""
+    aggregate and a join. The quotient has 18 places, so a price that differs from the
+    average does so in the quotient too."""
     read_table(spark, sf_dir, "part").createOrReplaceTempView("tallyspan_part")
     return spark.sql("""
         SELECT p_partkey, p_brand, p_retailprice
         FROM tallyspan_part p
-        WHERE CAST(p_retailprice AS DECIMAL(12,2))
-              * (SELECT count(p_retailprice) FROM tallyspan_part q WHERE q.p_brand = p.p_brand)
-            > (SELECT sum(CAST(p_retailprice AS DECIMAL(12,2)))
-               FROM tallyspan_part q WHERE q.p_brand = p.p_brand)
+        WHERE CAST(p_retailprice AS DECIMAL(12,2)) > (
+            SELECT sum(CAST(p_retailprice AS DECIMAL(12,2))) / count(p_retailprice)
+            FROM tallyspan_part q WHERE q.p_brand = p.p_brand)
     """)

@@ -31,7 +31,7 @@ def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P27: date and string functions."""
     return read_table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"),
+        F.substring(F.to_date("o_orderdate").cast("string"), 1, 7).alias("order_month"),
         F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("priority_rank"),
         F.upper(F.substring("o_orderpriority", 3, 4)).alias("priority_code"),
         F.quarter("o_orderdate").alias("order_quarter"),

@@ -3,7 +3,9 @@ batch query over the same windows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.plans.registry import query
@@ -55,7 +57,11 @@ def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available(once, run_folder(spark, "first-deliveries"))
 
 
-# Errors arrive 7 days late. An arrival period is 10 days; the stream runs after each.
+# How late errors arrive, and how often the stream runs.
+LATE_BY = dt.timedelta(days=7)
+ARRIVAL_PERIOD = dt.timedelta(days=10)
+
+
 @query("""
     WITH arrivals AS (
         SELECT ts, event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -81,15 +87,25 @@ def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = run_folder(spark, "late")
     events = read_table(spark, sf_dir, "events")
-    arrival = F.when(F.col("event_type") == "error", F.col("ts") + F.expr("INTERVAL 7 DAY")).otherwise(
-        F.col("ts")
-    )
-    span = events.agg(F.min(F.to_date("ts")).alias("first"), F.max(F.to_date(arrival)).alias("last")).first()
-    period = F.floor(F.datediff(arrival, F.lit(span["first"])) / 10)
-    arrivals = events.withColumn("period", period)
-    for n in range((span["last"] - span["first"]).days // 10 + 1):
-        arrivals.where(F.col("period") == n).drop("period").write.mode("append").parquet(f"{folder}/in")
+    late = F.col("event_type") == "error"
+    seen = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    start = seen["first"].replace(hour=0, minute=0, second=0, microsecond=0)
+    end = seen["last"] + LATE_BY
+    while start <= end:
+        stop = start + ARRIVAL_PERIOD
+        # Ranges of the time itself, which reach the scan.
+        arrived = (~late & _from_to("ts", start, stop)) | (
+            late & _from_to("ts", start - LATE_BY, stop - LATE_BY)
+        )
+        events.where(arrived).write.mode("append").parquet(f"{folder}/in")
         stream = stream_table(spark, f"{folder}/in", "events")
         counts = window_counts(stream, "ts", "1 hour", "1 day", ["event_type"])
         final = run_available(counts, f"{folder}/out")
+        start = stop
     return final
+
+
+def _from_to(column: str, start: dt.datetime, stop: dt.datetime) -> Column:
+    return (F.col(column) >= F.lit(str(start)).cast("timestamp_ntz")) & (
+        F.col(column) < F.lit(str(stop)).cast("timestamp_ntz")
+    )

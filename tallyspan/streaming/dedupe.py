@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -14,15 +15,16 @@ def first_deliveries(stream: DataFrame, keys: Sequence[str], time: str, delay: s
     """One row per key out of rows delivered any number of times.
 
     A copy is dropped if it comes while the latest time seen is within ``delay`` of
-    the first one; state is kept no longer. Copies that lie in one Arrow batch are dropped before the shuffle, so
-    a row delivered very many times does not send them all to one task.
+    the first one; state is kept no longer. Copies that lie in one Arrow batch are
+    dropped before the shuffle, so a row delivered very many times does not send them
+    all to one task.
     """
     keys = list(keys)
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = pa.table(
-                [*(batch.column(k) for k in keys), pa.array(range(batch.num_rows), pa.int64())],
+                [*(batch.column(k) for k in keys), pa.array(np.arange(batch.num_rows))],
                 names=[*keys, "__place"],
             )
             firsts = places.group_by(keys).aggregate([("__place", "min")])

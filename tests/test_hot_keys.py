@@ -20,6 +20,7 @@ from tallyspan.operators import (
     sessions,
     with_lookback,
 )
+from tallyspan.operators import segments
 from tallyspan.operators.segments import COPIED, SEGMENT
 
 START = dt.datetime(2024, 1, 1)
@@ -86,6 +87,28 @@ def test_no_cuts_without_hot_keys(frame):
     assert find_cuts(frame, ["key"], ["ts"], 0, 10**9).empty
 
 
+def test_cuts_of_a_tall_tree(spark, monkeypatch):
+    """Three levels of nodes for one key, one for another."""
+    monkeypatch.setattr(segments, "_FANOUT", 4)
+    rows = [(i, 1 if i % 5 else 2, START + dt.timedelta(seconds=i // 3), "a", 0.0) for i in range(6000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    cuts = find_cuts(frame, ["key"], ["ts", "id"], 2, 64)
+    assert len(cuts.levels) == 4
+    tagged = cuts.tag_with_overlap(frame).select("key", "id", SEGMENT, COPIED).collect()
+    own = defaultdict(list)
+    copied = defaultdict(list)
+    for r in tagged:
+        (copied if r[COPIED] else own)[(r["key"], r[SEGMENT])].append(r["id"])
+    for key in (1, 2):
+        numbers = sorted(s for k, s in own if k == key)
+        assert numbers == list(range(len(numbers)))
+        assert all(len(own[key, s]) == 64 for s in numbers[1:-1])
+        for s in numbers[1:]:
+            assert max(own[key, s - 1]) < min(own[key, s])
+            assert sorted(copied[key, s]) == sorted(own[key, s - 1])[-2:]
+    assert sum(len(v) for v in own.values()) == 6000
+
+
 @pytest.mark.parametrize("size", SIZES)
 def test_lookback(frame, rows, size):
     got = with_lookback(
