@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,6 +13,7 @@ from tallyspan.operators.segments import (
     COPIED,
     ROWS_PER_SEGMENT,
     SEGMENT,
+    Cuts,
     find_cuts,
     join_small,
 )
@@ -63,64 +65,66 @@ def count_within(
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Add the number of rows of the same key from ``span`` before the row's time up
-    to that time, both ends included. ``span`` is an interval, such as '1 day'.
+    to that time, both ends included. ``span`` is a day-time interval, such as '1 day'.
+    Rows without a time count each other.
 
-    Without hot keys this is a range window. A hot key is counted by differences:
-    the rows of each instant count up at that instant and down again when they fall
-    out of the span, so the count is a running sum, which can be cut anywhere and
-    continued from the total of the segments before.
+    Counted by differences: a row counts up at its time and down once it falls out of
+    the span, and the count is the running sum. That is linear, where a window with a
+    range frame adds its frame up anew for each row.
     """
     cuts = find_cuts(df, keys, [time], 0, rows_per_segment)
-    length = F.expr(f"INTERVAL {span}")
-    if cuts.empty:
-        return _count_in_range(df, keys, time, span, name)
-
+    if not cuts.tied:
+        return _count_by_rows(df, cuts, keys, time, span, name)
+    # Very many rows of a hot key share an instant. Count them per instant first, so
+    # that one task gets each instant once, and join the counts to the rows.
     hot = cuts.hot(df)
-    instants = hot.where(F.col(time).isNotNull()).groupBy(*keys, time).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    # Step 0 adds the rows of an instant, step 1 takes those a span older away:
-    # the end is included, so the count at an instant is read between the two.
-    change = F.explode(F.array(
-        F.struct(F.col(time).alias("at"), F.lit(0).alias("step"), F.col("__rows").alias("n")),
-        F.struct((F.col(time) + length).alias("at"), F.lit(1).alias("step"),
-                 (-F.col("__rows")).alias("n")),
-    ))
-    changes = instants.select(*keys, change.alias("__c")).select(
-        *keys, F.col("__c.at").alias(time), F.col("__c.step").alias("__step"),
-        F.col("__c.n").alias("__n"),
-    )
-    tagged = cuts.tag(changes)
-    by_segment = W.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(W.unboundedPreceding, -1)
-    before = tagged.groupBy(*keys, SEGMENT).agg(F.sum("__n").alias("__n")).select(
-        *keys, SEGMENT, F.sum("__n").over(by_segment).alias("__before")
-    )
-    in_segment = W.partitionBy(*keys, SEGMENT).orderBy(time, "__step")
-    running = F.sum("__n").over(in_segment.rowsBetween(W.unboundedPreceding, 0))
-    counts = (
-        join_small(tagged.withColumn("__run", running), before, [*keys, SEGMENT], "left")
-        .where(F.col("__step") == 0)
-        .select(*keys, time, (F.col("__run") + F.coalesce("__before", F.lit(0))).alias(name))
-    )
-    # Null times have no place on the axis; the range window counts them as one group.
-    untimed = hot.where(F.col(time).isNull())
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
-    timed = hot.where(F.col(time).isNotNull()).alias("l").join(
-        counts.alias("r"), [*same, F.col(f"l.{time}") == F.col(f"r.{time}")]
-    ).select("l.*", F.col(f"r.{name}").alias(name))
-    nulls = join_small(
-        untimed, untimed.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, "inner"
-    )
-    cold = _count_in_range(cuts.cold(df), keys, time, span, name)
-    return cold.unionByName(timed).unionByName(nulls)
+    instants = hot.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = _count_by_rows(instants, cuts, keys, time, span, name, F.col("__rows"))
+    by = [*keys, time]
+    right = counts.select(*[F.col(c).alias(f"__r_{c}") for c in by], name)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in by])
+    counted = hot.join(right, same).select(*df.columns, name)
+    plain = Cuts(cuts.keys, cuts.order)
+    return _count_by_rows(cuts.cold(df), plain, keys, time, span, name).unionByName(counted)
 
 
-def _count_in_range(
-    df: DataFrame, keys: Sequence[str], time: str, span: str, name: str
+def _count_by_rows(
+    df: DataFrame,
+    cuts: Cuts,
+    keys: Sequence[str],
+    time: str,
+    span: str,
+    name: str,
+    rows: Column | None = None,
 ) -> DataFrame:
-    by = ", ".join(f"`{c}`" for c in keys)
-    counted = F.expr(
-        f"count(1) OVER (PARTITION BY {by} ORDER BY `{time}` "
-        f"RANGE BETWEEN INTERVAL {span} PRECEDING AND CURRENT ROW)"
+    """Count as ``count_within``, for rows that stand for ``rows`` rows each."""
+    rows = F.lit(1) if rows is None else rows
+    # Step 0 counts up at the row's time and keeps its other columns; step 1 counts
+    # down a span later. The end is included, so step 1 comes after step 0.
+    later = F.col(time) + F.expr(f"INTERVAL {span}")
+    changes = F.array(
+        F.struct(F.col(time).alias("at"), F.lit(0).alias("step"), rows.alias("n")),
+        F.struct(later.alias("at"), F.lit(1).alias("step"), (-rows).alias("n")),
+    )
+    kept = [c for c in df.columns if c not in keys and c != time]
+    steps = df.withColumn("__c", F.explode(changes)).select(
+        *keys, F.col("__c.at").alias(time), F.col("__c.step").alias("__step"),
+        F.col("__c.n").alias("__change"),
+        *[F.when(F.col("__c.step") == 0, F.col(c)).alias(c) for c in kept],
     )
-    return df.withColumn(name, counted)
+    by = list(keys) if cuts.empty else [*keys, SEGMENT]
+    steps = steps if cuts.empty else cuts.tag(steps)
+    # A range frame takes in the rows of the same instant.
+    so_far = W.partitionBy(*by).orderBy(time, "__step").rangeBetween(W.unboundedPreceding, 0)
+    counted = steps.withColumn(name, F.sum("__change").over(so_far)).where(F.col("__step") == 0)
+    if not cuts.empty:
+        earlier = W.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(W.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+        handed_on = (
+            cuts.hot(steps).groupBy(*by).agg(F.sum("__change").alias("__n"))
+            .select(*by, before)
+        )
+        counted = join_small(counted, handed_on, by, "left").withColumn(
+            name, F.col(name) + F.coalesce("__before", F.lit(0))
+        )
+    return counted.select(*df.columns, name)

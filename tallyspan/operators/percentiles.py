@@ -22,13 +22,13 @@ def exact_percentile(
     """The percentile ``p`` of ``value`` per key, interpolated between neighbours. Nulls
     do not count.
 
-    The built-in holds every distinct value of a group in one task, which a group of
-    moderate size allows. The values of a hot key are cut into segments instead: the
-    segment sizes tell which one or two hold the percentile, and only their rows are
-    put in order.
+    The built-in holds the distinct values of a group in one task. Where they are more
+    than ``rows_per_segment``, the values are cut into segments instead: the segment
+    sizes tell which one or two hold the percentile, and only their rows are put in
+    order.
     """
     df = df.select(*keys, value).where(F.col(value).isNotNull())
-    cuts = find_cuts(df, keys, [value], 0, rows_per_segment)
+    cuts = find_cuts(df, keys, [value], 0, rows_per_segment, distinct=True)
     built_in = F.percentile(value, p).alias(name)
     if cuts.empty:
         return df.groupBy(*keys).agg(built_in)

@@ -13,7 +13,7 @@ from tallyspan.operators.segments import (
     ROWS_PER_SEGMENT,
     SEGMENT,
     find_cuts,
-    join_small,
+    in_order,
 )
 
 
@@ -73,44 +73,47 @@ def _runs(
     in ``same`` are alike in all rows of a run."""
     time = order[0]
     place = F.struct(*order)
-    values = F.struct(*order, *[c for c in same if c not in order])
     summary = [
-        F.min(time).alias("__from"), F.max(time).alias("__to"),
-        F.count(F.lit(1)).alias("__rows"),
+        F.min(time).alias("__from"), F.max(time).alias("__to"), F.count(F.lit(1)).alias("__rows")
     ]
     cuts = find_cuts(df, keys, order, 1, rows_per_segment)
     by = list(keys) if cuts.empty else [*keys, SEGMENT]
-    rows = df if cuts.empty else cuts.tag_with_overlap(df)
-    in_order = W.partitionBy(*by).orderBy(*order)
-    so_far = in_order.rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn("__before", F.lag(values).over(in_order))
+    rows = in_order(df if cuts.empty else cuts.tag_with_overlap(df), by, order)
+    window = W.partitionBy(*by).orderBy(*order)
+    so_far = window.rowsBetween(W.unboundedPreceding, 0)
+    before = F.lag(F.struct(*order, *[c for c in same if c not in order])).over(window)
+    rows = rows.withColumn("__before", before)
     first = F.col("__before").isNull() | starts(F.col("__before"))
-
+    rows = rows.withColumn("__first", F.when(first, place))
+    if not cuts.empty:
+        # The copied rows only serve as the row before. Segment 0 has none, and elsewhere
+        # the first row of the segment proper always has one.
+        rows = rows.where(~F.col(COPIED))
+    started = F.last("__first", ignorenulls=True)
+    rows = rows.withColumn("__run", started.over(so_far))
     if cuts.empty:
-        started = F.last(F.when(first, place), ignorenulls=True).over(so_far)
-        runs = rows.withColumn("__run", started).groupBy(*keys, "__run", *same).agg(*summary)
-        return runs.drop("__run")
+        return rows.groupBy(*keys, "__run", *same).agg(*summary)
 
-    # The copied rows only serve as the row before. Segment 0 has none, and elsewhere
-    # the first row of the segment proper always has one.
-    rows = rows.where(~F.col(COPIED))
-    started = F.last(F.when(first, place), ignorenulls=True).over(so_far)
-    parts = rows.withColumn("__run", started).groupBy(*by, "__run", *same).agg(*summary)
     # A part without a start goes on with the last run started in a segment before.
-    earlier = W.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(W.unboundedPreceding, -1)
-    handed_on = (
-        cuts.hot(parts)
-        .groupBy(*by)
-        .agg(F.max("__run").alias("__last"))
-        .select(*by, F.max("__last").over(earlier).alias("__open"))
+    # Those parts and the last run of each segment are put in order, a few per segment;
+    # every other part is a whole run and keeps to itself, known by its start.
+    whole_segment = window.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    parts = (
+        rows.withColumn("__last", started.over(whole_segment))
+        .groupBy(*by, "__run", "__last", *same)
+        .agg(*summary)
+    )
+    alone = F.when(F.col("__run") != F.col("__last"), F.col("__run"))
+    chain = (
+        W.partitionBy(*keys, "__alone").orderBy(SEGMENT, "__run")
+        .rowsBetween(W.unboundedPreceding, 0)
     )
-    whole = (
-        join_small(parts, handed_on, by, "left")
-        .withColumn("__run", F.coalesce("__run", "__open"))
-        .groupBy(*keys, "__run", *same)
+    return (
+        parts.withColumn("__alone", alone)
+        .withColumn("__run", F.last("__run", ignorenulls=True).over(chain))
+        .groupBy(*keys, "__alone", "__run", *same)
         .agg(
             F.min("__from").alias("__from"), F.max("__to").alias("__to"),
             F.sum("__rows").alias("__rows"),
         )
     )
-    return whole.drop("__run")

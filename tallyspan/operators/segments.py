@@ -25,6 +25,7 @@ SEGMENT = "__segment"
 COPIED = "__copied"
 _CUTS = "__cuts"
 _FIRST = "__first"
+_HERE = "__here"
 
 # A key is split once it holds about this many rows.
 ROWS_PER_SEGMENT = 1_000_000
@@ -36,7 +37,7 @@ SAMPLES_PER_SEGMENT = 64
 MAX_HOT_KEYS = 10_000
 MAX_SAMPLES = 4_000_000
 # Cuts in one node of the tree.
-_FANOUT = 32
+_FANOUT = 16
 _SEED = 17
 
 
@@ -46,13 +47,15 @@ class Cuts:
 
     A hot key has a sorted list of (cut, tail) pairs: a segment starts at its cut, and
     at least ``overlap`` rows lie from ``tail`` up to the cut. The list is kept as a
-    tree of small arrays, since a join copies the array it finds into each row.
+    tree of small arrays, each of which a row is held against in turn.
     ``levels`` goes from the root to the leaves; it is empty where no key is hot.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    levels: tuple[DataFrame, ...]
+    levels: tuple[DataFrame, ...] = ()
+    # Whether rows that tie in the order make a segment larger than it should be.
+    tied: bool = False
 
     @property
     def empty(self) -> bool:
@@ -60,8 +63,8 @@ class Cuts:
 
     def _place(self, df: DataFrame) -> DataFrame:
         """Add the segment number, and the leaf (null unless the key is hot)."""
-        here = F.struct(*[F.col(c) for c in self.order])
-        df = df.withColumn(SEGMENT, F.lit(0))
+        here = F.col(_HERE)
+        df = df.withColumns({SEGMENT: F.lit(0), _HERE: F.struct(*self.order)})
         for level in self.levels:
             df = join_small(df.drop(_CUTS, _FIRST), level, [*self.keys, SEGMENT], "left")
             passed = _count_at_or_before(F.col(_CUTS), here)
@@ -75,23 +78,28 @@ class Cuts:
 
     def tag(self, df: DataFrame) -> DataFrame:
         """``df`` with a segment number."""
-        return self._place(df).drop(_CUTS, _FIRST)
+        return self._place(df).drop(_CUTS, _FIRST, _HERE)
 
     def tag_with_overlap(self, df: DataFrame) -> DataFrame:
         """``df`` with a segment number, plus a copy of the last rows of each segment
         in the segment after it. The copies carry ``COPIED`` = true and number at
         least ``overlap``. This is a map step: it adds no shuffle."""
-        here = F.struct(*[F.col(c) for c in self.order])
         following = F.get(F.col(_CUTS), F.col(SEGMENT) - F.col(_FIRST))
         own = F.struct(F.col(SEGMENT).alias("segment"), F.lit(False).alias("copied"))
         after = F.struct((F.col(SEGMENT) + 1).alias("segment"), F.lit(True).alias("copied"))
-        in_tail = following["tail"] <= here
+        in_tail = following["tail"] <= F.col(_HERE)
         placed = self._place(df).withColumn(
             "__at", F.explode(F.when(in_tail, F.array(own, after)).otherwise(F.array(own)))
         )
         return placed.withColumns(
             {SEGMENT: F.col("__at.segment"), COPIED: F.col("__at.copied")}
-        ).drop(_CUTS, _FIRST, "__at")
+        ).drop(_CUTS, _FIRST, _HERE, "__at")
+
+    def segments(self) -> DataFrame:
+        """All segments of the hot keys, as keys and number."""
+        first, last = F.col(_FIRST), F.col(_FIRST) + F.least(F.size(_CUTS), F.lit(_FANOUT))
+        numbers = F.sequence(F.when(first == 0, 0).otherwise(first + 1), last)
+        return self.levels[-1].select(*self.keys, F.explode(numbers).alias(SEGMENT))
 
     def hot(self, df: DataFrame) -> DataFrame:
         """The rows of hot keys only."""
@@ -117,9 +125,13 @@ def find_cuts(
     order: Sequence[str],
     overlap: int = 0,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    distinct: bool = False,
 ) -> Cuts:
     """Find hot keys of ``df`` and cut their rows by the ``order`` columns.
 
+    With ``distinct`` a key is hot only if it has more than ``rows_per_segment``
+    different places in the order.
+
     Runs now, as one job over a sample of about SAMPLES_PER_SEGMENT rows in
     ``rows_per_segment`` of the key columns, and a second one if a key is hot. The
     sample only places the cuts; every row stays in the result, and any cuts give
@@ -129,7 +141,7 @@ def find_cuts(
     if overlap >= SAMPLES_PER_SEGMENT:
         raise ValueError(f"overlap must be below {SAMPLES_PER_SEGMENT}")
     keys, order = tuple(keys), tuple(order)
-    none = Cuts(keys, order, ())
+    none = Cuts(keys, order)
     fraction = min(1.0, SAMPLES_PER_SEGMENT / rows_per_segment)
     hot = (
         _sample(df.select(*keys), fraction)
@@ -148,6 +160,15 @@ def find_cuts(
     hot_keys = spark.createDataFrame([tuple(r[c] for c in keys) for r in hot], key_type)
     sampled = sum(r["__n"] for r in hot)
     narrow = df.select(*keys, *[c for c in order if c not in keys])
+    if distinct:
+        places = F.approx_count_distinct(F.struct(*order)).alias("__n")
+        many = (
+            join_small(narrow, hot_keys, keys, "left_semi")
+            .groupBy(*keys).agg(places).where(F.col("__n") > rows_per_segment).collect()
+        )
+        if not many:
+            return none
+        hot_keys = spark.createDataFrame([tuple(r[c] for c in keys) for r in many], key_type)
     sample = _sample(narrow, fraction * min(1.0, MAX_SAMPLES / sampled))
     in_order = W.partitionBy(*keys).orderBy(*order)
     place = F.struct(*[F.col(c) for c in order])
@@ -168,7 +189,8 @@ def find_cuts(
         found.setdefault(tuple(r[c] for c in keys), {}).setdefault(tuple(r["cut"]), tuple(r["tail"]))
     place_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
     lists = {key: list(cuts.items()) for key, cuts in found.items()}
-    return Cuts(keys, order, _tree(spark, lists, key_type, place_type))
+    tied = sum(len(pairs) for pairs in lists.values()) < len(rows)
+    return Cuts(keys, order, _tree(spark, lists, key_type, place_type), tied)
 
 
 def _tree(
@@ -200,14 +222,24 @@ def _tree(
 
 
 def _count_at_or_before(cuts: Column, here: Column) -> Column:
-    """How many of the sorted cuts are at or before a place, found bit by bit."""
-    steps = [1 << bit for bit in reversed(range(_FANOUT.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda n, step: F.when(F.get(cuts, n + step - 1)["cut"] <= here, n + step).otherwise(n),
-    )
+    """How many of a node's cuts are at or before a place.
+
+    Written out as a sum, which stays in generated code; a higher-order function over
+    the array would not, and would have the array copied into every row.
+    """
+    return reduce(lambda a, b: a + b, [
+        F.when(F.get(cuts, i)["cut"] <= here, 1).otherwise(0) for i in range(_FANOUT)
+    ])
 
 
 def _sample(df: DataFrame, fraction: float) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(fraction, seed=_SEED)
+
+
+def in_order(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Shuffle and sort as a window over (by, order) would.
+
+    Doing so ahead of the window keeps what is computed for it, such as structs, out of
+    the shuffle and the sort; the window finds the rows in place and adds neither.
+    """
+    return df.repartition(*by).sortWithinPartitions(*by, *order)
