@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 def as_instant(ts: Column | str) -> Column:
     """A wall-clock time read as UTC. Watermarks need an instant."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
     return F.make_timestamp_ltz(
         F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
-        F.extract(F.lit("SECOND"), ts if isinstance(ts, Column) else F.col(ts)), F.lit("UTC"),
+        F.extract(F.lit("SECOND"), ts), F.lit("UTC"),
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def money(amount: Column | str) -> Column:
     """An amount stored as a double, in cents exactly."""
-    return F.col(amount).cast("decimal(12,2)") if isinstance(amount, str) else amount.cast("decimal(12,2)")
+    column = F.col(amount) if isinstance(amount, str) else amount
+    return column.cast("decimal(12,2)")
 
 
 def discounted(amount: str, discount: str) -> Column:

@@ -133,10 +133,11 @@ def find_cuts(
     different places in the order.
 
     Runs now, as one job over a sample of about SAMPLES_PER_SEGMENT rows in
-    ``rows_per_segment`` of the key columns, and a second one if a key is hot. The
-    sample only places the cuts; every row stays in the result, and any cuts give
-    the same result. Rows that tie in ``order`` stay in one segment, so give a
-    unique order where ties may be many.
+    ``rows_per_segment`` of the key columns, and a second one if a key is hot. Each
+    reads ``df`` anew, so give a table or a checkpointed frame. The sample only places
+    the cuts; every row stays in the result, and any cuts give the same result. Rows
+    that tie in ``order`` stay in one segment, so give a unique order where ties may
+    be many.
     """
     if overlap >= SAMPLES_PER_SEGMENT:
         raise ValueError(f"overlap must be below {SAMPLES_PER_SEGMENT}")
@@ -170,19 +171,24 @@ def find_cuts(
             return none
         hot_keys = spark.createDataFrame([tuple(r[c] for c in keys) for r in many], key_type)
     sample = _sample(narrow, fraction * min(1.0, MAX_SAMPLES / sampled))
-    in_order = W.partitionBy(*keys).orderBy(*order)
-    place = F.struct(*[F.col(c) for c in order])
+    sorted_sample = W.partitionBy(*keys).orderBy(*order)
+    place = F.struct(*order)
     rows = (
         join_small(sample, hot_keys, keys, "left_semi")
         .select(
             *keys,
-            F.row_number().over(in_order).alias("__n"),
+            F.row_number().over(sorted_sample).alias("__n"),
             place.alias("cut"),
-            F.lag(place, overlap).over(in_order).alias("tail"),
+            F.lag(place, overlap).over(sorted_sample).alias("tail"),
+            # A cut at the first of several rows that tie has the whole overlap before it.
+            (F.lag(place).over(sorted_sample) < place).alias("__fresh"),
         )
         .where(F.col("__n") % SAMPLES_PER_SEGMENT == 0)
+        .where(F.col("__fresh") | F.lit(overlap == 0))
         .collect()
     )
+    if not rows:
+        return none
     found: dict[tuple, dict[tuple, tuple]] = {}
     for r in sorted(rows, key=lambda r: r["__n"]):
         # Equal cuts, from ties in the order, become one.

@@ -158,6 +158,29 @@ def test_sessions(frame, rows, size, gap):
     assert as_set(got) == sorted(map(tuple, expected), key=str)
 
 
+def test_sessions_with_ties_in_the_order(frame, rows):
+    """The tie column is the same in all rows, and many share an instant."""
+    got = sessions(frame.withColumn("tie", F.lit(0)), ["key"], "ts", "tie", "300 seconds", 64)
+    plain = sessions(frame, ["key"], "ts", "id", "300 seconds", 10**9)
+    assert as_set(got) == as_set(plain)
+
+
+def test_spans_of_unique_times(spark):
+    """A hot key without ties is counted segment by segment, one with ties per instant."""
+    rng = random.Random(2)
+    times = rng.sample(range(20_000), 3000)
+    rows = [(i, 1 if i % 3 else None, START + dt.timedelta(seconds=t), "a", 0.0) for i, t in enumerate(times)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert not find_cuts(frame, ["key"], ["ts"], 0, 64).tied
+    got = count_within(frame, ["key"], "ts", "1000 seconds", "n", 64).select("id", "n")
+    expected = []
+    for group in by_key(rows).values():
+        at = [r[2] for r in group]
+        for i, r in enumerate(group):
+            expected.append((r[0], i + 1 - bisect.bisect_left(at, r[2] - dt.timedelta(seconds=1000))))
+    assert as_set(got) == sorted(expected, key=str)
+
+
 @pytest.mark.parametrize("size", SIZES + [10**9])
 def test_islands(frame, rows, size):
     """Kind 'a' fills the first half of the hot key, so one run covers many segments."""
@@ -219,6 +242,7 @@ def test_one_value_holds_half(spark):
     """All rows of one instant and one value."""
     rows = [(i, 1, START if i % 2 else START + dt.timedelta(minutes=i), "a", float(i % 3)) for i in range(2000)]
     frame = spark.createDataFrame(rows, SCHEMA)
+    assert find_cuts(frame, ["key"], ["ts"], 0, 64).tied
     counts = count_within(frame, ["key"], "ts", "1 hour", "n", 64)
     assert counts.where("id = 1").first()["n"] == 1001
     assert exact_percentile(frame, ["key"], "value", 0.5, "v", 64).first()["v"] == 1.0
