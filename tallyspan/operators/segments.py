@@ -36,8 +36,9 @@ SAMPLES_PER_SEGMENT = 64
 # MAX_HOT_KEYS holds less than 1 / MAX_HOT_KEYS of the rows, so it is not hot.
 MAX_HOT_KEYS = 10_000
 MAX_SAMPLES = 4_000_000
-# Cuts in one node of the tree.
-_FANOUT = 16
+# Cuts in one node of a tree of up to two levels, and of a taller one.
+_LOW_FANOUT = 16
+_TALL_FANOUT = 64
 _SEED = 17
 
 
@@ -54,6 +55,7 @@ class Cuts:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     levels: tuple[DataFrame, ...] = ()
+    fanout: int = _LOW_FANOUT
     # Whether rows that tie in the order make a segment larger than it should be.
     tied: bool = False
 
@@ -67,12 +69,12 @@ class Cuts:
         df = df.withColumns({SEGMENT: F.lit(0), _HERE: F.struct(*self.order)})
         for level in self.levels:
             df = join_small(df.drop(_CUTS, _FIRST), level, [*self.keys, SEGMENT], "left")
-            passed = _count_at_or_before(F.col(_CUTS), here)
+            passed = _count_at_or_before(F.col(_CUTS), here, self.fanout)
             # Of a node's cuts each starts a child; rows before all are in the first.
             number = passed if level is self.levels[-1] else F.greatest(passed - 1, F.lit(0))
             df = df.withColumn(
                 SEGMENT,
-                F.when(F.col(_CUTS).isNull(), 0).otherwise(F.col(SEGMENT) * _FANOUT + number),
+                F.when(F.col(_CUTS).isNull(), 0).otherwise(F.col(SEGMENT) * self.fanout + number),
             )
         return df
 
@@ -97,7 +99,7 @@ class Cuts:
 
     def segments(self) -> DataFrame:
         """All segments of the hot keys, as keys and number."""
-        first, last = F.col(_FIRST), F.col(_FIRST) + F.least(F.size(_CUTS), F.lit(_FANOUT))
+        first, last = F.col(_FIRST), F.col(_FIRST) + F.least(F.size(_CUTS), F.lit(self.fanout))
         numbers = F.sequence(F.when(first == 0, 0).otherwise(first + 1), last)
         return self.levels[-1].select(*self.keys, F.explode(numbers).alias(SEGMENT))
 
@@ -196,12 +198,15 @@ def find_cuts(
     place_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
     lists = {key: list(cuts.items()) for key, cuts in found.items()}
     tied = sum(len(pairs) for pairs in lists.values()) < len(rows)
-    return Cuts(keys, order, _tree(spark, lists, key_type, place_type), tied)
+    longest = max(len(pairs) for pairs in lists.values())
+    fanout = _LOW_FANOUT if longest <= _LOW_FANOUT**2 else _TALL_FANOUT
+    return Cuts(keys, order, _tree(spark, lists, fanout, key_type, place_type), fanout, tied)
 
 
 def _tree(
     spark: SparkSession,
     lists: dict[tuple, list[tuple]],
+    fanout: int,
     key_type: T.StructType,
     place_type: T.StructType,
 ) -> tuple[DataFrame, ...]:
@@ -217,25 +222,33 @@ def _tree(
     while lists:
         # A node also shows the first cut of the next one, for the tail ahead of it.
         nodes = [
-            (*key, first // _FANOUT, first, pairs[first:first + _FANOUT + 1])
+            (*key, first // fanout, first, pairs[first:first + fanout + 1])
             for key, pairs in lists.items()
-            for first in range(0, len(pairs), _FANOUT)
+            for first in range(0, len(pairs), fanout)
         ]
         levels.insert(0, spark.createDataFrame(nodes, node_type))
-        tall = max(len(pairs) for pairs in lists.values()) > _FANOUT
-        lists = {key: pairs[::_FANOUT] for key, pairs in lists.items()} if tall else {}
+        more = max(len(pairs) for pairs in lists.values()) > fanout
+        lists = {key: pairs[::fanout] for key, pairs in lists.items()} if more else {}
     return tuple(levels)
 
 
-def _count_at_or_before(cuts: Column, here: Column) -> Column:
+def _count_at_or_before(cuts: Column, here: Column, fanout: int) -> Column:
     """How many of a node's cuts are at or before a place.
 
-    Written out as a sum, which stays in generated code; a higher-order function over
-    the array would not, and would have the array copied into every row.
+    For small nodes this is written out as a sum, which stays in generated code. Three
+    levels of that make a method too long for the JVM to compile, so a taller tree has
+    large nodes, searched by a fold over halving steps outside generated code.
     """
-    return reduce(lambda a, b: a + b, [
-        F.when(F.get(cuts, i)["cut"] <= here, 1).otherwise(0) for i in range(_FANOUT)
-    ])
+    if fanout == _LOW_FANOUT:
+        return reduce(lambda a, b: a + b, [
+            F.when(F.get(cuts, i)["cut"] <= here, 1).otherwise(0) for i in range(fanout)
+        ])
+    steps = [1 << bit for bit in reversed(range(fanout.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda n, step: F.when(F.get(cuts, n + step - 1)["cut"] <= here, n + step).otherwise(n),
+    )
 
 
 def _sample(df: DataFrame, fraction: float) -> DataFrame:

@@ -4,7 +4,7 @@ segments, against brute force in plain Python."""
 import bisect
 import datetime as dt
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,13 +87,17 @@ def test_no_cuts_without_hot_keys(frame):
     assert find_cuts(frame, ["key"], ["ts"], 0, 10**9).empty
 
 
-def test_cuts_of_a_tall_tree(spark, monkeypatch):
-    """Three levels of nodes for one key, one for another."""
-    monkeypatch.setattr(segments, "_FANOUT", 4)
+@pytest.mark.parametrize("low, tall, levels", [(10, 64, 2), (2, 4, 4), (3, 75, 1)])
+def test_cuts_of_a_tree(spark, monkeypatch, low, tall, levels):
+    """75 cuts for one key and 18 for the other, in trees of several shapes."""
+    monkeypatch.setattr(segments, "_LOW_FANOUT", low)
+    monkeypatch.setattr(segments, "_TALL_FANOUT", tall)
     rows = [(i, 1 if i % 5 else 2, START + dt.timedelta(seconds=i // 3), "a", 0.0) for i in range(6000)]
     frame = spark.createDataFrame(rows, SCHEMA)
     cuts = find_cuts(frame, ["key"], ["ts", "id"], 2, 64)
-    assert len(cuts.levels) == 4
+    assert len(cuts.levels) == levels
+    segs = Counter(r["key"] for r in cuts.segments().collect())
+    assert segs == {1: 76, 2: 19}
     tagged = cuts.tag_with_overlap(frame).select("key", "id", SEGMENT, COPIED).collect()
     own = defaultdict(list)
     copied = defaultdict(list)
