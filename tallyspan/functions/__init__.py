@@ -1,5 +1,8 @@
 from tallyspan.functions.clock import as_instant, as_wall_clock, day_number
-from tallyspan.functions.money import discounted, money
+from tallyspan.functions.money import amount, cents, discounted, exact_sum
 from tallyspan.functions.vectors import squared_length
 
-__all__ = ["as_instant", "as_wall_clock", "day_number", "discounted", "money", "squared_length"]
+__all__ = [
+    "amount", "as_instant", "as_wall_clock", "cents", "day_number", "discounted", "exact_sum",
+    "squared_length",
+]

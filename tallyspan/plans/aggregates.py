@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.functions import day_number, discounted, money
+from tallyspan.functions import amount, cents, day_number, discounted, exact_sum
 from tallyspan.operators import exact_percentile, rollup_totals, top_per_group
 from tallyspan.plans.registry import query
 from tallyspan.sources import read_table
@@ -33,9 +33,11 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where(F.col("l_shipdate") <= F.lit("2001-09-02").cast("timestamp_ntz"))
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
-            F.sum(money("l_quantity")).cast("double").alias("sum_qty"),
-            F.sum(money("l_extendedprice")).cast("double").alias("sum_base_price"),
-            F.sum(discounted("l_extendedprice", "l_discount")).cast("double").alias("sum_disc_price"),
+            amount(exact_sum(cents("l_quantity")), 100).alias("sum_qty"),
+            amount(exact_sum(cents("l_extendedprice")), 100).alias("sum_base_price"),
+            amount(exact_sum(discounted("l_extendedprice", "l_discount")), 10_000).alias(
+                "sum_disc_price"
+            ),
             F.max("l_extendedprice").alias("max_price"),
             F.count(F.lit(1)).alias("n_lines"),
         )
@@ -52,10 +54,10 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def part_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P9: rollup with grouping flags."""
-    part = read_table(spark, sf_dir, "part").withColumn("price", money("p_retailprice"))
+    part = read_table(spark, sf_dir, "part").withColumn("price", cents("p_retailprice").cast("decimal(18,0)"))
     totals = {"n_parts": "*", "total_price": "price"}
     return rollup_totals(part, ["p_brand", "p_type"], totals).withColumn(
-        "total_price", F.col("total_price").cast("double")
+        "total_price", amount(F.col("total_price"), 100)
     )
 
 
@@ -69,10 +71,10 @@ def part_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def part_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P10: cube."""
-    part = read_table(spark, sf_dir, "part").withColumn("price", money("p_retailprice"))
+    part = read_table(spark, sf_dir, "part").withColumn("price", cents("p_retailprice").cast("decimal(18,0)"))
     totals = {"n_parts": "*", "total_price": "price"}
     return rollup_totals(part, ["p_brand", "p_type"], totals, cube=True).withColumn(
-        "total_price", F.col("total_price").cast("double")
+        "total_price", amount(F.col("total_price"), 100)
     )
 
 

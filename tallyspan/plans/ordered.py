@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.functions import money
+from tallyspan.functions import amount, cents, exact_sum
 from tallyspan.operators import (
     asof_join,
     count_within,
@@ -74,7 +74,7 @@ def value_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = with_lookback(
         events, ["user_id"], ["ts", "event_id"], 1, {"before": previous("value")}
     )
-    change = (money("value") - money("before")).cast("double")
+    change = (cents("value") - cents("before")) / 100.0
     return changed.withColumn("change", change).drop("before")
 
 
@@ -88,13 +88,13 @@ def value_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P16: moving average over the last 5 rows."""
     events = read_table(spark, sf_dir, "events").select(
-        "user_id", "event_id", "ts", money("value").alias("value")
+        "user_id", "event_id", "ts", cents("value").alias("value")
     )
     summed = with_lookback(
         events, ["user_id"], ["ts", "event_id"], 4,
         {"total": moving(F.sum("value"), 5), "n": moving(F.count("value"), 5)},
     )
-    mean = F.round(F.col("total").cast("double") / F.col("n"), 6)
+    mean = F.round(F.col("total") / 100.0 / F.col("n"), 6)
     return summed.select("user_id", "event_id", "ts", mean.alias("mean_of_5"))
 
 
@@ -156,7 +156,7 @@ def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.window("ts", "1 hour"), "event_type")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(money("value")).cast("double").alias("total"),
+            amount(exact_sum(cents("value")), 100).alias("total"),
         )
         .select(F.col("window.start").alias("window_start"), "event_type", "n", "total")
     )
@@ -178,10 +178,10 @@ def sliding_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     panes = (
         read_table(spark, sf_dir, "events")
         .groupBy(F.window("ts", "15 minutes")["start"].alias("pane"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(money("value")).alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), exact_sum(cents("value")).alias("total"))
     )
     return (
         panes.groupBy(F.window("pane", "1 hour", "15 minutes"))
-        .agg(F.sum("n").alias("n"), F.sum("total").cast("double").alias("total"))
+        .agg(F.sum("n").alias("n"), amount(F.sum("total"), 100).alias("total"))
         .select(F.col("window.start").alias("window_start"), "n", "total")
     )

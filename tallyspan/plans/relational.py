@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.functions import discounted
+from tallyspan.functions import amount, discounted, exact_sum
 from tallyspan.operators import except_all, intersect_distinct
 from tallyspan.plans.registry import query
 from tallyspan.sources import read_table
@@ -33,7 +33,7 @@ def filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select(
             "l_orderkey", "l_partkey", "l_shipdate", "l_returnflag", "l_discount",
-            discounted("l_extendedprice", "l_discount").cast("double").alias("revenue"),
+            (discounted("l_extendedprice", "l_discount") / 10_000.0).alias("revenue"),
         )
     )
 
@@ -61,7 +61,7 @@ def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(discounted("l_extendedprice", "l_discount")).alias("revenue"),
+            exact_sum(discounted("l_extendedprice", "l_discount")).alias("revenue"),
             F.count(F.lit(1)).alias("n_lines"),
         )
     )
@@ -70,7 +70,7 @@ def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey")
         .agg(
-            F.sum("revenue").cast("decimal(34,4)").alias("revenue"),
+            F.sum("revenue").cast("decimal(34,0)").alias("revenue"),
             F.sum("n_lines").alias("n_lines"),
             F.count(F.lit(1)).alias("n_orders"),
         )
@@ -80,7 +80,7 @@ def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey")
         .agg(
-            F.sum("revenue").cast("decimal(38,4)").alias("revenue"),
+            F.sum("revenue").cast("decimal(38,0)").alias("revenue"),
             F.sum("n_lines").alias("n_lines"),
             F.sum("n_orders").alias("n_orders"),
         )
@@ -94,7 +94,7 @@ def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.sum("n_orders").alias("n_orders"),
             F.sum("n_lines").alias("n_lines"),
-            F.sum("revenue").cast("double").alias("revenue"),
+            amount(F.sum("revenue"), 10_000).alias("revenue"),
         )
     )
 

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspan.functions import as_instant, as_wall_clock, discounted, squared_length
+from tallyspan.functions import amount, as_instant, as_wall_clock, cents, discounted, exact_sum, squared_length
 from tallyspan.operators import (
     except_all,
     intersect_distinct,
@@ -107,7 +107,15 @@ def test_clock_ignores_the_session_zone(spark, zone):
 
 def test_scalar_functions(spark):
     row = spark.createDataFrame([(10.05, 0.07, [1.0, 2.0, -2.0])], "p double, d double, v array<float>").select(
-        discounted("p", "d").alias("r"), squared_length("v").alias("s")
+        cents("p").alias("c"), discounted("p", "d").alias("r"), squared_length("v").alias("s")
     )
-    assert row.dtypes == [("r", "decimal(18,4)"), ("s", "double")]
-    assert (str(row.first().r), row.first().s) == ("9.3465", 9.0)
+    assert row.dtypes == [("c", "bigint"), ("r", "bigint"), ("s", "double")]
+    assert tuple(row.first()) == (1005, 93465, 9.0)
+
+
+def test_sums_of_money_are_exact(spark):
+    """A thousand tenths, and a sum beyond what a long holds."""
+    df = spark.createDataFrame([(0.1, 9 * 10**17)] * 1000, "p double, u bigint")
+    row = df.agg(amount(exact_sum(cents("p")), 100).alias("p"), exact_sum("u").alias("u")).first()
+    assert row.p == 100.0
+    assert int(row.u) == 9 * 10**20
