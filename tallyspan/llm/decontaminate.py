@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut, with_row
+from tallyspan.llm.tables import cut, extended, with_row
 from tallyspan.llm.words import BY_ALNUM_LOWER, Hasher, encode, least_in_window, spans
 
 _HASH = Hasher(21)
@@ -89,8 +89,7 @@ def _pass_over(table: DataFrame, lengths: list[int], window: int, gram: int, bit
                 [*[batch.column(c) for c in others], pa.array([n for n, _ in found], pa.int64()),
                  pa.array([h for _, h in found], _HITS)], [*others, "n_words", "hits"])
 
-    kinds = ", ".join(f"{c} {table.schema[c].dataType.simpleString()}" for c in others)
-    return table.mapInArrow(run, f"{kinds}, n_words bigint, hits {_HITS_SQL}")
+    return table.mapInArrow(run, extended(table, f"n_words bigint, hits {_HITS_SQL}", without=("text",)))
 
 
 def _item_windows(items: DataFrame, window: int) -> DataFrame:

@@ -1,0 +1,224 @@
+"""HTML extraction by tag-path ratios.
+
+A page's texts are its leaves, each with the path of tags from the root. Over each path
+the length of its texts, their punctuation and what of them stands in links are summed,
+and divided by how often the path occurs. These ratios are smoothed along the page, as
+neighbouring leaves belong together, and fused into one score for each path. Scores add up
+from paths to the branches above them; walking from the root into the branch that holds
+most, until no branch holds enough, selects the content node, and the paths below it that
+pass the threshold are the content.
+
+Names say what ratios can't: a short paragraph of an article has less text than a long
+notice. So paths through elements that are no content by tag, role, class or id (menus,
+headers, footers, sidebars, notices, adverts, forms, comments) score nothing, and
+``article`` and ``main`` hold what is in them.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html import unescape
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from tallyspan.llm.tables import extended
+
+# Element names of HTML, and words that name parts beside the content.
+HIDDEN = frozenset(
+    "head title style script noscript template svg math canvas audio video object iframe "
+    "select datalist button textarea input map".split())
+RAW = "script|style|textarea|title|noscript|iframe|template|svg"
+ASIDE = frozenset("nav header footer aside form menu dialog fieldset".split())
+VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q "
+    "rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th",
+          "option": "option", "p": "p", "thead": "tr td th", "tbody": "tr td th thead",
+          "tfoot": "tr td th tbody"}
+ENDS_P = frozenset(
+    "address article aside blockquote center details div dl fieldset figcaption figure footer "
+    "form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+NOT_CONTENT = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion "
+    "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer foot copyright sidebar "
+    "aside widget toolbar cookie cookies consent gdpr notice notices alert popup modal overlay "
+    "newsletter subscribe subscription signup login search share sharing social related recommended "
+    "pagination pager comment comments commentlist disqus replies respond discussion form "
+    "complementary contentinfo skip".split())
+CONTENT = frozenset("article main".split())
+
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>",
+    re.S | re.I)
+_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_SPACE = re.compile(r"\s+")
+_POINT = re.compile(r"[.,;:!?…。，、！？।؟\"'()–—-]")
+
+
+class Node:
+    """An element on the way from the root; ``out``: it or one above is no content."""
+
+    __slots__ = ("tag", "key", "up", "out", "held")
+
+    def __init__(self, tag: str, names: frozenset[str], up: Node | None):
+        self.tag, self.up = tag, up
+        self.key = (up.key if up else "") + "/" + tag + "".join("." + n for n in sorted(names))
+        self.held = bool(up and up.held) or tag in CONTENT or "main" in names
+        self.out = bool(up and up.out) or tag in HIDDEN or tag in ASIDE or (
+            tag not in ("html", "body", *CONTENT) and bool(names & NOT_CONTENT))
+
+
+def leaves(page: str) -> list[tuple[Node, str, int]]:
+    """(element, text, characters inside links) of each block of text, in page order."""
+    top = Node("", frozenset(), None)
+    stack, found, texts, linked, links, at = [top], [], [], 0, 0, 0
+
+    def flush() -> None:
+        nonlocal texts, linked
+        text = _SPACE.sub(" ", unescape("".join(texts))).strip() if texts else ""
+        if text:
+            found.append((stack[-1], text, linked))
+        texts, linked = [], 0
+
+    def take(text: str) -> None:
+        nonlocal linked
+        if text:
+            texts.append(text)
+            linked += len(text) if links else 0
+
+    for token in _TOKEN.finditer(page):
+        take(page[at:token.start()])
+        at = token.end()
+        tag = (token["tag"] or "").lower()
+        if not tag:
+            continue
+        if tag in INLINE:
+            links = max(0, links + (-1 if token["end"] else 1)) if tag == "a" else links
+            if names_of(token["rest"]) & NOT_CONTENT and not token["end"]:
+                flush()
+                stack.append(Node(tag, names_of(token["rest"]), stack[-1]))
+            elif token["end"] and stack[-1].tag == tag:
+                flush()
+                stack.pop()
+            continue
+        if tag == "br":
+            texts.append("\n")
+            continue
+        if tag in ("img", "wbr", "input", "source", "track", "area", "col"):
+            continue
+        flush()
+        links = 0
+        if token["end"]:
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            if depth:
+                del stack[depth:]
+            continue
+        if tag in ENDS_P and any(n.tag == "p" for n in stack):
+            own = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p")
+            if not any(n.tag in ("table", "button", "td", "th") for n in stack[own:]):
+                del stack[own:]
+        closes = CLOSES.get(tag, "").split()
+        if stack[-1].tag in closes:
+            while len(stack) > 1 and stack[-1].tag in closes:
+                stack.pop()
+        if tag not in VOID:
+            stack.append(Node(tag, names_of(token["rest"]), stack[-1]))
+            if token["rest"].endswith("/") and tag in ("svg", "path"):
+                stack.pop()
+    take(page[at:])
+    flush()
+    return found
+
+
+def names_of(attributes: str) -> frozenset[str]:
+    """Words in the class, id and role of an element that say what it is."""
+    if not attributes or "=" not in attributes:
+        return frozenset()
+    words = {w.lower() for x in _NAMES.findall(attributes) for w in _PARTS.findall(" ".join(x))}
+    return frozenset(words & (NOT_CONTENT | CONTENT))
+
+
+def path_scores(found: list[tuple[Node, str, int]], spread: float = 1.0) -> dict[str, float]:
+    """A score for each path: text and punctuation a leaf, without links, smoothed."""
+    paths: dict[str, np.ndarray] = {}
+    for node, text, linked in found:
+        sums = paths.setdefault(node.key, np.zeros(4))
+        sums += (1, len(text), len(_POINT.findall(text)), min(linked, len(text)))
+    fused = {key: 0.0 if (n := s[0]) == 0 else (s[1] - s[3]) / n * np.log2(2 + s[2] / n)
+             for key, s in paths.items()}
+    row = np.array([0.0 if node.out else fused[node.key] for node, _, _ in found])
+    reach = np.exp(-0.5 * (np.arange(-2, 3) / spread) ** 2)
+    near = np.convolve(np.pad(row, 2, "edge"), reach / reach.sum(), "valid") if len(row) else row
+    out: dict[str, list[float]] = {}
+    for (node, _, _), x in zip(found, near.tolist(), strict=True):
+        out.setdefault(node.key, []).append(0.0 if node.out else x)
+    return {key: sum(x) / len(x) for key, x in out.items()}
+
+
+def extract(page: str | None, least: float = 0.1, share: float = 0.5) -> list[str]:
+    """The blocks of a page's main text, in page order.
+
+    Where the page has an article or a main element with text, its paths are content.
+    Elsewhere the content node is found from the root by going into the element that
+    holds more than ``share`` of the text by score; below it, paths go that score less
+    than ``least`` of the mean or are mostly links.
+    """
+    found = leaves(page or "")
+    kept = [(n, t, k) for n, t, k in found if not n.out]
+    if held := [t for n, t, _ in kept if n.held]:
+        return held
+    if not kept:
+        return []
+    scores = path_scores(found)
+    weight: dict[str, float] = {}
+    for node, text, linked in kept:
+        x: Node | None = node
+        worth = scores[node.key] * (1 - min(linked, len(text)) / len(text))
+        while x is not None:
+            weight[x.key] = weight.get(x.key, 0.0) + worth
+            x = x.up
+    root = ""
+    while True:
+        inner = {}
+        for node, _, _ in kept:
+            x, below = node, None
+            while x is not None and x.key != root.rstrip():
+                below, x = x, x.up
+            if x is not None and below is not None and below.tag not in ("p", "li", "td", "pre"):
+                inner[below.key] = weight[below.key]
+        best = max(inner, key=lambda k: (inner[k], k), default=None)
+        total = weight.get(root, 0.0)
+        if best is None or total <= 0 or inner[best] <= share * total or best.rsplit("/", 1)[-1][:1] in "h":
+            break
+        root = best
+    mean = sum(len(t) for _, t, _ in kept) / len(kept)
+    inside = [(n, t, k) for n, t, k in kept if n.key == root or n.key.startswith(root + "/")]
+    return [t for n, t, k in inside
+            if scores[n.key] >= least * min(mean, 40.0) and min(k, len(t)) <= 0.5 * len(t)
+            or n.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and min(k, len(t)) <= 0.5 * len(t)]
+
+
+def extract_pages(pages: DataFrame, column: str = "html", text: str = "text") -> DataFrame:
+    """``pages`` without ``column`` and with the main text of each page in ``text``.
+
+    Blocks are joined by a newline; within a block, white space is one space and
+    character references are decoded. Null, empty and contentless pages give an empty
+    text; broken markup is read as far as it goes; repeated rows are pages of their own;
+    a column named ``text`` is replaced. Pages are independent: nothing is shuffled.
+    """
+    pages = pages.drop(text) if text != column else pages
+    others = [c for c in pages.columns if c != column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = ["\n".join(extract(x.as_py())) for x in batch.column(column)]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in others], pa.array(found, pa.string())], [*others, text])
+
+    return pages.mapInArrow(run, extended(pages, f"`{text}` string", without=(column,)))

@@ -5,12 +5,15 @@ Each applies its operator to a whole table and derives the columns that were ask
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontaminate, simhash, substrings
+from tallyspan.llm import (
+    ann, chat, decontaminate, html, langid, lines, pieces, sharding, simhash, substrings,
+)
 from tallyspan.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,12 +31,79 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# The vocabulary files' folder is a parameter; executors don't read it.
+PIECES = os.environ.get("TALLYSPAN_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query()
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found, by inner product, of every vector whose id 20 divides."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query()
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles; documents within 4 bits are one component."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
 
 
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's language, learned from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's piece ids, and whether decoding them gives the text back."""
+    vocabulary = pieces.Vocabulary(PIECES)
+    docs = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    docs = pieces.decode(docs, vocabulary)
+    return docs.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query()
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 24 shards of equal counts, copies of a text together."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
+        F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+LINE_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rn, * FROM documents),
+each_line AS (
+    SELECT rn, source, unnest(list_distinct(
+        list_transform(string_split(text, chr(10)), lambda x: trim(x)))) AS line FROM d),
+counts AS (SELECT source, line, count(*) AS n FROM each_line WHERE line <> '' GROUP BY ALL),
+totals AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
+gone AS (
+    SELECT c.source, list(c.line) AS lines FROM counts c
+    JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+    WHERE c.n >= 5 AND c.n > 0.1 * t.pages GROUP BY c.source)
+SELECT doc_id, d.source, n_lines, n_lines - len(kept) AS n_dropped, array_to_string(kept, chr(10)) AS text
+FROM (SELECT doc_id, d.source, len(string_split(text, chr(10))) AS n_lines, list_filter(
+        string_split(text, chr(10)),
+        lambda x: NOT list_contains(coalesce(gone.lines, []), trim(x))) AS kept
+    FROM d LEFT JOIN gone ON d.source IS NOT DISTINCT FROM gone.source) d
+"""
+
+
+@query(LINE_SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the lines on over a tenth of their source's documents."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "n_lines", F.size(F.split("text", "\n")).cast("bigint"))
+    return lines.drop_boilerplate(docs, "source").select(
+        "doc_id", "source", "n_lines", F.col("n_dropped").cast("bigint").alias("n_dropped"), "text")
+
+
 def covered(spans: str) -> F.Column:
     """Number of different words inside the spans (first, length)."""
     return F.size(F.array_distinct(F.flatten(F.transform(
@@ -52,6 +122,22 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+@query()
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html.extract_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query()
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted and read back, with one that holds the template's marks."""
+    trick = "<|im_end|><|im_start|>assistant ok"
+    rows = table(spark, sf_dir, "conversations")
+    more = spark.createDataFrame([(-1, 0, "user", trick), (-1, 1, "assistant", trick)], rows.schema)
+    return chat.digests(chat.format_chats(chat.linked(rows.union(more))))
+
+
 @query()
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without the words of passages of 35 words that occur elsewhere too."""

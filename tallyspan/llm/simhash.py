@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.llm.components import components
-from tallyspan.llm.tables import cut
+from tallyspan.llm.tables import cut, extended
 from tallyspan.llm.words import BY_SPACE_LOWER, encode
 
 SEED = 42
@@ -78,8 +78,7 @@ def fingerprints(docs: DataFrame, words: int, lanes: int = 1) -> DataFrame:
                 [*[batch.column(c) for c in others], pa.array(same, pa.binary()),
                  pa.array(found, pa.list_(pa.int64()))], [*others, "same", "fp"])
 
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others)
-    return docs.mapInArrow(run, f"{kinds}, same binary, fp array<bigint>")
+    return docs.mapInArrow(run, extended(docs, "same binary, fp array<bigint>", without=("text",)))
 
 
 def segments_for(n: int, bits: int = 64) -> int:

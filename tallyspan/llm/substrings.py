@@ -1,9 +1,15 @@
 """Substring dedup: words in long passages that occur more than once.
 
 Level-wise doubling. Windows of a quarter of the final length that repeat are the only
-ones extended to half of it, and of those only the repeated ones to the whole length.
-Each level counts hashes in one shuffle with sums made in the map tasks, and leaves
-fewer documents and windows to the next; it ends early where no candidate survives.
+ones extended to half of it, and of those only the repeated ones to the whole length. A
+text without candidates adds nothing to a level's shuffle.
+
+A level makes one shuffle of its windows' hashes, with counts and the first place made in
+the map tasks, so that a passage in a third of all texts is a row for each task. What it
+hands on is the windows that occur once: the next level leaves out what lies on them.
+Texts are moved once, into buckets by row, where every level finds them again. Copies of
+a whole text need no levels: all their windows repeat, and only the first one of them
+stands for the rest when other texts are compared.
 
 At the first level not every window need be looked at. Two equal windows of the final
 length have their least short window (by hash) at the same offset, so a window can
@@ -20,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut, with_row
+from tallyspan.llm.tables import bucketed, cut, with_row
 from tallyspan.llm.words import BY_SPACE, Hasher, encode, least_in_window, spans
 
 _PAIR = (Hasher(11), Hasher(12))
@@ -31,97 +37,92 @@ def levels(window: int) -> list[int]:
     return sorted({-(-window // 4), -(-window // 2), window})
 
 
-def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    offsets = np.zeros(len(arrays) + 1, np.int32)
-    np.cumsum([len(a) for a in arrays], out=offsets[1:])
-    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
-
-
-def _places(anchors: np.ndarray, base: int, length: int, window: int) -> np.ndarray:
-    """Per window of the final length, the first word of its sub-window of ``length``.
+def _places(anchors: np.ndarray, firsts: np.ndarray, length: int, window: int) -> np.ndarray:
+    """For windows of the final length, the first word of their sub-windows of ``length``.
 
-    The sub-window covers the window's anchor, which is ``base`` words long.
+    A sub-window covers the window's anchor, its least window of the first level.
     """
-    return np.minimum(anchors, np.arange(len(anchors)) + window - length)
+    return np.minimum(anchors, firsts + window - length)
 
 
-def _hashes(data: bytes, window: int, length: int, kept: np.ndarray | None, before: int):
-    """Places and two hashes of the sub-windows of ``length`` that may repeat.
+def _candidates(data: bytes, window: int, length: int, once: list[np.ndarray]):
+    """Places of the sub-windows of ``length`` that may repeat, and two hashes of each.
 
-    ``kept``: places that repeated at the length ``before``; None at the first level.
+    ``once``: of each level before, the places that occur once. The windows that a place
+    belongs to are the last value, as (first words, places).
     """
+    none = np.empty(0, np.int64)
     starts, ends = spans(data)
-    base = levels(window)[0]
     if len(starts) < window:
-        return (np.empty(0, np.int64),) * 3
+        return none, none, none, (none, none)
     words = _PAIR[0].words(data, starts, ends)
+    base = levels(window)[0]
     short = _PAIR[0].runs(words, base)
     anchors = least_in_window(short, window - base + 1)
-    places = _places(anchors, base, length, window)
-    if kept is not None:
-        places = places[np.isin(_places(anchors, base, before, window), kept)]
-    places = np.unique(places)
-    first = short if length == base else _PAIR[0].runs(words, length)
-    second = first
+    firsts = np.arange(len(anchors))
+    for before, single in zip(levels(window), once, strict=False):
+        own = _places(anchors, firsts, before, window)
+        repeats = ~np.isin(own, single)
+        anchors, firsts = anchors[repeats], firsts[repeats]
+    own = _places(anchors, firsts, length, window)
+    places = np.unique(own)
+    if not len(places):
+        return none, none, none, (none, none)
+    one = short if length == base else _PAIR[0].runs(words, length)
+    two = one
     if length == window:  # the last level decides, so it compares 128 bits
-        second = _PAIR[1].runs(_PAIR[1].words(data, starts, ends), length)
-    return places, first[places].view(np.int64), second[places].view(np.int64)
+        two = _PAIR[1].runs(_PAIR[1].words(data, starts, ends), length)
+    return places, one[places].view(np.int64), two[places].view(np.int64), (firsts, own)
+
 
+def _once(docs: DataFrame, window: int, length: int, before: list[str]) -> DataFrame:
+    """(__row, places): the sub-windows of ``length`` that may repeat and do not.
+
+    ``docs`` has __row, text and the columns ``before`` with what earlier levels found.
+    """
+    last = length == window
 
-def _level(docs: DataFrame, window: int, length: int, before: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = batch.column("kept") if before else None
-            found = [
-                _hashes(encode(text.as_py(), BY_SPACE), window, length,
-                        np.asarray(kept[i].values) if before else None, before)
-                for i, text in enumerate(batch.column("text"))
-            ]
+            found = [_candidates(encode(text.as_py(), BY_SPACE), window, length, _arrays(batch, before, i))[:3]
+                     for i, text in enumerate(batch.column("text"))]
+            rows = np.repeat(batch.column("__row").to_numpy(), [len(f[0]) for f in found])
+            columns = [np.concatenate([f[i] for f in found] or [np.empty(0, np.int64)])
+                       for i in ((0, 1, 2) if last else (0, 1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__row"), _lists([f[0] for f in found], pa.int32()),
-                 _lists([f[1] for f in found], pa.int64()),
-                 _lists([f[2] for f in found], pa.int64())],
-                ["__row", "place", "h1", "h2"])
+                [pa.array(rows, pa.int64()), pa.array(columns[0], pa.int32()),
+                 *[pa.array(c, pa.int64()) for c in columns[1:]]],
+                ["__row", "place", *keys])
 
-    rows = docs.mapInArrow(
-        run, "__row bigint, place array<int>, h1 array<bigint>, h2 array<bigint>")
-    return rows.where(F.size("place") > 0)
+    keys = ["h1", "h2"] if last else ["h1"]
+    rows = docs.mapInArrow(run, "__row bigint, place int, " + ", ".join(f"{k} bigint" for k in keys))
+    counted = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("__row", "place")).alias("first"))
+    return counted.where("n = 1").select("first.__row", "first.place").groupBy("__row").agg(
+        F.collect_list("place").alias("places"))
 
 
-def repeated_places(docs: DataFrame, window: int = 35) -> DataFrame | None:
-    """Per row number of ``docs`` the first words of its repeated windows.
+def _arrays(batch: pa.RecordBatch, names: list[str], i: int) -> list[np.ndarray]:
+    """Row i's arrays in the columns ``names``; a null is an empty one."""
+    cells = [batch.column(n)[i] for n in names]
+    return [np.asarray(c.values) if c.is_valid else np.empty(0, np.int32) for c in cells]
 
-    ``docs`` has ``__row`` and ``text``. None if no window repeats.
-    """
-    kept, before = None, 0
-    for length in levels(window):
-        source = docs.select("__row", "text")
-        if kept is not None:
-            source = source.join(kept, "__row")
-        rows = cut(_level(source, window, length, before)).select(
-            "__row", F.explode(F.arrays_zip("place", "h1", "h2")).alias("w"),
-        ).select("__row", "w.place", "w.h1", "w.h2")
-        often = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        kept = cut(rows.join(often.select("h1", "h2"), ["h1", "h2"]).groupBy("__row").agg(
-            F.collect_list("place").alias("kept")))
-        if kept.isEmpty():
-            return None
-        before = length
-    return kept
-
-
-def _kept_words(docs: DataFrame, window: int) -> DataFrame:
+
+def _kept_words(docs: DataFrame, window: int, before: list[str]) -> DataFrame:
     kind = pa.list_(pa.struct([("first", pa.int32()), ("length", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, spans_of, texts = [], [], []
-            for text, places in zip(batch.column("text"), batch.column("kept"), strict=True):
-                words = encode(text.as_py(), BY_SPACE).split()
+            for i, (text, copied) in enumerate(zip(batch.column("text"), batch.column("copied"), strict=True)):
+                data = encode(text.as_py(), BY_SPACE)
+                words = data.split()
                 gone = np.zeros(len(words) + 1, np.int64)
-                if places.is_valid:
-                    at = np.asarray(places.values)
+                if copied.is_valid:  # all of it occurs elsewhere, unless it is too short
+                    gone[0], gone[-1] = (1, -1) if len(words) >= window else (0, 0)
+                else:
+                    at = _candidates(data, window, window, _arrays(batch, before[:-1], i))[3][0]
+                    at = at[~np.isin(at, _arrays(batch, before[-1:], i)[0])]
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + window, -1)
                 gone = (np.cumsum(gone) > 0)[:-1]
@@ -155,10 +156,17 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     loses nothing; rows with equal or null ids count as documents of their own, so
     repeated rows remove each other; other columns are ignored; no rows give no rows.
     """
-    docs = with_row(docs.select("doc_id", "text"))
-    kept = repeated_places(docs, window)
-    if kept is None:
-        joined = docs.withColumn("kept", F.lit(None).cast("array<int>"))
-    else:
-        joined = docs.join(kept, "__row", "left")
-    return _kept_words(joined.select("doc_id", "text", "kept"), window)
+    texts = bucketed(with_row(docs.select("doc_id", "text")), "__row")
+    groups = texts.where("text IS NOT NULL").select("__row", F.md5(F.encode("text", "UTF-8")).alias("same"))
+    first = groups.groupBy("same").agg(F.min("__row").alias("first"), F.count(F.lit(1)).alias("n"))
+    copies = cut(groups.join(first.where("n > 1"), "same").select(
+        "__row", (F.col("__row") != F.col("first")).alias("copied")))
+    texts = texts.join(copies, "__row", "left")
+    compared = texts.where("copied IS NULL OR NOT copied")
+    before: list[str] = []
+    for length in levels(window):
+        once = cut(_once(compared.select("__row", "text", *before), window, length, before))
+        before.append(f"once{length}")
+        once = once.withColumnRenamed("places", before[-1])
+        compared, texts = (x.join(once, "__row", "left") for x in (compared, texts))
+    return _kept_words(texts.select("doc_id", "text", "copied", *before), window, before)

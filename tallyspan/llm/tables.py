@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The column types of the tables.
 SCHEMAS = {
@@ -23,6 +24,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def extended(df: DataFrame, more: str, without: tuple[str, ...] = ()) -> StructType:
+    """The schema of ``df`` less some columns, with the columns ``more`` after them."""
+    fields = [f for f in df.schema.fields if f.name not in without]
+    return StructType(fields + StructType.fromDDL(more).fields)
+
+
 def with_row(docs: DataFrame) -> DataFrame:
     """``docs`` with a number of its own for each row in ``__row``.
 
@@ -59,3 +66,17 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``: joins on it move only the other side.
+
+    There are as many buckets, of one file each, as ``spark.sql.shuffle.partitions``. The
+    table has a name of its own in the session's catalog and stays as ``cut``'s files do.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tallyspan_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option(
+        "path", f"{shared_folder(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
