@@ -122,7 +122,7 @@ def contamination(
 
     A-Z are lower-cased; words are digits, letters a-z and anything beyond ASCII. An
     item's windows are its stretches of ``window`` words, or all its words if fewer. A
-    document word inside an occurrence of a window is hit. Returns doc_id, n_words,
+    document word inside an occurrence of a window is hit. Returns __row, doc_id, n_words,
     spans (array of first word and length of the matched windows) and items (array of
     the item ids with a window here, sorted as strings).
 
@@ -132,7 +132,8 @@ def contamination(
     columns are ignored; with no items, nothing is hit.
     """
     spark = docs.sparkSession
-    docs, items = with_row(docs.select("doc_id", "text")), with_row(items.select("item_id", "text"))
+    docs = with_row(docs).select("__row", "doc_id", "text")
+    items = with_row(items.select("item_id", "text"))
     sizes = cut(_item_windows(items, window).where("length > 0"))
     lengths = [r["length"] for r in sizes.select("length").distinct().collect()]  # window at most
     marked = cut(_pass_over(items.select("__row", "text"), lengths, window, gram).join(sizes, "__row").select(

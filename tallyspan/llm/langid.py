@@ -23,6 +23,8 @@ from tallyspan.llm.tables import extended
 UNDETERMINED = "und"
 _CHUNK = 1 << 20
 _LONGEST_GRAM = 3
+# A margin is the mean weight of a text's n-grams, times this; few n-grams weigh less.
+_SHARPNESS, _FEW = 3.0, 4.0
 
 
 @dataclass(frozen=True)
@@ -150,7 +152,7 @@ def decode(model: Model, counts: np.ndarray | None) -> tuple[str, float, float]:
     """
     if counts is None or not model.languages:
         return UNDETERMINED, 0.0, 0.0
-    margins = (counts @ model.weights) / np.sqrt(counts.sum())
+    margins = _SHARPNESS * (counts @ model.weights) / (counts.sum() + _FEW)
     losses = (np.logaddexp(0.0, -model.code * margins) * model.trust).sum(axis=1)
     shares = np.exp(losses.min() - losses)
     shares /= shares.sum()
@@ -159,13 +161,16 @@ def decode(model: Model, counts: np.ndarray | None) -> tuple[str, float, float]:
     return model.languages[best], float(shares[best]), float(shares[best] - second)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", least_lead: float = 0.2) -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, text: str = "text", least_lead: float = 0.2,
+    names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous"),
+) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and ambiguous for its column ``text``.
 
     ``und`` with score 0 where the text is null or has no letter, or where the model
     knows no language. ambiguous: another language's score is less than ``least_lead``
     behind. The whole text counts, however long; nothing but the text does. Columns of
-    ``docs`` with these names are replaced; no rows give no rows.
+    ``docs`` with the new ``names`` are replaced; no rows give no rows.
     """
     state = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model.__dict__))
 
@@ -179,12 +184,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text", least_lead: float
                  pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64()),
                  pa.array([f[0] != UNDETERMINED and f[2] < least_lead for f in found], pa.bool_())],
-                [*others, *new])
+                [*others, *names])
 
-    new = ["lang_pred", "score", "ambiguous"]
-    docs = docs.drop(*[c for c in new if c != text])
+    docs = docs.drop(*names)
     others = docs.columns
-    return docs.mapInArrow(run, extended(docs, "lang_pred string, score double, ambiguous boolean"))
+    return docs.mapInArrow(run, extended(docs, ", ".join(
+        f"`{name}` {kind}" for name, kind in zip(names, ("string", "double", "boolean"), strict=True))))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

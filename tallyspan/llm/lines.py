@@ -37,8 +37,9 @@ def boilerplate(
 
 def drop_boilerplate(
     pages: DataFrame, host: str, text: str = "text", most_ratio: float = 0.1, least_pages: int = 5,
+    dropped: str = "n_dropped",
 ) -> DataFrame:
-    """``pages`` with the boilerplate lines taken out of ``text``, and how many in n_dropped.
+    """``pages`` with the boilerplate lines taken out of ``text``, and how many in ``dropped``.
 
     A host has fewer such lines than its mean number of lines a page divided by the
     ratio, so they are joined to its pages as one array, with a page's text in one row
@@ -47,16 +48,16 @@ def drop_boilerplate(
     The other lines stay as they were, in order, blank ones included; a text that loses
     every line is empty. Null texts stay null and count as pages of their host; a null
     host is one host; repeated rows are pages of their own; other columns stay, but for
-    one named n_dropped, which is replaced; no rows give no rows.
+    one named as ``dropped``, which is replaced; no rows give no rows.
     """
     found = boilerplate(pages, host, text, most_ratio, least_pages)
     by_host = found.groupBy("host").agg(F.collect_list("line").alias("__lines")).withColumnRenamed(
         "host", "__host")
-    joined = pages.drop("n_dropped").join(by_host, F.col(host).eqNullSafe(F.col("__host")), "left")
+    joined = pages.drop(dropped).join(by_host, F.col(host).eqNullSafe(F.col("__host")), "left")
     lines = _lines(F.col(text))
     kept = F.filter(lines, lambda x: ~F.array_contains("__lines", F.trim(x)))
     changed = F.col("__lines").isNotNull() & F.col(text).isNotNull()
-    dropped = F.when(changed, F.size(lines) - F.size(kept)).otherwise(0)
-    return joined.withColumn("n_dropped", dropped).withColumn(
+    gone = F.when(changed, F.size(lines) - F.size(kept)).otherwise(0)
+    return joined.withColumn(dropped, gone).withColumn(
         text, F.when(changed, F.array_join(kept, "\n")).otherwise(F.col(text))).select(
-        *[c for c in pages.columns if c != "n_dropped"], "n_dropped")
+        *[c for c in pages.columns if c != dropped], dropped)

@@ -267,7 +267,8 @@ def similar_groups(
         F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("part", "key"))
     bucket = Window.partitionBy("part", "key", "salt").orderBy("node")
     looked = table.select(
-        "own", F.explode(F.array(F.lag("own").over(bucket), F.first("own").over(bucket))).alias("x"))
+        "own", F.lag("own").over(bucket).alias("before"), F.first("own").over(bucket).alias("first"),
+    ).select("own", F.explode(F.array("before", "first")).alias("x"))
     apart = distance(F.col("own.fp"), F.col("x.fp"), lanes)
     near = looked.where(F.col("x.node") < F.col("own.node")).where(apart <= most).select(
         F.col("own.node").alias("a"), F.col("x.node").alias("b"), apart.alias("bits"))

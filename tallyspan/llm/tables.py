@@ -35,8 +35,10 @@ def with_row(docs: DataFrame) -> DataFrame:
 
     Ids may be null or repeated, so the operators tell rows apart by this number. It
     depends on the input's partitions alone, which a file scan gives in the same way
-    every time: ``docs`` must be a table that was read, with narrow steps at most.
+    every time: ``docs`` must be a table that was read, with narrow steps at most. A column ``__row`` that is there is kept.
     """
+    if "__row" in docs.columns:
+        return docs
     return docs.withColumn("__row", F.monotonically_increasing_id())
 
 
