@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.components import components
 from tallyspan.llm.tables import cut, extended
-from tallyspan.llm.words import BY_SPACE_LOWER, encode
+from tallyspan.llm.words import BY_SPACE_LOWER, encode, mix
 
 SEED = 42
 _CHUNK = 1 << 15
@@ -37,7 +37,7 @@ def fingerprint(tokens: list[bytes], words: int, lanes: int = 1) -> list[int]:
 
     Shingles are ``words`` words joined by one space and count as often as they occur;
     fewer words are one shingle, and none have all bits zero. The first lane is made of
-    XXH64 with seed 42, each further one with the next seed.
+    XXH64 with seed 42, further ones of numbers mixed from it.
     """
     if not tokens:
         return [0] * lanes
@@ -46,18 +46,17 @@ def fingerprint(tokens: list[bytes], words: int, lanes: int = 1) -> list[int]:
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(tokens) - words + 1)
     first, last = starts[:n].tolist(), ends[-n:].tolist()
-    digest, out = xxhash.xxh64_intdigest, []
-    for lane in range(lanes):
-        counts = np.zeros(64, np.int64)
-        for i in range(0, n, _CHUNK):
-            hashes = np.fromiter(
-                (digest(joined[s:e], SEED + lane)
-                 for s, e in zip(first[i:i + _CHUNK], last[i:i + _CHUNK], strict=True)), ">u8")
-            bits = np.unpackbits(hashes.view(np.uint8)).reshape(-1, 64)
-            counts += bits.sum(axis=0, dtype=np.uint32)
-        value = np.packbits(counts * 2 > n).tobytes()
-        out.append(int.from_bytes(value, "big", signed=True))
-    return out
+    digest, counts = xxhash.xxh64_intdigest, np.zeros((lanes, 64), np.int64)
+    for i in range(0, n, _CHUNK):
+        hashes = np.fromiter(
+            (digest(joined[s:e], SEED)
+             for s, e in zip(first[i:i + _CHUNK], last[i:i + _CHUNK], strict=True)), np.uint64)
+        for lane in range(lanes):
+            own = (hashes if lane == 0 else mix(hashes + np.uint64(lane))).astype(">u8")
+            bits = np.unpackbits(own.view(np.uint8)).reshape(-1, 64)
+            counts[lane] += bits.sum(axis=0, dtype=np.uint32)
+    set_bits = np.packbits(counts * 2 > n, axis=1)
+    return [int.from_bytes(lane.tobytes(), "big", signed=True) for lane in set_bits]
 
 
 def fingerprints(docs: DataFrame, words: int, lanes: int = 1) -> DataFrame:
@@ -157,10 +156,12 @@ def matches(
     table = nodes.select(
         F.col("node").alias("b"), F.col("fp").alias("fp_b"),
         F.posexplode(F.array(*[_segment(F.col("fp"), *parts[i]) for i in keys])).alias("part", "key"))
-    lookups = [F.transform(
-        _ball(_segment(F.col("fp"), *parts[i]), parts[i][1], balls[i], half),
-        lambda v, k=k: F.struct(F.lit(k).alias("part"), v["key"].alias("key"), v["even"].alias("even")))
-        for k, i in enumerate(keys)]
+    def lookup(part: int, low: int, width: int, ball: int) -> Column:
+        return F.transform(
+            _ball(_segment(F.col("fp"), low, width), width, ball, half),
+            lambda v: F.struct(F.lit(part).alias("part"), v["key"].alias("key"), v["even"].alias("even")))
+
+    lookups = [lookup(k, *parts[i], balls[i]) for k, i in enumerate(keys)]
     probe = probes.select(
         F.col("node").alias("a"), F.col("fp").alias("fp_a"),
         F.explode(F.concat(*lookups)).alias("x")).select("a", "fp_a", "x.part", "x.key", "x.even")
@@ -220,64 +221,86 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("__row", "text").mapInArrow(run, "__row bigint, shingles array<int>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` (a, b) of rows whose sets of shingles overlap by ``similarity``."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct()
-    sets = cut(_shingle_sets(docs.join(needed, "__row"), words))
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    both = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
     return both.where((union > 0) & (shared >= similarity * union)).select("a", "b")
 
 
+def expected_bits(similarity: float, bits: int, deviations: float) -> int:
+    """How many of ``bits`` differ at a Jaccard similarity, with standard deviations more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
+
+
 def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = 2,
-    segments: int = 8, ball: int = 1, most: int | None = None, bucket_rows: int = 200_000,
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = 2, wide: int = 8,
+    segments: int = 8, ball: int = 1, bucket_rows: int = 200_000, rounds: int = 3,
 ) -> DataFrame:
     """(__row, group) for each row of ``docs`` (__row, text); group is a row number.
 
     A row joins the group of an earlier row if the Jaccard similarity of their sets of
     ``words``-word shingles is at least ``similarity``. Every row that has such an
     earlier row among its candidates joins one; the group's number is its first row's.
-    Candidates come from fingerprints of 64 bits a lane. At that similarity they differ
-    in a known share of bits, which ``most`` allows for with two standard deviations
-    more, and some segment of theirs nearly always differs in ``ball`` bits or fewer.
-    A row is compared in full with its nearest candidate.
+
+    Candidates come from fingerprints of 64 bits a lane: at that similarity a known share
+    of the bits differs, give or take, and some segment of theirs nearly always differs in
+    ``ball`` bits or fewer. Their distance over ``lanes`` is verified in the join, then
+    that over ``wide`` lanes, and then the sets of shingles are compared: a row's nearest
+    candidate first, and after ``rounds`` refusals all it has left.
 
     Texts of equal words are one node throughout. A large group of near copies is not
     compared pair by pair: a first pass looks, in each bucket of each table, at the row
-    before and at the first row only (hot buckets in parts of about ``bucket_rows``),
-    and rows that it links ask no more. The others look up every row in their balls.
+    before and at the first row only (hot buckets in parts of about ``bucket_rows``).
+    Rows so close to one of these that the fingerprints leave no doubt are linked to it
+    and ask no more. The others look up every row in their balls.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
     """
-    bits = 64 * lanes
-    if most is None:
-        share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-        most = round(bits * share + 2 * math.sqrt(bits * share * (1 - share)))
     docs = docs.select("__row", "text")
-    prints = cut(fingerprints(docs, words, lanes))
-    nodes = cut(prints.groupBy("same").agg(F.min("__row").alias("node"), F.first("fp").alias("fp")))
-    parts = layout(bits, segments)
+    most = expected_bits(similarity, 64 * lanes, 2.0)
+    most_wide, sure = (expected_bits(similarity, 64 * wide, x) for x in (2.0, -2.0))
+    prints = cut(fingerprints(docs, words, wide))
+    nodes = cut(prints.groupBy("same").agg(F.min("__row").alias("node"), F.first("fp").alias("wide")))
+    short = nodes.select("node", F.slice("wide", 1, lanes).alias("fp"))
+    parts = layout(64 * lanes, segments)
     salts = 1 + nodes.count() // bucket_rows
-    table = nodes.select(
-        "node", F.struct("node", "fp").alias("own"),
-        F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"),
+    table = short.select(
+        F.struct("node", "fp").alias("own"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"),
         F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("part", "key"))
-    bucket = Window.partitionBy("part", "key", "salt").orderBy("node")
+    bucket = Window.partitionBy("part", "key", "salt").orderBy("own.node")
     looked = table.select(
         "own", F.lag("own").over(bucket).alias("before"), F.first("own").over(bucket).alias("first"),
     ).select("own", F.explode(F.array("before", "first")).alias("x"))
-    apart = distance(F.col("own.fp"), F.col("x.fp"), lanes)
-    near = looked.where(F.col("x.node") < F.col("own.node")).where(apart <= most).select(
-        F.col("own.node").alias("a"), F.col("x.node").alias("b"), apart.alias("bits"))
+    near = looked.where(F.col("x.node") < F.col("own.node")).where(
+        distance(F.col("own.fp"), F.col("x.fp"), lanes) <= most).select(
+        F.col("own.node").alias("a"), F.col("x.node").alias("b")).distinct()
+
+    def far(pairs: DataFrame, limit: int) -> DataFrame:
+        apart = distance(F.col("wa"), F.col("wb"), wide)
+        return pairs.join(nodes.select(F.col("node").alias("a"), F.col("wide").alias("wa")), "a").join(
+            nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb")), "b").where(
+            apart <= limit).select("a", "b", apart.alias("bits"))
+
     nearest = F.min_by("b", F.struct("bits", "b")).alias("b")
-    early = cut(_verified(cut(near.groupBy("a").agg(nearest)), docs, words, similarity))
-    asking = nodes.join(early.select(F.col("a").alias("node")), "node", "left_anti")
-    found = matches(asking, nodes, parts, [ball] * segments, most, lanes, half=False)
-    late = _verified(cut(found.groupBy("a").agg(nearest)), docs, words, similarity)
-    reached = components(early.union(late)).toDF("node", "group")
+    links = cut(far(near, sure).groupBy("a").agg(nearest))
+    asking = short.join(links.select(F.col("a").alias("node")), "node", "left_anti")
+    found = matches(asking, short, parts, [ball] * segments, most, lanes, half=False)
+    left = cut(far(found.select("a", "b").distinct(), most_wide))
+    needed = left.select(F.explode(F.array("a", "b")).alias("__row")).distinct()
+    sets = cut(_shingle_sets(docs.join(needed, "__row"), words))
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        tried = cut(left.groupBy("a").agg(nearest))
+        good = cut(_verified(tried, sets, similarity))
+        links = links.union(good)
+        left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
+    links = links.union(_verified(left, sets, similarity))
+    reached = components(links).toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(
         "same", F.coalesce("group", "node").alias("group"))
     return prints.select("__row", "same").join(groups, "same").select("__row", "group")
