@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from tallyspan.llm.tables import extended
 
 MARK = "▁"
-_REMEMBERED = 1_000_000
-_BLOCK_CHARS = 8_000_000
+_REMEMBERED = 500_000
+_BLOCK_CHARS = 2_000_000
 
 
 class Vocabulary:
@@ -150,7 +150,7 @@ class Encoder:
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode ``words``, depth first through the trie that their sorted list is."""
-        if self.pairs > 4 * _REMEMBERED:
+        if self.pairs > _REMEMBERED:
             self.allowed, self.pairs = {}, 0
         merges, known = self.v.merges, self.known
         state, paths, before = [""] if merges else [0.0], [b""], ""
