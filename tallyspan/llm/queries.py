@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.llm import (
-    ann, chat, decontaminate, html, langid, lines, pieces, sharding, simhash, substrings,
+    ann, chat, decontaminate, langid, lines, pages, pieces, sharding, simhash, substrings,
 )
 from tallyspan.llm.tables import table
 
@@ -125,7 +125,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
-    return html.extract_pages(table(spark, sf_dir, "pages")).select(
+    return pages.extract_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 

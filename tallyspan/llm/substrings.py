@@ -5,9 +5,9 @@ ones extended to half of it, and of those only the repeated ones to the whole le
 text without candidates adds nothing to a level's shuffle.
 
 A level makes one shuffle of its windows' hashes, with counts and the first place made in
-the map tasks, so that a passage in a third of all texts is a row for each task. What it
-hands on is the windows that occur once: the next level leaves out what lies on them.
-Texts are moved once, into buckets by row, where every level finds them again. Copies of
+the map tasks, so that a passage in a third of all texts is a row for each task. Windows
+that occur once come out of it by name and are taken from their texts' lists; nothing is
+joined on a hash. Texts are moved once, into buckets by row, where every level finds them again. Copies of
 a whole text need no levels: all their windows repeat, and only the first one of them
 stands for the rest when other texts are compared.
 
@@ -19,7 +19,7 @@ and it loses nothing. Later levels take the sub-window that still covers it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ from tallyspan.llm.tables import bucketed, cut, with_row
 from tallyspan.llm.words import BY_SPACE, Hasher, encode, least_in_window, spans
 
 _PAIR = (Hasher(11), Hasher(12))
+_BLOCK = 2_000_000
 
 
 def levels(window: int) -> list[int]:
@@ -45,88 +46,109 @@ def _places(anchors: np.ndarray, firsts: np.ndarray, length: int, window: int) -
     return np.minimum(anchors, firsts + window - length)
 
 
-def _candidates(data: bytes, window: int, length: int, once: list[np.ndarray]):
-    """Places of the sub-windows of ``length`` that may repeat, and two hashes of each.
+def _hashes(texts: list[bytes], window: int, length: int, kept: list[np.ndarray] | None, before: int):
+    """Sub-windows of ``length`` that may repeat in a block of ``texts``: (at, place, h1, h2).
 
-    ``once``: of each level before, the places that occur once. The windows that a place
-    belongs to are the last value, as (first words, places).
+    at: where each text's ones begin, and the end of the last's. ``kept``: of each text
+    the places that repeat at the length ``before``; None at the first level. The texts
+    are worked on as one run of words; no window reaches over the end of its text.
     """
-    none = np.empty(0, np.int64)
+    data = b" ".join(texts)
     starts, ends = spans(data)
-    if len(starts) < window:
-        return none, none, none, (none, none)
+    bytes_at = np.cumsum([0] + [len(t) + 1 for t in texts])
+    first_words = np.searchsorted(starts, bytes_at)
+    own_first, counts = first_words[:-1], np.diff(first_words)
+    firsts = np.arange(len(starts))
+    firsts = firsts[firsts + window <= np.repeat(first_words[1:], counts)]
+    if not len(firsts):
+        return (np.zeros(len(texts) + 1, np.int64), *[np.empty(0, np.int64)] * 3)
     words = _PAIR[0].words(data, starts, ends)
     base = levels(window)[0]
     short = _PAIR[0].runs(words, base)
-    anchors = least_in_window(short, window - base + 1)
-    firsts = np.arange(len(anchors))
-    for before, single in zip(levels(window), once, strict=False):
-        own = _places(anchors, firsts, before, window)
-        repeats = ~np.isin(own, single)
+    anchors = least_in_window(short, window - base + 1)[firsts]
+    if kept is not None:
+        repeats = np.zeros(len(starts), bool)
+        repeats[np.concatenate([k + f for k, f in zip(kept, own_first, strict=True)])] = True
+        repeats = repeats[_places(anchors, firsts, before, window)]
         anchors, firsts = anchors[repeats], firsts[repeats]
-    own = _places(anchors, firsts, length, window)
-    places = np.unique(own)
-    if not len(places):
-        return none, none, none, (none, none)
+    places = _places(anchors, firsts, length, window)
+    places = places[np.diff(places, prepend=-1) > 0]  # they never go back
     one = short if length == base else _PAIR[0].runs(words, length)
     two = one
     if length == window:  # the last level decides, so it compares 128 bits
         two = _PAIR[1].runs(_PAIR[1].words(data, starts, ends), length)
-    return places, one[places].view(np.int64), two[places].view(np.int64), (firsts, own)
+    at = np.searchsorted(places, first_words)
+    own = places - np.repeat(own_first, np.diff(at))
+    return at, own, one[places].view(np.int64), two[places].view(np.int64)
 
 
-def _once(docs: DataFrame, window: int, length: int, before: list[str]) -> DataFrame:
-    """(__row, places): the sub-windows of ``length`` that may repeat and do not.
+def _blocks(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Stretches of texts of about _BLOCK bytes."""
+    first, total, i = 0, 0, -1
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= _BLOCK:
+            yield first, i + 1
+            first, total = i + 1, 0
+    if first <= i:
+        yield first, i + 1
 
-    ``docs`` has __row, text and the columns ``before`` with what earlier levels found.
-    """
-    last = length == window
 
+def _level(docs: DataFrame, window: int, length: int, before: int) -> DataFrame:
+    """(__row, place, h1, h2), arrays: the sub-windows of ``length`` that may repeat.
+
+    ``docs`` has __row, text and, but for the first level, the places ``kept``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_candidates(encode(text.as_py(), BY_SPACE), window, length, _arrays(batch, before, i))[:3]
-                     for i, text in enumerate(batch.column("text"))]
-            rows = np.repeat(batch.column("__row").to_numpy(), [len(f[0]) for f in found])
-            columns = [np.concatenate([f[i] for f in found] or [np.empty(0, np.int64)])
-                       for i in ((0, 1, 2) if last else (0, 1))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(columns[0], pa.int32()),
-                 *[pa.array(c, pa.int64()) for c in columns[1:]]],
-                ["__row", "place", *keys])
-
-    keys = ["h1", "h2"] if last else ["h1"]
-    rows = docs.mapInArrow(run, "__row bigint, place int, " + ", ".join(f"{k} bigint" for k in keys))
-    counted = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("__row", "place")).alias("first"))
-    return counted.where("n = 1").select("first.__row", "first.place").groupBy("__row").agg(
-        F.collect_list("place").alias("places"))
-
-
-def _arrays(batch: pa.RecordBatch, names: list[str], i: int) -> list[np.ndarray]:
-    """Row i's arrays in the columns ``names``; a null is an empty one."""
-    cells = [batch.column(n)[i] for n in names]
-    return [np.asarray(c.values) if c.is_valid else np.empty(0, np.int32) for c in cells]
-
-
-def _kept_words(docs: DataFrame, window: int, before: list[str]) -> DataFrame:
+            texts = [encode(text.as_py(), BY_SPACE) for text in batch.column("text")]
+            for first, end in _blocks(map(len, texts)):
+                kept = [np.asarray(batch.column("kept")[i].values) for i in range(first, end)] if before else None
+                at, *found = _hashes(texts[first:end], window, length, kept, before)
+                some = pa.array(np.flatnonzero(np.diff(at)))
+                offsets = pa.array(np.unique(at).astype(np.int32) if len(some) else np.zeros(1, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("__row").slice(first, end - first).take(some),
+                     *[pa.ListArray.from_arrays(offsets, pa.array(values, kind))
+                       for values, kind in zip(found, kinds, strict=False)]],
+                    ["__row", "place", *keys])
+
+    keys = ["h1", "h2"] if length == window else ["h1"]
+    kinds = [pa.int32(), *[pa.int64()] * len(keys)]
+    return docs.mapInArrow(run, "__row bigint, place array<int>, " + ", ".join(
+        f"{k} array<bigint>" for k in keys))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """(__row, kept): of the places in ``rows``, those whose hashes occur more than once."""
+    keys = [c for c in rows.columns if c.startswith("h")]
+    windows = rows.select("__row", F.explode(F.arrays_zip("place", *keys)).alias("w"))
+    counted = windows.groupBy(*[F.col(f"w.{k}").alias(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("__row", "w.place")).alias("first"))
+    once = counted.where("n = 1").select("first.__row", "first.place").groupBy("__row").agg(
+        F.collect_list("place").alias("once"))
+    left = F.array_except("place", F.coalesce("once", F.array().cast("array<int>")))
+    return rows.select("__row", "place").join(once, "__row", "left").select(
+        "__row", left.alias("kept")).where(F.size("kept") > 0)
+
+
+def _kept_words(docs: DataFrame, window: int) -> DataFrame:
     kind = pa.list_(pa.struct([("first", pa.int32()), ("length", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, spans_of, texts = [], [], []
-            for i, (text, copied) in enumerate(zip(batch.column("text"), batch.column("copied"), strict=True)):
-                data = encode(text.as_py(), BY_SPACE)
-                words = data.split()
-                gone = np.zeros(len(words) + 1, np.int64)
-                if copied.is_valid:  # all of it occurs elsewhere, unless it is too short
-                    gone[0], gone[-1] = (1, -1) if len(words) >= window else (0, 0)
-                else:
-                    at = _candidates(data, window, window, _arrays(batch, before[:-1], i))[3][0]
-                    at = at[~np.isin(at, _arrays(batch, before[-1:], i)[0])]
+            for i, text in enumerate(batch.column("text")):
+                words = encode(text.as_py(), BY_SPACE).split()
+                kept, gone = batch.column("kept")[i], np.zeros(len(words) + 1, np.int64)
+                if batch.column("copied")[i].is_valid and len(words) >= window:
+                    gone[0], gone[-1] = 1, -1  # all of it occurs elsewhere
+                elif kept.is_valid:
+                    at = np.asarray(kept.values)
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + window, -1)
                 gone = (np.cumsum(gone) > 0)[:-1]
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))
+                edge = np.flatnonzero(np.diff(gone, prepend=False, append=False))
                 counts.append(len(words))
                 spans_of.append([
                     {"first": a, "length": b - a}
@@ -162,11 +184,11 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     copies = cut(groups.join(first.where("n > 1"), "same").select(
         "__row", (F.col("__row") != F.col("first")).alias("copied")))
     texts = texts.join(copies, "__row", "left")
-    compared = texts.where("copied IS NULL OR NOT copied")
-    before: list[str] = []
+    compared = texts.where("copied IS NULL OR NOT copied").select("__row", "text")
+    kept, before = None, 0
     for length in levels(window):
-        once = cut(_once(compared.select("__row", "text", *before), window, length, before))
-        before.append(f"once{length}")
-        once = once.withColumnRenamed("places", before[-1])
-        compared, texts = (x.join(once, "__row", "left") for x in (compared, texts))
-    return _kept_words(texts.select("doc_id", "text", "copied", *before), window, before)
+        source = compared if kept is None else compared.join(kept, "__row")
+        rows = cut(_level(source, window, length, before))
+        kept, before = cut(_repeated(rows)), length
+    texts = texts.join(kept, "__row", "left")
+    return _kept_words(texts.select("doc_id", "text", "copied", "kept"), window)
