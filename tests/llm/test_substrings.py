@@ -1,0 +1,99 @@
+"""Substring dedup against brute force, and its edge cases."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from tallyspan.llm.queries import QUERIES
+from tallyspan.llm.substrings import levels, remove_repeated
+from tallyspan.llm.words import BY_SPACE, Hasher, encode, least_in_window, spans
+
+DOCS = "doc_id bigint, text string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(texts, window):
+    words = [WORD.findall(t or "") for t in texts]
+    seen = Counter(tuple(w[i:i + window]) for w in words for i in range(len(w) - window + 1))
+    out = []
+    for w in words:
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i:i + window])] > 1:
+                gone[i:i + window] = [True] * window
+        out.append((len(w), sum(gone), " ".join(x for x, y in zip(w, gone, strict=True) if not y)))
+    return out
+
+
+def check(frame, texts, window):
+    got = remove_repeated(frame(list(enumerate(texts)), DOCS), window).collect()
+    got = {r["doc_id"]: (r["n_words"], sum(s["length"] for s in r["removed"]), r["kept"]) for r in got}
+    assert got == dict(enumerate(brute(texts, window)))
+
+
+def test_levels_double():
+    assert levels(35) == [9, 18, 35]
+    for n in range(1, 80):
+        own = levels(n)
+        assert own[-1] == n and all(b <= 2 * a for a, b in zip(own, own[1:], strict=False))
+
+
+def test_least_in_window():
+    draw = np.random.default_rng(1)
+    for _ in range(40):
+        v = draw.integers(0, 9, draw.integers(0, 60)).astype(np.uint64)
+        w = int(draw.integers(1, 12))
+        assert least_in_window(v, w).tolist() == [i + int(np.argmin(v[i:i + w])) for i in range(len(v) - w + 1)]
+
+
+def test_hashes_of_equal_words_are_equal():
+    data = encode("the cat\tsat on\n the cat  sat é é", BY_SPACE)
+    found = Hasher(3).words(data, *spans(data)).tolist()
+    assert found[0] == found[4] and found[1] == found[5] and found[2] == found[6] and found[7] == found[8]
+    assert len(set(found)) == 5
+
+
+def test_random_passages_against_brute_force(frame):
+    draw = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    passages = [[draw.choice(vocabulary) for _ in range(n)] for n in (6, 7, 8, 20, 50)]
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(draw.randrange(4)):
+            words += [draw.choice(vocabulary) for _ in range(draw.randrange(15))]
+            words += draw.choice(passages)
+        texts.append(draw.choice([" ", "\n", " \t"]).join(words))
+    for window in (7, 10):
+        check(frame, texts, window)
+
+
+def test_hot_passage_ties_and_odd_texts(frame):
+    hot = " ".join(f"h{i}" for i in range(12))
+    texts = [f"a{i} {hot} b{i}" for i in range(40)] + [hot] * 20
+    texts += ["same " * 50, "same " * 49, "", None, "  \n ", "one", "x" * 5000, "é ü ß " * 10]
+    texts += [" ".join(str(i % 977) for i in range(30000))]
+    check(frame, texts, 8)
+
+
+def test_nulls_repeated_rows_extra_columns_and_no_rows(frame, spark):
+    text = " ".join(f"w{i}" for i in range(9))
+    rows = [(None, text, 1), (None, text, 2), (3, "other words " * 2, 3), (3, None, None)]
+    got = remove_repeated(frame(rows, DOCS + ", kept int"), 5).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["kept"]) for r in got) == [
+        ("3", 0, ""), ("3", 4, "other words other words"), ("None", 9, ""), ("None", 9, "")]
+    assert remove_repeated(frame([], DOCS), 5).collect() == []
+
+
+def test_query_gives_digests_of_what_is_left(sf_folder, spark):
+    texts = ["a " * 40, "b c " * 30, None, "short"]
+    folder = sf_folder({"documents": (
+        [(i, t, "en", "s", 1) for i, t in enumerate(texts)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint")})
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"])
+           for r in QUERIES["op10_substring_dedup"](spark, folder).collect()}
+    assert got == {i: (n, gone, hashlib.sha256(kept.encode()).hexdigest())
+                   for i, (n, gone, kept) in enumerate(brute(texts, 35))}
