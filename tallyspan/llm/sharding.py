@@ -6,8 +6,8 @@ with room, and those elsewhere ask to move there. Quotas let through as many mov
 shard as its capacity and the moves out of it allow. Documents without links cut nothing
 wherever they are, so they are left out of the rounds and fill what room is left.
 
-At the end sizes are made exact: a shard's rows beyond its quota and the unlinked rows are
-numbered, and the numbers are dealt to the shards' free places in order. Numbering is done
+Shards may go a tenth over their quotas meanwhile. At the end sizes are made exact: a shard's rows beyond its quota, small links that found no
+common shard and the unlinked rows are numbered, and the numbers are dealt to the shards' free places in order. Numbering is done
 in many buckets with sums carried between them, so no shard is sorted in one task. What
 reaches the driver is a number for each pair of shards.
 """
@@ -24,11 +24,14 @@ from tallyspan.llm.tables import cut, with_row
 def numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
     """``rows`` (__row, link, …) with ``name``: 0, 1, … without gaps within each ``by``.
 
-    Rows of one link get near numbers: the order is by 8 bits of the link's hash, then 8
-    bits of the row's (which split a hot link), then link and row.
+    Rows of one link get numbers in a row: small links come first, then ``big`` ones, then
+    rows without a link (big is null), each by 16 bits of the link's hash, then by link and
+    row. The rows of a big link are spread over 256 buckets side by side.
     """
+    tier = F.when(F.col("big").isNull(), 2).when(F.col("big"), 1).otherwise(0)
     h = F.xxhash64(F.coalesce("link", F.col("__row").cast("string")))
-    bucket = F.pmod(h, F.lit(256)) * 256 + F.pmod(F.xxhash64("__row"), F.lit(256))
+    fine = F.when(F.coalesce("big", F.lit(False)), F.xxhash64("__row")).otherwise(F.shiftright(h, 8))
+    bucket = tier * 65536 + F.pmod(h, F.lit(256)) * 256 + F.pmod(fine, F.lit(256))
     rows = rows.withColumn("__bucket", bucket)
     before = Window.partitionBy(by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy(by, "__bucket").agg(F.count(F.lit(1)).alias("__n")).withColumn(
@@ -54,42 +57,45 @@ def _flows(asked: np.ndarray, load: np.ndarray, quota: np.ndarray) -> np.ndarray
     return share
 
 
-def _table(spark, values, column: str) -> Column:
+def _table(values, column: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(column) + 1)
 
 
-def propagate(linked: DataFrame, quota: np.ndarray, rounds: int = 12) -> DataFrame:
-    """(__row, link, shard) of ``linked`` (__row, link), one row for each document."""
-    shards = len(quota)
+def propagate(linked: DataFrame, quota: np.ndarray, rounds: int = 12, slack: float = 0.1) -> DataFrame:
+    """``linked`` (__row, link, big) with shard, one row for each document.
+
+    Shards may go over their quotas by the share ``slack`` on the way.
+    """
+    shards, most = len(quota), np.ceil(quota * (1 + slack))
     labels = cut(linked.withColumn("shard", F.pmod(F.xxhash64("__row"), F.lit(shards)).cast("int")))
     for turn in range(rounds):
         load = np.zeros(shards)
         for r in labels.groupBy("shard").count().collect():
             load[r["shard"]] = r["count"]
-        counts = labels.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
-        # The order of a link's shards: by its rows there, ties by a hash of both.
+        counts = labels.groupBy("link", "big", "shard").agg(F.count(F.lit(1)).alias("n"))
+        # The order of a link's shards: by its rows there, ties by a hash of both. A big
+        # link goes where there is room; a small one may also change places with others.
         weight = F.struct("n", F.xxhash64("link", "shard"))
-        room = _table(None, [bool(x) for x in load < quota], "shard")
+        room = _table([bool(x) for x in load < quota], "shard")
+        open_to = F.when(room | ~F.col("big"), weight)
         best = counts.groupBy("link").agg(
-            F.max_by("shard", F.when(room, weight)).alias("to"),
-            F.max(F.when(room, weight)).alias("to_weight"), F.sum("n").alias("size"))
+            F.max_by("shard", open_to).alias("to"), F.max(open_to).alias("to_weight"))
         here = counts.select("link", "shard", weight.alias("weight"))
         wish = here.join(best, "link").where("to IS NOT NULL AND to_weight > weight").select(
-            "link", "shard", "to", "size")
-        asking = cut(labels.join(wish, ["link", "shard"]).select("__row", "link", "shard", "to", "size"))
+            "link", "shard", "to")
+        asking = cut(labels.join(wish, ["link", "shard"]).select("__row", "link", "big", "shard", "to"))
         asked = np.zeros((shards, shards))
         for r in asking.groupBy("shard", "to").count().collect():
             asked[r["shard"], r["to"]] = r["count"]
         if not asked.any():
             break
-        share = _flows(asked, load, quota)
-        # Small links move whole or not at all; a large one in part.
-        whole = F.col("size") <= int(quota.min()) // 100
-        draw = F.when(whole, F.xxhash64("link", F.lit(turn))).otherwise(F.xxhash64("__row", F.lit(turn)))
-        go = F.pmod(draw, F.lit(1 << 20)) < _table(None, [float(x) for x in share], "to") * (1 << 20)
+        share = _flows(asked, load, most)
+        # Small links move whole or not at all; a big one in part.
+        draw = F.when(F.col("big"), F.xxhash64("__row", F.lit(turn))).otherwise(F.xxhash64("link", F.lit(turn)))
+        go = F.pmod(draw, F.lit(1 << 20)) < _table([float(x) for x in share], "to") * (1 << 20)
         moved = asking.where(go).select("__row", F.col("to").alias("new"))
         labels = cut(labels.join(moved, "__row", "left").select(
-            "__row", "link", F.coalesce("new", "shard").cast("int").alias("shard")))
+            "__row", "link", "big", F.coalesce("new", "shard").cast("int").alias("shard")))
     return labels
 
 
@@ -102,24 +108,30 @@ def assign(rows: DataFrame, shards: int = 24, rounds: int = 12) -> DataFrame:
     several times: give a table.
     """
     several = rows.where("link IS NOT NULL").groupBy("link").agg(
-        F.count(F.lit(1)).alias("__n")).where("__n > 1").select("link", F.lit(True).alias("__linked"))
+        F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    quota = quotas(rows.count(), shards)
+    # A big link is one that fills a good part of a shard.
+    several = several.select("link", (F.col("__n") * 20 > int(quota.min())).alias("big"))
     ids = cut(rows.select("__row", "link").join(several, "link", "left"))
-    quota = quotas(ids.count(), shards)
-    labels = propagate(ids.where("__linked").select("__row", "link"), quota, rounds)
-    ranked = numbered(labels, "shard", "__at")
-    fits = F.col("__at") < _table(None, [int(q) for q in quota], "shard")
+    labels = propagate(ids.where("big IS NOT NULL"), quota, rounds)
+    # Small links that found no common shard are dealt again as a whole.
+    split = cut(labels.where(~F.col("big")).groupBy("link").agg(
+        F.min("shard").alias("a"), F.max("shard").alias("b")).where("a <> b").select("link"))
+    ranked = numbered(labels.join(split, "link", "left_anti"), "shard", "__at")
+    fits = F.col("__at") < _table([int(q) for q in quota], "shard")
     ranked = cut(ranked.withColumn("__fits", fits))
-    kept = ranked.where("__fits").select("__row", "link", "shard")
+    kept = ranked.where("__fits").select("__row", "link", "big", "shard")
     free = quota.copy()
     for r in kept.groupBy("shard").count().collect():
         free[r["shard"]] -= r["count"]
-    pool = ranked.where("NOT __fits").select("__row", "link").union(
-        ids.where("__linked IS NULL").select("__row", "link")).withColumn("__all", F.lit(0))
+    pool = ranked.where("NOT __fits").select("__row", "link", "big").union(
+        labels.join(split, "link", "left_semi").select("__row", "link", "big")).union(
+        ids.where("big IS NULL").select("__row", "link", "big")).withColumn("__all", F.lit(0))
     pool = numbered(pool, "__all", "__at")
     ends = [int(x) for x in np.cumsum(free)]
     # The first shard whose free places, counted on, reach beyond the number.
     place = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col("__at")))
-    dealt = pool.select("__row", "link", place.cast("int").alias("shard"))
+    dealt = pool.select("__row", "link", "big", place.cast("int").alias("shard"))
     slots = numbered(kept.union(dealt), "shard", "slot").select("__row", "shard", "slot")
     return rows.join(slots, "__row")
 
