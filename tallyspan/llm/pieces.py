@@ -20,20 +20,22 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import sentencepiece
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tallyspan.llm.tables import extended
 
 MARK = "▁"
-_REMEMBERED = 500_000
-_BLOCK_CHARS = 2_000_000
+_REMEMBERED = 300_000
+_BLOCK = 1_000_000
 
 
 class Vocabulary:
     """Pieces of a model file, read by the sentencepiece library on the driver."""
 
     def __init__(self, path: str):
+        import sentencepiece  # on the driver alone
+
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.unknown = model.unk_id()
@@ -197,25 +199,35 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in cut]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Stretches of rows of about _BLOCK_CHARS characters."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= _BLOCK_CHARS:
+def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Stretches of rows of about _BLOCK bytes of text."""
+    first, total = 0, 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= _BLOCK:
             yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+            first, total = i + 1, 0
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def _text_of(ids: np.ndarray, table: list[bytes]) -> str:
+    """Marks become spaces and the first is dropped; other bytes than UTF-8 become U+FFFD."""
+    return b"".join([table[i] for i in ids.tolist()]).removeprefix(b" ").decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str | None = None,
+) -> DataFrame:
     """``docs`` with the piece ids of its column ``text`` in ``ids`` (array<int>).
 
     A null or empty text has no ids. Spaces become marks, one more is put before the
-    text, and nothing else is changed. A column named ``ids`` is replaced.
+    text, and nothing else is changed. ``decoded`` names a column for the text that the
+    ids give back, made in the same pass. Columns of these names are replaced; repeated
+    rows are rows of their own; no rows give no rows.
     """
-    docs = docs.drop(ids)
+    new = [ids] if decoded is None else [ids, decoded]
+    docs = docs.drop(*[c for c in new if c != text])
     others = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
 
@@ -227,17 +239,19 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
             shared.value["encoder"] = Encoder(own)
         encoder = shared.value["encoder"]
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            for first, end in _blocks(texts):
-                found = encoder.texts(texts[first:end])
-                offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-                flat = pa.array(np.concatenate(found), pa.int32())
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+            for first, end in _blocks(sizes):
                 part = batch.slice(first, end - first)
+                found = encoder.texts(part.column(text).to_pylist())
+                offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int32()))
+                back = [] if decoded is None else [
+                    pa.array([_text_of(f, encoder.v.bytes_of) for f in found], pa.string())]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in others],
-                     pa.ListArray.from_arrays(pa.array(offsets), flat)], [*others, ids])
+                    [*[part.column(c) for c in others], lists, *back], [*others, *new])
 
-    return docs.mapInArrow(run, extended(docs, f"`{ids}` array<int>"))
+    kinds = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded is not None else "")
+    return docs.mapInArrow(run, extended(docs, kinds))
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -256,9 +270,7 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str
             found = []
             for row in batch.column(ids):
                 own = np.asarray(row.values.drop_null(), np.int64) if row.is_valid else np.empty(0, np.int64)
-                own = own[(own >= 0) & (own < len(table))]
-                data = b"".join([table[i] for i in own.tolist()])
-                found.append(data.removeprefix(b" ").decode("utf-8", "replace"))
+                found.append(_text_of(own[(own >= 0) & (own < len(table))], table))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in others], pa.array(found, pa.string())], [*others, text])
 

@@ -60,8 +60,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's piece ids, and whether decoding them gives the text back."""
     vocabulary = pieces.Vocabulary(PIECES)
-    docs = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
-    docs = pieces.decode(docs, vocabulary)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = pieces.encode(docs, vocabulary, decoded="decoded")
     return docs.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -90,14 +90,16 @@ def test_round_trip_nulls_clashing_columns_and_no_rows(frame, vocabulary):
     assert got.columns == ["doc_id", "text", "ids", "decoded"]
     for r in got.collect():
         assert r["decoded"] == (r["text"] or "")
+    both = pieces.encode(docs, vocabulary, decoded="decoded")
+    assert both.columns == got.columns and sorted(map(str, both.collect())) == sorted(map(str, got.collect()))
     assert pieces.encode(frame([], DOCS), vocabulary).collect() == []
 
 
 def test_blocks_take_every_row_once(monkeypatch):
-    monkeypatch.setattr(pieces, "_BLOCK_CHARS", 5)
-    for texts in ([], [None], ["abc", "abcdef", None, "a", "b", "cccccccccc"], ["a"] * 20):
-        got = [i for first, end in pieces._blocks(texts) for i in range(first, end)]
-        assert got == list(range(len(texts)))
+    monkeypatch.setattr(pieces, "_BLOCK", 5)
+    for sizes in ([], [0], [3, 6, 0, 1, 1, 10], [1] * 20):
+        got = [i for first, end in pieces._blocks(sizes) for i in range(first, end)]
+        assert got == list(range(len(sizes)))
 
 
 def test_forgetting_changes_nothing(monkeypatch, vocabulary, library):
