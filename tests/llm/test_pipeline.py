@@ -1,0 +1,99 @@
+"""The corpus pipeline on planted cases, stage by stage, and its edge cases."""
+
+import random
+
+import corpus_pipeline
+import sentencepiece
+
+from tallyspan.llm.queries import PIECES
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+ITEMS = "item_id bigint, text string"
+
+
+def words(draw, n, letters="abcdefgh"):
+    return ["".join(draw.choice(letters) for _ in range(draw.randrange(3, 8))) for _ in range(n)]
+
+
+def corpus():
+    """Rows, benchmark items, and the ids that each stage should drop."""
+    draw = random.Random(11)
+    rows, gone, items = [], {}, [(i, " ".join(words(draw, 25))) for i in range(3)]
+    letters = {"aa": "abcdefgh", "bb": "ijklmnop", "cc": "qrstuvwx"}
+
+    def add(text, lang="aa", source="s1"):
+        rows.append((len(rows), text, lang, source, len(text) if text is not None else None))
+        return len(rows) - 1
+
+    clean = [add("\n".join(" ".join(words(draw, 40, letters[x])) for _ in range(5)), x, f"s{i % 4}")
+             for i, x in enumerate(draw.choice(sorted(letters)) for _ in range(120))]
+    gone["language_id"] = {add(None), add(""), add("123 456 !!"), add("— … 7")}
+    for _ in range(30):  # one line on every page of a source
+        clean.append(add("shared menu line of abc\n" + " ".join(words(draw, 60)), "aa", "s9"))
+    base = rows[clean[0]][1].split(" ")
+    near = list(base)
+    near[50] = "changed"
+    gone["near_dedup"] = {  # one of each pair stays, whichever comes first in the files
+        (clean[3], add(rows[clean[3]][1], rows[clean[3]][2], "s2")), (clean[0], add(" ".join(near), rows[clean[0]][2])),
+        (clean[5], add(rows[clean[5]][1].upper(), rows[clean[5]][2]))}
+    gone["decontamination"] = {add(" ".join(words(draw, 80)) + " " + items[1][1].upper() + " " + " ".join(words(draw, 80)))}
+    return rows, items, gone
+
+
+def test_stages_drop_what_was_planted_and_nothing_else(spark, sf_folder, tmp_path):
+    rows, items, gone = corpus()
+    folder = sf_folder({"documents": (rows, DOCS), "benchmark": (items, ITEMS)})
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    left = {r[0] for r in rows}
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        stage(spark, docs, folder).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        found = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        if name == "near_dedup":
+            assert all(len(pair & found) == 1 for pair in map(set, gone[name]))
+            left -= {i for pair in gone[name] for i in pair if i not in found}
+        else:
+            left -= gone.get(name, set())
+        assert found == left, name
+        if name != "sentencepiece":
+            assert docs.columns == columns
+        if name == "line_dedup":
+            texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in docs.collect()}
+            for i, text, _, source, _ in rows:
+                if i in texts:
+                    kept = text.split("\n", 1)[1] if source == "s9" else text
+                    assert texts[i] == (kept, len(kept))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for r in docs.collect():
+        assert r["round_trip"] and r["ids"] == library.encode(texts[r["doc_id"]][0])
+
+
+def test_run_gives_the_rows_of_the_stages(spark, sf_folder):
+    rows, items, gone = corpus()
+    folder = sf_folder({"documents": (rows, DOCS), "benchmark": (items, ITEMS)})
+    got = corpus_pipeline.run(spark, folder)
+    found = {r["doc_id"] for r in got.collect()}
+    pairs = [set(pair) for pair in gone.pop("near_dedup")]
+    assert all(len(pair & found) == 1 for pair in pairs)
+    assert found - set().union(*pairs) == {r[0] for r in rows} - set().union(*gone.values(), *pairs)
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "line_dedup", "near_dedup", "decontamination", "sentencepiece"]
+
+
+def test_nulls_repeated_rows_clashing_columns_and_no_rows(spark, sf_folder, tmp_path):
+    more = ", score double, n_dropped int, `group` int, lang_pred string, spans string"
+    text = "some words of a text that is long enough " * 4
+    rows = [(None, text, None, None, None, 0.5, 1, 2, "x", "y")] * 3 + [(1, "other abc words", "aa", "s", 3, None, None, None, None, None)]
+    rows += [(2, "words " * 50_000, "aa", None, 1, None, None, None, None, None)]
+    folder = sf_folder({"documents": (rows, DOCS + more), "benchmark": ([(1, "not in here at all")], ITEMS)})
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    first = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, folder).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.columns == first
+    assert sorted(str(r["doc_id"]) for r in docs.collect()) == ["1", "2", "None"]
+    empty = spark.read.parquet(f"{folder}/documents.parquet").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).collect() == []
