@@ -13,7 +13,6 @@ from tallyspan.operators.segments import (
     SEGMENT,
     find_cuts,
     in_order,
-    join_small,
 )
 
 _TIME, _SIDE, _TIE, _MATCH = "__time", "__side", "__tie", "__match"
@@ -52,7 +51,7 @@ def asof_join(
     order = [_TIME, _SIDE, _TIE]
     named = {right_order[0]: _TIME, right_order[1]: _TIE}
     match = F.struct(*[F.col(named.get(c, c)).alias(c) for c in carried])
-    cuts = find_cuts(rows, on, order, 0, rows_per_segment)
+    cuts = find_cuts(rows, on, order, rows_per_segment)
     by = list(on) if cuts.empty else [*on, SEGMENT]
     rows = rows if cuts.empty else cuts.tag(rows)
     so_far = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
@@ -65,10 +64,13 @@ def asof_join(
             .groupBy(*by)
             .agg(F.max_by(match, F.struct(*order)).alias("__newest"))
         )
-        handed_on = join_small(cuts.segments(), newest, by, "left").select(
+        # One whole right row for each segment. It may be wide, so it is not broadcast by
+        # a hint: the rows lie by key and segment already and a plain join meets them there.
+        # A null key matches nothing, and so needs nothing handed on.
+        handed_on = cuts.segments().join(newest, by, "left").select(
             *by, F.last("__newest", ignorenulls=True).over(earlier).alias("__before")
         )
-        joined = join_small(joined, handed_on, by, "left").withColumn(
+        joined = joined.join(handed_on, by, "left").withColumn(
             _MATCH, F.coalesce(_MATCH, "__before")
         )
     if how == "inner":

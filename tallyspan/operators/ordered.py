@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,7 +14,7 @@ from tallyspan.operators.segments import (
     SEGMENT,
     Cuts,
     find_cuts,
-    join_small,
+    same,
 )
 
 
@@ -31,15 +30,15 @@ def with_lookback(
 
     ``columns`` maps a name to a function from the window (partitioned and ordered)
     to a column. ``order`` must be unique within a key. One shuffle; a hot key is
-    cut into segments, each given a copy of the rows just before it.
+    cut into segments, each given a copy of the ``rows`` rows just before it.
     """
-    cuts = find_cuts(df, keys, order, rows, rows_per_segment)
+    cuts = find_cuts(df, keys, order, rows_per_segment)
     if cuts.empty:
         window = W.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name: make(window) for name, make in columns.items()})
     window = W.partitionBy(*keys, SEGMENT).orderBy(*order)
     return (
-        cuts.tag_with_overlap(df)
+        cuts.tag_with_overlap(df, rows)
         .withColumns({name: make(window) for name, make in columns.items()})
         .where(~F.col(COPIED))
         .drop(SEGMENT, COPIED)
@@ -72,7 +71,9 @@ def count_within(
     the span, and the count is the running sum. That is linear, where a window with a
     range frame adds its frame up anew for each row.
     """
-    cuts = find_cuts(df, keys, [time], 0, rows_per_segment)
+    # Cuts are taken from the times at which a count changes, so that a span longer than
+    # a segment does not leave the steps past the last row to one task.
+    cuts = find_cuts(_steps(df, keys, time, span, F.lit(1)).select(*keys, time), keys, [time], rows_per_segment)
     if not cuts.tied:
         return _count_by_rows(df, cuts, keys, time, span, name)
     # Very many rows of a hot key share an instant. Count them per instant first, so
@@ -82,36 +83,38 @@ def count_within(
     counts = _count_by_rows(instants, cuts, keys, time, span, name, F.col("__rows"))
     by = [*keys, time]
     right = counts.select(*[F.col(c).alias(f"__r_{c}") for c in by], name)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in by])
-    counted = hot.join(right, same).select(*df.columns, name)
+    counted = hot.join(right, same(by, "__r_")).select(*df.columns, name)
     plain = Cuts(cuts.keys, cuts.order)
     return _count_by_rows(cuts.cold(df), plain, keys, time, span, name).unionByName(counted)
 
 
-def _count_by_rows(
-    df: DataFrame,
-    cuts: Cuts,
-    keys: Sequence[str],
-    time: str,
-    span: str,
-    name: str,
-    rows: Column | None = None,
-) -> DataFrame:
-    """Count as ``count_within``, for rows that stand for ``rows`` rows each."""
-    rows = F.lit(1) if rows is None else rows
-    # Step 0 counts up at the row's time and keeps its other columns; step 1 counts
-    # down a span later. The end is included, so step 1 comes after step 0.
+def _steps(df: DataFrame, keys: Sequence[str], time: str, span: str, rows: Column) -> DataFrame:
+    """Step 0 counts up at the row's time and keeps its other columns; step 1 counts
+    down a span later. The end is included, so step 1 comes after step 0."""
     later = F.col(time) + F.expr(f"INTERVAL {span}")
     changes = F.array(
         F.struct(F.col(time).alias("at"), F.lit(0).alias("step"), rows.alias("n")),
         F.struct(later.alias("at"), F.lit(1).alias("step"), (-rows).alias("n")),
     )
     kept = [c for c in df.columns if c not in keys and c != time]
-    steps = df.withColumn("__c", F.explode(changes)).select(
+    return df.withColumn("__c", F.explode(changes)).select(
         *keys, F.col("__c.at").alias(time), F.col("__c.step").alias("__step"),
         F.col("__c.n").alias("__change"),
         *[F.when(F.col("__c.step") == 0, F.col(c)).alias(c) for c in kept],
     )
+
+
+def _count_by_rows(
+    df: DataFrame,
+    cuts: Cuts,
+    keys: Sequence[str],
+    time: str,
+    span: str,
+    name: str,
+    rows: Column | None = None,
+) -> DataFrame:
+    """Count as ``count_within``, for rows that stand for ``rows`` rows each."""
+    steps = _steps(df, keys, time, span, F.lit(1) if rows is None else rows)
     by = list(keys) if cuts.empty else [*keys, SEGMENT]
     steps = steps if cuts.empty else cuts.tag(steps)
     # A range frame takes in the rows of the same instant.
@@ -124,7 +127,7 @@ def _count_by_rows(
             cuts.hot(steps).groupBy(*by).agg(F.sum("__change").alias("__n"))
             .select(*by, before)
         )
-        counted = join_small(counted, handed_on, by, "left").withColumn(
+        counted = cuts.join(counted, handed_on, by, "left").withColumn(
             name, F.col(name) + F.coalesce("__before", F.lit(0))
         )
     return counted.select(*df.columns, name)

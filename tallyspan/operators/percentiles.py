@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyspan.operators.segments import ROWS_PER_SEGMENT, SEGMENT, find_cuts, join_small
+from tallyspan.operators.segments import ROWS_PER_SEGMENT, SEGMENT, find_cuts
 
 
 def exact_percentile(
@@ -28,7 +28,7 @@ def exact_percentile(
     order.
     """
     df = df.select(*keys, value).where(F.col(value).isNotNull())
-    cuts = find_cuts(df, keys, [value], 0, rows_per_segment, distinct=True)
+    cuts = find_cuts(df, keys, [value], rows_per_segment, distinct=True)
     built_in = F.percentile(value, p).alias(name)
     if cuts.empty:
         return df.groupBy(*keys).agg(built_in)
@@ -54,7 +54,7 @@ def exact_percentile(
     ).drop("__n")
     # Equal values are counted before the shuffle, so one value may be hot too.
     values = (
-        join_small(hot, wanted, [*keys, SEGMENT], "inner")
+        cuts.join(hot, wanted, [*keys, SEGMENT], "inner")
         .groupBy(*keys, SEGMENT, value, "__at", "__low", "__high", "__before")
         .agg(F.count(F.lit(1)).alias("__n"))
     )

@@ -76,9 +76,9 @@ def _runs(
     summary = [
         F.min(time).alias("__from"), F.max(time).alias("__to"), F.count(F.lit(1)).alias("__rows")
     ]
-    cuts = find_cuts(df, keys, order, 1, rows_per_segment)
+    cuts = find_cuts(df, keys, order, rows_per_segment)
     by = list(keys) if cuts.empty else [*keys, SEGMENT]
-    rows = in_order(df if cuts.empty else cuts.tag_with_overlap(df), by, order)
+    rows = in_order(df if cuts.empty else cuts.tag_with_overlap(df, 1), by, order)
     window = W.partitionBy(*by).orderBy(*order)
     so_far = window.rowsBetween(W.unboundedPreceding, 0)
     before = F.lag(F.struct(*order, *[c for c in same if c not in order])).over(window)
@@ -86,8 +86,7 @@ def _runs(
     first = F.col("__before").isNull() | starts(F.col("__before"))
     rows = rows.withColumn("__first", F.when(first, place))
     if not cuts.empty:
-        # The copied rows only serve as the row before. Segment 0 has none, and elsewhere
-        # the first row of the segment proper always has one.
+        # The copied rows only serve as the row before. Only a key's very first row has none.
         rows = rows.where(~F.col(COPIED))
     started = F.last("__first", ignorenulls=True)
     rows = rows.withColumn("__run", started.over(so_far))

@@ -6,6 +6,11 @@ keys in a small sample and cut their rows, at values of the ordering columns, in
 segments of bounded size; the operators then use (key, segment) where they would
 have used the key, and bring what a row needs from before its segment along.
 
+The cuts are a table, one row for each hot key with its sorted cuts, that is written
+to the shared folder so that every use of it sees the same cuts. Keys and places in
+the order never leave Spark. Any cuts give the same rows: they decide only which task
+works on which rows.
+
 Keys that are not hot have one segment, number 0. Where no key is hot, ``Cuts`` is
 empty and the operators fall back to the plain window.
 """
@@ -16,239 +21,174 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallyspan.sources.sinks import write_shared
 
 SEGMENT = "__segment"
 COPIED = "__copied"
 _CUTS = "__cuts"
-_FIRST = "__first"
-_HERE = "__here"
+_HOT = "__hot"
 
-# A key is split once it holds about this many rows.
+# A key is split once it holds about this many rows. It changes the plan, not the rows.
 ROWS_PER_SEGMENT = 1_000_000
 # Sampled rows in a segment. A segment's true size is within about 1/sqrt of this.
 SAMPLES_PER_SEGMENT = 64
-# Bounds on what comes to the driver and is broadcast: at most MAX_HOT_KEYS keys,
-# and about MAX_SAMPLES / SAMPLES_PER_SEGMENT cuts. A key beyond the first
-# MAX_HOT_KEYS holds less than 1 / MAX_HOT_KEYS of the rows, so it is not hot.
-MAX_HOT_KEYS = 10_000
-MAX_SAMPLES = 4_000_000
-# Cuts in one node of a tree of up to two levels, and of a taller one.
-_LOW_FANOUT = 16
-_TALL_FANOUT = 64
+# A table about the cuts is broadcast up to this many cuts in all; beyond that it is
+# joined as any other table.
+BROADCAST_CUTS = 200_000
 _SEED = 17
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Where the rows of hot keys are cut.
-
-    A hot key has a sorted list of (cut, tail) pairs: a segment starts at its cut, and
-    at least ``overlap`` rows lie from ``tail`` up to the cut. The list is kept as a
-    tree of small arrays, each of which a row is held against in turn.
-    ``levels`` goes from the root to the leaves; it is empty where no key is hot.
-    """
+    """Where the rows of hot keys are cut: a segment starts at its cut."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    levels: tuple[DataFrame, ...] = ()
-    fanout: int = _LOW_FANOUT
+    # Keys and ``__cuts``, the sorted places; None where no key is hot.
+    table: DataFrame | None = None
+    # Cuts of the key that has most of them, and of all keys.
+    most: int = 0
+    total: int = 0
     # Whether rows that tie in the order make a segment larger than it should be.
     tied: bool = False
 
     @property
     def empty(self) -> bool:
-        return not self.levels
+        return self.table is None
+
+    def join(self, df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+        """Join a table that has at most a row for each cut. Null keys match each other."""
+        renamed = other.withColumnsRenamed({c: f"__r_{c}" for c in on})
+        if self.total <= BROADCAST_CUTS:
+            renamed = F.broadcast(renamed)
+        return df.join(renamed, same(on, "__r_"), how).drop(*[f"__r_{c}" for c in on])
 
     def _place(self, df: DataFrame) -> DataFrame:
-        """Add the segment number, and the leaf (null unless the key is hot)."""
-        here = F.col(_HERE)
-        df = df.withColumns({SEGMENT: F.lit(0), _HERE: F.struct(*self.order)})
-        for level in self.levels:
-            df = join_small(df.drop(_CUTS, _FIRST), level, [*self.keys, SEGMENT], "left")
-            passed = _count_at_or_before(F.col(_CUTS), here, self.fanout)
-            # Of a node's cuts each starts a child; rows before all are in the first.
-            number = passed if level is self.levels[-1] else F.greatest(passed - 1, F.lit(0))
-            df = df.withColumn(
-                SEGMENT,
-                F.when(F.col(_CUTS).isNull(), 0).otherwise(F.col(SEGMENT) * self.fanout + number),
-            )
-        return df
+        """Add the segment number, and whether the key is hot."""
+        here = F.struct(*self.order)
+        cuts = F.col(_CUTS)
+        # How many cuts are at or before the place, by halving steps; a cut beyond the
+        # last is null and so never passed.
+        steps = [1 << bit for bit in reversed(range(self.most.bit_length()))]
+        passed = F.aggregate(
+            F.array(*[F.lit(s) for s in steps]), F.lit(0),
+            lambda n, step: F.when(F.get(cuts, n + step - 1) <= here, n + step).otherwise(n),
+        )
+        return self.join(df, self.table, self.keys, "left").withColumns({
+            SEGMENT: F.when(cuts.isNull(), 0).otherwise(passed), _HOT: cuts.isNotNull(),
+        }).drop(_CUTS)
 
     def tag(self, df: DataFrame) -> DataFrame:
         """``df`` with a segment number."""
-        return self._place(df).drop(_CUTS, _FIRST, _HERE)
-
-    def tag_with_overlap(self, df: DataFrame) -> DataFrame:
-        """``df`` with a segment number, plus a copy of the last rows of each segment
-        in the segment after it. The copies carry ``COPIED`` = true and number at
-        least ``overlap``. This is a map step: it adds no shuffle."""
-        following = F.get(F.col(_CUTS), F.col(SEGMENT) - F.col(_FIRST))
-        own = F.struct(F.col(SEGMENT).alias("segment"), F.lit(False).alias("copied"))
-        after = F.struct((F.col(SEGMENT) + 1).alias("segment"), F.lit(True).alias("copied"))
-        in_tail = following["tail"] <= F.col(_HERE)
-        placed = self._place(df).withColumn(
-            "__at", F.explode(F.when(in_tail, F.array(own, after)).otherwise(F.array(own)))
-        )
-        return placed.withColumns(
-            {SEGMENT: F.col("__at.segment"), COPIED: F.col("__at.copied")}
-        ).drop(_CUTS, _FIRST, _HERE, "__at")
+        return self._place(df).drop(_HOT)
+
+    def tag_with_overlap(self, df: DataFrame, overlap: int) -> DataFrame:
+        """``df`` with a segment number, and with copies of the last rows before each
+        segment in it, marked ``COPIED``: ``overlap`` of them, or all there are.
+
+        A segment hands its last ``overlap`` rows to the next one, and to those after it
+        while there are fewer rows than that between. Spark keeps those rows in the map
+        tasks (up to spark.sql.optimizer.windowGroupLimitThreshold of them), so what is
+        shuffled for them is small.
+        """
+        placed = self._place(df)
+        by = [*self.keys, SEGMENT]
+        hot = placed.where(_HOT).drop(_HOT)
+        following = W.partitionBy(*self.keys).orderBy(SEGMENT)
+        counts = hot.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).withColumn(
+            "__end", F.sum("__n").over(following.rowsBetween(W.unboundedPreceding, 0)))
+        # Of segments that begin less than ``overlap`` rows after this one's end, the last.
+        points = counts.select(*by, F.explode(F.array(
+            F.struct((F.col("__end") - F.col("__n")).alias("at"), F.lit(1).alias("begins")),
+            F.struct((F.col("__end") + overlap).alias("at"), F.lit(0).alias("begins")),
+        )).alias("__p")).select(*by, "__p.*")
+        up_to = W.partitionBy(*self.keys).orderBy("at", "begins").rowsBetween(W.unboundedPreceding, 0)
+        reach = points.withColumn(
+            "__last", F.max(F.when(F.col("begins") == 1, F.col(SEGMENT))).over(up_to),
+        ).where((F.col("begins") == 0) & (F.col("__last") > F.col(SEGMENT))).select(*by, "__last")
+        backwards = W.partitionBy(*by).orderBy(*[F.desc(c) for c in self.order])
+        tail = hot.withColumn("__back", F.row_number().over(backwards)).where(
+            F.col("__back") <= overlap).drop("__back")
+        copies = self.join(tail, reach, by, "inner").withColumn(
+            SEGMENT, F.explode(F.sequence(F.col(SEGMENT) + 1, F.col("__last")))).drop("__last")
+        return placed.drop(_HOT).withColumn(COPIED, F.lit(False)).unionByName(
+            copies.withColumn(COPIED, F.lit(True)))
 
     def segments(self) -> DataFrame:
         """All segments of the hot keys, as keys and number."""
-        first, last = F.col(_FIRST), F.col(_FIRST) + F.least(F.size(_CUTS), F.lit(self.fanout))
-        numbers = F.sequence(F.when(first == 0, 0).otherwise(first + 1), last)
-        return self.levels[-1].select(*self.keys, F.explode(numbers).alias(SEGMENT))
+        return self.table.select(
+            *self.keys, F.explode(F.sequence(F.lit(0), F.size(_CUTS))).alias(SEGMENT))
 
     def hot(self, df: DataFrame) -> DataFrame:
         """The rows of hot keys only."""
-        return join_small(df, self.levels[0].select(*self.keys), self.keys, "left_semi")
+        return self.join(df, self.table.select(*self.keys), self.keys, "left_semi")
 
     def cold(self, df: DataFrame) -> DataFrame:
         """The rows of all other keys."""
-        return join_small(df, self.levels[0].select(*self.keys), self.keys, "left_anti")
+        return self.join(df, self.table.select(*self.keys), self.keys, "left_anti")
 
 
-def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Join a table bounded by MAX_HOT_KEYS and MAX_SAMPLES. Null keys match each other."""
-    renamed = small.withColumnsRenamed({c: f"__r_{c}" for c in on})
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on]
-    )
-    return df.join(F.broadcast(renamed), same, how).drop(*[f"__r_{c}" for c in on])
+def same(on: Sequence[str], prefix: str) -> Column:
+    """Whether the columns ``on`` equal those of that name after ``prefix``, nulls included."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in on])
 
 
 def find_cuts(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    overlap: int = 0,
     rows_per_segment: int = ROWS_PER_SEGMENT,
     distinct: bool = False,
 ) -> Cuts:
     """Find hot keys of ``df`` and cut their rows by the ``order`` columns.
 
-    With ``distinct`` a key is hot only if it has more than ``rows_per_segment``
+    With ``distinct`` a key is hot only if it has more than about ``rows_per_segment``
     different places in the order.
 
     Runs now, as one job over a sample of about SAMPLES_PER_SEGMENT rows in
-    ``rows_per_segment`` of the key columns, and a second one if a key is hot. Each
-    reads ``df`` anew, so give a table or a checkpointed frame. The sample only places
-    the cuts; every row stays in the result, and any cuts give the same result. Rows
-    that tie in ``order`` stay in one segment, so give a unique order where ties may
-    be many.
+    ``rows_per_segment`` of the key columns, and others if a key is hot. Each reads
+    ``df`` anew, so give a table or a checkpointed frame. Rows that tie in ``order`` stay
+    in one segment, so give a unique order where ties may be many. Where a key is hot,
+    ``spark.checkpoint.dir`` must name a folder all executors share.
     """
-    if overlap >= SAMPLES_PER_SEGMENT:
-        raise ValueError(f"overlap must be below {SAMPLES_PER_SEGMENT}")
     keys, order = tuple(keys), tuple(order)
-    none = Cuts(keys, order)
     fraction = min(1.0, SAMPLES_PER_SEGMENT / rows_per_segment)
-    hot = (
-        _sample(df.select(*keys), fraction)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") >= SAMPLES_PER_SEGMENT)
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not hot:
-        return none
-
-    spark = df.sparkSession
-    key_type = T.StructType([df.schema[c] for c in keys])
-    hot_keys = spark.createDataFrame([tuple(r[c] for c in keys) for r in hot], key_type)
-    sampled = sum(r["__n"] for r in hot)
     narrow = df.select(*keys, *[c for c in order if c not in keys])
+    hot = _sample(df.select(*keys), fraction).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= SAMPLES_PER_SEGMENT).select(*keys)
+    if hot.isEmpty():
+        return Cuts(keys, order)
+
+    def only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        wanted = wanted.withColumnsRenamed({c: f"__r_{c}" for c in keys})
+        return rows.join(wanted, same(keys, "__r_"), "left_semi")
+
     if distinct:
         places = F.approx_count_distinct(F.struct(*order)).alias("__n")
-        many = (
-            join_small(narrow, hot_keys, keys, "left_semi")
-            .groupBy(*keys).agg(places).where(F.col("__n") > rows_per_segment).collect()
-        )
-        if not many:
-            return none
-        hot_keys = spark.createDataFrame([tuple(r[c] for c in keys) for r in many], key_type)
-    sample = _sample(narrow, fraction * min(1.0, MAX_SAMPLES / sampled))
-    sorted_sample = W.partitionBy(*keys).orderBy(*order)
+        hot = only(narrow, hot).groupBy(*keys).agg(places).where(
+            F.col("__n") > rows_per_segment).select(*keys)
     place = F.struct(*order)
-    rows = (
-        join_small(sample, hot_keys, keys, "left_semi")
-        .select(
-            *keys,
-            F.row_number().over(sorted_sample).alias("__n"),
-            place.alias("cut"),
-            F.lag(place, overlap).over(sorted_sample).alias("tail"),
-            # A cut at the first of several rows that tie has the whole overlap before it.
-            (F.lag(place).over(sorted_sample) < place).alias("__fresh"),
-        )
+    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    found = (
+        only(_sample(narrow, fraction), hot)
+        .select(*keys, number.alias("__n"), place.alias("__cut"))
         .where(F.col("__n") % SAMPLES_PER_SEGMENT == 0)
-        .where(F.col("__fresh") | F.lit(overlap == 0))
-        .collect()
-    )
-    if not rows:
-        return none
-    found: dict[tuple, dict[tuple, tuple]] = {}
-    for r in sorted(rows, key=lambda r: r["__n"]):
+        .groupBy(*keys)
         # Equal cuts, from ties in the order, become one.
-        found.setdefault(tuple(r[c] for c in keys), {}).setdefault(tuple(r["cut"]), tuple(r["tail"]))
-    place_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
-    lists = {key: list(cuts.items()) for key, cuts in found.items()}
-    tied = sum(len(pairs) for pairs in lists.values()) < len(rows)
-    longest = max(len(pairs) for pairs in lists.values())
-    fanout = _LOW_FANOUT if longest <= _LOW_FANOUT**2 else _TALL_FANOUT
-    return Cuts(keys, order, _tree(spark, lists, fanout, key_type, place_type), fanout, tied)
-
-
-def _tree(
-    spark: SparkSession,
-    lists: dict[tuple, list[tuple]],
-    fanout: int,
-    key_type: T.StructType,
-    place_type: T.StructType,
-) -> tuple[DataFrame, ...]:
-    """Small tables, root first, of the nodes over each key's list of (cut, tail)."""
-    pair_type = T.StructType([T.StructField("cut", place_type), T.StructField("tail", place_type)])
-    node_type = T.StructType([
-        *key_type.fields,
-        T.StructField(SEGMENT, T.IntegerType()),
-        T.StructField(_FIRST, T.IntegerType()),
-        T.StructField(_CUTS, T.ArrayType(pair_type)),
-    ])
-    levels = []
-    while lists:
-        # A node also shows the first cut of the next one, for the tail ahead of it.
-        nodes = [
-            (*key, first // fanout, first, pairs[first:first + fanout + 1])
-            for key, pairs in lists.items()
-            for first in range(0, len(pairs), fanout)
-        ]
-        levels.insert(0, spark.createDataFrame(nodes, node_type))
-        more = max(len(pairs) for pairs in lists.values()) > fanout
-        lists = {key: pairs[::fanout] for key, pairs in lists.items()} if more else {}
-    return tuple(levels)
-
-
-def _count_at_or_before(cuts: Column, here: Column, fanout: int) -> Column:
-    """How many of a node's cuts are at or before a place.
-
-    For small nodes this is written out as a sum, which stays in generated code. Three
-    levels of that make a method too long for the JVM to compile, so a taller tree has
-    large nodes, searched by a fold over halving steps outside generated code.
-    """
-    if fanout == _LOW_FANOUT:
-        return reduce(lambda a, b: a + b, [
-            F.when(F.get(cuts, i)["cut"] <= here, 1).otherwise(0) for i in range(fanout)
-        ])
-    steps = [1 << bit for bit in reversed(range(fanout.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda n, step: F.when(F.get(cuts, n + step - 1)["cut"] <= here, n + step).otherwise(n),
+        .agg(F.sort_array(F.collect_set("__cut")).alias(_CUTS), F.count(F.lit(1)).alias("__all"))
     )
+    table = write_shared(found, "cuts")
+    facts = table.agg(
+        F.max(F.size(_CUTS)).alias("most"), F.sum(F.size(_CUTS)).alias("total"),
+        F.max(F.size(_CUTS) < F.col("__all")).alias("tied"),
+    ).first()
+    if facts["most"] is None:
+        return Cuts(keys, order)
+    return Cuts(keys, order, table.drop("__all"), facts["most"], facts["total"], facts["tied"])
 
 
 def _sample(df: DataFrame, fraction: float) -> DataFrame:

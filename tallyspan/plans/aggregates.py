@@ -108,16 +108,21 @@ def median_value(spark: SparkSession, sf_dir: str) -> DataFrame:
            sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END)::BIGINT AS error,
            sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END)::BIGINT AS purchase,
            sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END)::BIGINT AS signup,
-           sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END)::BIGINT AS view
+           sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END)::BIGINT AS view,
+           sum(CASE WHEN event_type IN ('click', 'error', 'purchase', 'signup', 'view')
+                    THEN 0 ELSE 1 END)::BIGINT AS other
     FROM events GROUP BY user_id
 """)
 def event_counts_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P13: pivot to columns. With the values known, a count per column
-    needs one shuffle; ``pivot`` makes two, by (user, type) and then by user."""
+    needs one shuffle; ``pivot`` makes two, by (user, type) and then by user. Events of
+    another kind or of none are counted as ``other``."""
+    known = F.coalesce(F.col("event_type").isin(EVENT_TYPES), F.lit(False))
     return (
         read_table(spark, sf_dir, "events")
         .groupBy("user_id")
-        .agg(*[F.count_if(F.col("event_type") == kind).alias(kind) for kind in EVENT_TYPES])
+        .agg(*[F.count_if(F.col("event_type") == kind).alias(kind) for kind in EVENT_TYPES],
+             F.count_if(~known).alias("other"))
     )
 
 

@@ -1,32 +1,31 @@
 """Queries that run as streams. Rows of the stream that are final are compared with a
-batch query over the same windows."""
+batch query over the same windows.
 
-from __future__ import annotations
+Each takes the run's ``folder`` too. With the folder of an earlier run it goes on after
+the last finished batch; without one it starts a run of its own in the shared folder,
+which it leaves there.
+"""
 
-import datetime as dt
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyspan.plans.registry import query
-from tallyspan.sources import read_table, run_folder, stream_table
+from tallyspan.sources import run_folder, stream_table
 from tallyspan.streaming import first_deliveries, run_available, session_counts, window_counts
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_table(spark, sf_dir, "events", file_glob="events.parquet")
-
-
 @query("""
     SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n
     FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n
           FROM events GROUP BY 1, 2)
     WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """)
-def stream_hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_hourly_events(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """Provisional P31: streaming tumbling windows."""
-    counts = window_counts(_events(spark, sf_dir), "ts", "1 hour", "10 minutes", ["event_type"])
-    return run_available(counts, run_folder(spark, "hourly"))
+    events = stream_table(spark, sf_dir, "events")
+    counts = window_counts(events, "ts", "1 hour", "10 minutes", ["event_type"])
+    return run_available(counts, folder or run_folder(spark, "hourly"))
 
 
 @query("""
@@ -43,69 +42,29 @@ def stream_hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM numbered GROUP BY user_id, k
     HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """)
-def stream_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_user_sessions(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """Provisional P32: streaming sessions."""
-    counts = session_counts(_events(spark, sf_dir), "ts", "30 minutes", "10 minutes", ["user_id"])
-    return run_available(counts, run_folder(spark, "sessions"))
+    events = stream_table(spark, sf_dir, "events")
+    counts = session_counts(events, "ts", "30 minutes", "10 minutes", ["user_id"])
+    return run_available(counts, folder or run_folder(spark, "sessions"))
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
-def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provisional P33: streaming deduplication, of events that are all delivered twice."""
-    twice = _events(spark, sf_dir).unionAll(_events(spark, sf_dir))
-    once = first_deliveries(twice, ["event_id"], "ts", "1 hour")
-    return run_available(once, run_folder(spark, "first-deliveries"))
-
-
-# How late errors arrive, and how often the stream runs.
-LATE_BY = dt.timedelta(days=7)
-ARRIVAL_PERIOD = dt.timedelta(days=10)
+def stream_first_deliveries(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Provisional P33: streaming deduplication by event."""
+    events = stream_table(spark, sf_dir, "events")
+    return first_deliveries(events, ["event_id"], "ts", folder or run_folder(spark, "first-deliveries"))
 
 
 @query("""
-    WITH arrivals AS (
-        SELECT ts, event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
-               datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events),
-                        CAST(CASE WHEN event_type = 'error' THEN ts + INTERVAL 7 DAY ELSE ts END AS DATE))
-               // 10 AS period
-        FROM events),
-    marks AS (
-        SELECT period, max(max(ts)) OVER (ORDER BY period) - INTERVAL 1 DAY AS mark
-        FROM arrivals GROUP BY period)
-    SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n
-    FROM arrivals LEFT JOIN marks ON marks.period = arrivals.period - 1
-    WHERE mark IS NULL OR window_start + INTERVAL 1 HOUR > mark
-    GROUP BY window_start, event_type
-    HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(mark) FROM marks)
+    SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n
+    FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n
+          FROM events GROUP BY 1, 2)
+    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
 """)
-def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provisional P34: late data. Errors come a week after they happened, a day is
-    waited for; an error whose hour was closed by then is dropped.
-
-    The events are put in a folder period by period and the stream runs after each, as
-    a scheduled job would, taking up its state from the checkpoint.
-    """
-    folder = run_folder(spark, "late")
-    events = read_table(spark, sf_dir, "events")
-    late = F.col("event_type") == "error"
-    seen = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
-    start = seen["first"].replace(hour=0, minute=0, second=0, microsecond=0)
-    end = seen["last"] + LATE_BY
-    while start <= end:
-        stop = start + ARRIVAL_PERIOD
-        # Ranges of the time itself, which reach the scan.
-        arrived = (~late & _from_to("ts", start, stop)) | (
-            late & _from_to("ts", start - LATE_BY, stop - LATE_BY)
-        )
-        events.where(arrived).write.mode("append").parquet(f"{folder}/in")
-        stream = stream_table(spark, f"{folder}/in", "events")
-        counts = window_counts(stream, "ts", "1 hour", "1 day", ["event_type"])
-        final = run_available(counts, f"{folder}/out")
-        start = stop
-    return final
-
-
-def _from_to(column: str, start: dt.datetime, stop: dt.datetime) -> Column:
-    return (F.col(column) >= F.lit(str(start)).cast("timestamp_ntz")) & (
-        F.col(column) < F.lit(str(stop)).cast("timestamp_ntz")
-    )
+def stream_late_events(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Provisional P34: windows that wait a day for late rows. The events come in order,
+    so here none is late; the tests have events that come in time and too late."""
+    events = stream_table(spark, sf_dir, "events")
+    counts = window_counts(events, "ts", "1 hour", "1 day", ["event_type"])
+    return run_available(counts, folder or run_folder(spark, "late"))

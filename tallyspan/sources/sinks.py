@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -12,23 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local session gets a new folder under /tmp and
-    keeps it; any other session is an error, since executors elsewhere could not
-    read what one machine holds.
+    Without the setting this is an error: executors elsewhere could not read what one
+    machine holds, and a session's settings are not this package's to change.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyspan-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder.rstrip("/")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for one run of a job, inside the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tallyspan/{name}-{uuid.uuid4().hex}"
+    """A new folder for one run of a job, inside the shared folder.
+
+    A job that is to go on where it stopped needs the same folder again: keep the name,
+    or name one yourself. Nothing here deletes a run's folder.
+    """
+    return f"{shared_folder(spark)}/tallyspan/{name}-{uuid.uuid4().hex}"
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that all uses see the same rows."""
+    spark, path = df.sparkSession, run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_table(

@@ -26,24 +26,33 @@ SCHEMAS = {
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The table ``name`` stored under ``folder`` as ``name.parquet``."""
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+    """The table ``name`` stored under ``folder`` as ``name.parquet``.
+
+    A table whose types are not stated above is read with those of its files.
+    """
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def stream_table(
-    spark: SparkSession,
-    folder: str,
-    name: str,
-    file_glob: str | None = None,
-    files_per_trigger: int | None = None,
+    spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = 1000
 ) -> DataFrame:
-    """A stream of the Parquet files in ``folder`` that hold rows of ``name``.
+    """A stream of the table that ``read_table`` reads: of one file, or a folder of files.
 
-    ``file_glob`` picks the files by name where the folder holds other tables too.
+    A batch takes ``files_per_trigger`` files at most, so that a backlog is worked off in
+    bounded steps.
     """
+    # A pattern that only the name itself matches: a file source takes no path of a file.
+    return stream_files(spark, f"{folder}/{name}.parque[t]", name, files_per_trigger)
+
+
+def stream_files(
+    spark: SparkSession, path: str, name: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """A stream of the Parquet files that arrive in ``path`` and hold rows of ``name``."""
     reader = spark.readStream.schema(SCHEMAS[name])
-    if file_glob is not None:
-        reader = reader.option("pathGlobFilter", file_glob)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(path)

@@ -2,38 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tallyspan.functions import as_instant
+from tallyspan.operators.segments import same
 
+_BATCH, _DAY = "__batch", "__day"
 
-def first_deliveries(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
-    """One row per key out of rows delivered any number of times.
 
-    A copy is dropped if it comes while the latest time seen is within ``delay`` of
-    the first one; state is kept no longer. Copies that lie in one Arrow batch are
-    dropped before the shuffle, so a row delivered very many times does not send them
-    all to one task.
+def first_deliveries(stream: DataFrame, keys: Sequence[str], time: str, folder: str) -> DataFrame:
+    """One row per key out of rows delivered any number of times, however late.
+
+    Processes all input present, adds the rows with new keys to ``folder`` and returns
+    all rows there. ``folder`` must be in the shared folder; called with the same one
+    again, it goes on after the last finished batch.
+
+    A batch's copies are dropped first, in the map tasks and then after the shuffle, so
+    a row delivered very many times is one row for each task. What is left is compared
+    with the rows written before: with those of the same days only, as the copies of a row
+    carry the same ``time``. A batch has a folder of its own, which a second run of that
+    batch writes anew. Rows with a null key or time are rows like others.
     """
     keys = list(keys)
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = pa.table(
-                [*(batch.column(k) for k in keys), pa.array(np.arange(batch.num_rows))],
-                names=[*keys, "__place"],
-            )
-            firsts = places.group_by(keys).aggregate([("__place", "min")])
-            yield batch.take(firsts["__place_min"].combine_chunks())
-
-    return (
-        stream.mapInArrow(thin, stream.schema)
-        .withColumn("__at", as_instant(time))
-        .withWatermark("__at", delay)
-        .dropDuplicatesWithinWatermark(keys)
-        .drop("__at")
+    rows, schema = f"{folder}/rows", stream.schema
+    whole = f"{_BATCH} bigint, {_DAY} date"
+
+    def written(spark) -> DataFrame:
+        described = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + [whole])
+        return spark.read.schema(described).option("basePath", rows).parquet(rows)
+
+    def add(batch: DataFrame, number: int) -> None:
+        new = batch.dropDuplicates(keys).withColumn(_DAY, F.to_date(time))
+        if number > 0:
+            days = batch.select(F.to_date(time).alias(f"__r_{_DAY}")).distinct()
+            seen = written(batch.sparkSession).where(F.col(_BATCH) < number).select(_DAY, *keys)
+            seen = seen.join(days, same([_DAY], "__r_"), "left_semi").select(
+                *[F.col(c).alias(f"__r_{c}") for c in keys])
+            new = new.join(seen, same(keys, "__r_"), "left_anti")
+        new.write.mode("overwrite").partitionBy(_DAY).parquet(f"{rows}/{_BATCH}={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(add)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()
+    return written(stream.sparkSession).select(*stream.columns)

@@ -5,8 +5,9 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyspan.operators import islands, with_lookback
+from tallyspan.operators import asof_join, range_join, with_lookback
 from tallyspan.operators.ordered import previous
 from tallyspan.plans import QUERIES
 from tallyspan.sources import read_table
@@ -83,11 +84,63 @@ def test_structs_stay_out_of_the_shuffle(spark, sf_dir):
     assert "struct(" not in text[text.index("Exchange"):]
 
 
-def test_split_keys_add_no_shuffle_to_a_lookback(spark, sf_dir):
+def test_split_keys_shuffle_their_rows_once(spark, sf_dir):
+    """The rows by key and segment once; beside them counts, and rows kept by a group limit."""
     events = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     split = with_lookback(events, ["user_id"], ["ts", "event_id"], 1, {"b": previous("value")}, 64)
     text = plan(split)
-    assert len(re.findall(r"\bExchange ", text)) == 1
-    assert re.search(r"Exchange hashpartitioning\(user_id#\d+L?, __segment", text)
-    runs = plan(islands(events, ["user_id"], "ts", "event_id", "value", 64))
-    assert len(re.findall(r"\bExchange ", runs)) == 2
+    whole = re.findall(r"\bExchange hashpartitioning\(user_id#\d+L?, __segment#\d+,.*\n[^\n]*Union", text)
+    assert len(whole) == 1
+    limits = re.findall(r"WindowGroupLimit [^\n]*Partial", text)
+    assert len(limits) == 1
+    assert len(re.findall(r"\bExchange ", text)) - len(whole) <= 4
+
+
+def test_a_wide_right_row_is_in_no_broadcast(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    left = events.select("user_id", "ts", "event_id")
+    right = events.select("user_id", F.col("ts").alias("r_ts"), F.col("event_id").alias("r_id"), F.repeat("props", 1000).alias("wide"))
+    joined = asof_join(left, right, ["user_id"], ("ts", "event_id"), ("r_ts", "r_id"), rows_per_segment=64)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for below in lines[i + 1:]:
+                if below.strip() and len(below) - len(below.lstrip(" :+-")) <= depth:
+                    break
+                assert "wide" not in below and "props" not in below
+
+
+def test_a_hot_hour_is_spread_over_buckets(spark):
+    """One user's clicks and purchases of one hour meet in several buckets, and Spark splits
+    the join where one is still hot."""
+    clicks = spark.range(4000).selectExpr("1 AS user_id", "id AS l", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 0.9) AS lt")
+    buys = spark.range(4000).selectExpr("1 AS user_id", "id AS r", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 0.9) AS rt")
+    pairs = range_join(clicks, buys, ["user_id"], "lt", "rt", "1 hour")
+    assert pairs.count() == 4000 * 4001 // 2
+    spread = clicks.select(F.window("lt", f"{3600 * 10**6 // 4} microseconds")["start"]).distinct().count()
+    assert spread == 4
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        split = range_join(clicks.repartition(16), buys.repartition(16), ["user_id"], "lt", "rt", "1 hour")
+        split.collect()
+        assert "skew=true" in split._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_few_averages_are_broadcast(spark, no_broadcast, sf_dir):
+    text = plan(QUERIES["parts_above_brand_average"](spark, sf_dir))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text

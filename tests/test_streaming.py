@@ -5,8 +5,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyspan.sources import SCHEMAS, read_table, run_folder, stream_table, write_table
+from tallyspan.sources import SCHEMAS, read_table, run_folder, stream_files, stream_table, write_table
 from tallyspan.streaming import first_deliveries, run_available, session_counts, window_counts
 
 START = dt.datetime(2024, 3, 1)
@@ -36,7 +37,7 @@ def test_windows_over_many_batches_equal_one(spark, folder, sf_dir):
         ).parquet(f"{folder}/in")
     results = []
     for name, files in (("one", None), ("many", 1)):
-        stream = stream_table(spark, f"{folder}/in", "events", files_per_trigger=files)
+        stream = stream_files(spark, f"{folder}/in", "events", files_per_trigger=files)
         counts = window_counts(stream, "ts", "1 hour", "10 minutes", ["event_type"])
         results.append(sorted(map(tuple, run_available(counts, f"{folder}/{name}").collect())))
         if files:
@@ -47,7 +48,7 @@ def test_windows_over_many_batches_equal_one(spark, folder, sf_dir):
 
 def test_late_rows_are_taken_until_the_window_closes(spark, folder):
     def run():
-        stream = stream_table(spark, f"{folder}/in", "events")
+        stream = stream_files(spark, f"{folder}/in", "events")
         counts = window_counts(stream, "ts", "1 hour", "30 minutes")
         rows = run_available(counts, f"{folder}/out").collect()
         return {(r.window_start - START) // HOUR: r.n for r in rows}
@@ -62,7 +63,7 @@ def test_late_rows_are_taken_until_the_window_closes(spark, folder):
 
 def test_sessions_across_restarts(spark, folder):
     def run():
-        stream = stream_table(spark, f"{folder}/in", "events")
+        stream = stream_files(spark, f"{folder}/in", "events")
         counts = session_counts(stream, "ts", "30 minutes", "10 minutes", ["user_id"])
         rows = run_available(counts, f"{folder}/out").collect()
         return sorted((r.user_id, (r.session_start - START).seconds // 60, (r.session_end - START).seconds // 60, r.n) for r in rows)
@@ -75,6 +76,12 @@ def test_sessions_across_restarts(spark, folder):
     assert run() == [(1, 0, 75, 3), (2, 5, 35, 1), (2, 60, 90, 1)]
 
 
+def deliver(spark, folder, rows):
+    arrive(spark, f"{folder}/in", rows)
+    stream = stream_files(spark, f"{folder}/in", "events", files_per_trigger=1)
+    return first_deliveries(stream, ["event_id"], "ts", f"{folder}/out").collect()
+
+
 def test_first_deliveries_with_a_hot_event(spark, folder):
     """One event is half of all rows, within and across batches."""
     rng = random.Random(8)
@@ -82,17 +89,68 @@ def test_first_deliveries_with_a_hot_event(spark, folder):
     first = [event(i, i) for i in ids for _ in range(rng.randrange(1, 4))] + [event(7, 7)] * 400
     rng.shuffle(first)
     second = [event(i, i) for i in ids[30:]] + [event(7, 7)] * 200 + [event(60, 61)]
-    results = []
-    for rows in (first, second):
-        arrive(spark, f"{folder}/in", rows)
-        stream = stream_table(spark, f"{folder}/in", "events")
-        once = first_deliveries(stream, ["event_id"], "ts", "2 hours")
-        results.append(run_available(once, f"{folder}/out").collect())
+    results = [deliver(spark, folder, rows) for rows in (first, second)]
     assert Counter(r.event_id for r in results[0]) == Counter(ids)
     assert Counter(r.event_id for r in results[1]) == Counter([*ids, 60])
     assert all(r.ts == START + dt.timedelta(minutes=r.event_id) for r in results[1] if r.event_id < 60)
 
 
+def test_deliveries_that_come_late_are_kept(spark, folder):
+    """A row far behind the others is delivered once, and again: it comes out once."""
+    for hours in (100, 101, 50, 102, 50):
+        rows = deliver(spark, folder, [event(hours, hours * 60), (None, None, hours, "view", 1.0, "{}")])
+    assert Counter(r.event_id for r in rows) == Counter([100, 101, 50, 102, None])
+
+
+def test_repeated_rows_are_dropped_in_the_map_tasks(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "events").dropDuplicates(["event_id"])
+    text = rows._jdf.queryExecution().toString()
+    assert text.index("Exchange hashpartitioning") < text.rindex("partial_first") and "Python" not in text
+
+
+def test_a_folder_of_files_gives_the_rows_of_one_file(spark, folder, sf_dir):
+    """Each stream query over eight files in several batches, and over the single file."""
+    from tallyspan.plans import QUERIES
+
+    events = read_table(spark, sf_dir, "events")
+    for part in range(8):
+        events.where(f"event_id >= {part * 1250} AND event_id < {(part + 1) * 1250}").coalesce(1).write.mode(
+            "append").parquet(f"{folder}/events.parquet")
+    for name in sorted(n for n in QUERIES if n.startswith("stream_")):
+        one = sorted(map(tuple, QUERIES[name](spark, sf_dir).collect()))
+        many = sorted(map(tuple, QUERIES[name](spark, folder).collect()))
+        assert one == many and one, name
+    stream = stream_table(spark, folder, "events", files_per_trigger=2)
+    counts = window_counts(stream, "ts", "1 hour", "10 minutes", ["event_type"])
+    rows = run_available(counts, f"{folder}/two").collect()
+    assert spark.read.text(f"{folder}/two/checkpoint/offsets").count() >= 4
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, QUERIES["stream_hourly_events"](spark, sf_dir).collect()))
+
+
+def test_a_second_call_with_the_folder_goes_on(spark, folder, sf_dir):
+    from tallyspan.plans import QUERIES
+
+    events = read_table(spark, sf_dir, "events")
+    events.where("event_id < 5000").coalesce(1).write.parquet(f"{folder}/events.parquet")
+    for name in ("stream_hourly_events", "stream_first_deliveries"):
+        first = QUERIES[name](spark, folder, f"{folder}/{name}").count()
+        assert QUERIES[name](spark, folder, f"{folder}/{name}").count() == first > 0
+    events.where("event_id >= 5000").coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    for name in ("stream_hourly_events", "stream_first_deliveries"):
+        got = QUERIES[name](spark, folder, f"{folder}/{name}")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, QUERIES[name](spark, sf_dir).collect()))
+
+
+def test_without_a_shared_folder_the_error_says_what_to_set():
+    from tallyspan.sources import shared_folder
+
+    class Bare:
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Bare)
+
+
 def test_partitioned_table_prunes_and_keeps_every_row(spark, folder, sf_dir):
     orders = read_table(spark, sf_dir, "orders").selectExpr("*", "year(o_orderdate) AS y")
     write_table(orders, folder, partition_by=["y"], sort_by=["o_orderdate"])
@@ -101,6 +159,9 @@ def test_partitioned_table_prunes_and_keeps_every_row(spark, folder, sf_dir):
     assert back.exceptAll(orders.select(back.columns)).count() == 0
     # One task writes a year here, so a year is one file.
     assert len(back.inputFiles()) == orders.select("y").distinct().count()
-    assert len(back.where("y = 1996").select("o_orderkey").inputFiles()) >= 1
+    one = back.where("y = 1996").select("o_orderkey")
+    text = one._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(y" in text and "(y#" in text.split("PartitionFilters")[1]
+    assert one.select(F.input_file_name()).distinct().count() == 1
     with pytest.raises(Exception, match="already exists"):
         write_table(orders, folder, partition_by=["y"])
