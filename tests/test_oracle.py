@@ -1,7 +1,5 @@
 """Every query against its SQL in DuckDB: names, types and values."""
 
-import datetime
-import decimal
 
 import duckdb
 import pytest
