@@ -8,7 +8,7 @@ import numpy as np
 
 from tallyspan.llm.decontaminate import _winnow, contamination
 from tallyspan.llm.queries import QUERIES
-from tallyspan.llm.words import BY_ALNUM_LOWER, Hasher, encode, spans
+from tallyspan.llm.words import Hasher, spans
 
 DOCS, ITEMS = "doc_id bigint, text string", "item_id bigint, text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
