@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import extended
+from tallyspan.llm.tables import cut, extended, few
 
 UNDETERMINED = "und"
 _CHUNK = 1 << 20
@@ -121,9 +121,9 @@ def fit(docs: DataFrame, per_language: int = 5000, buckets: int = 1 << 14, smoot
     language and bucket. No labelled rows give a model that knows no language.
     """
     docs = docs.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    share = docs.groupBy("lang").agg(
-        F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
-    chosen = docs.join(share, "lang").where(
+    share = cut(docs.groupBy("lang").agg(
+        F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("share")))
+    chosen = docs.join(few(share, 10_000), "lang").where(
         F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     rows = _gram_counts(chosen, buckets).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in rows})

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.llm.components import components
-from tallyspan.llm.tables import cut, extended
+from tallyspan.llm.tables import cut, extended, few
 from tallyspan.llm.words import BY_SPACE_LOWER, encode, mix
 
 SEED = 42
@@ -149,8 +149,9 @@ def matches(
 ) -> DataFrame:
     """(a, b, bits): probes (node, fp) and nodes (node, fp) within ``most`` bits, a <> b.
 
-    ``half``: the probes are the nodes, and each pair is looked up from one end. A pair
-    may come more than once, from several segments.
+    ``half``: the probes are the nodes, and each pair is looked up from one end; a pair may
+    come more than once, from several segments. Otherwise each probe looks for the nodes
+    before it, and a pair comes from the first segment that shows it.
     """
     keys = [i for i, r in enumerate(balls) if r >= 0]
     table = nodes.select(
@@ -167,9 +168,12 @@ def matches(
         F.explode(F.concat(*lookups)).alias("x")).select("a", "fp_a", "x.part", "x.key", "x.even")
     bits = distance(F.col("fp_a"), F.col("fp_b"), lanes)
     once = (~F.col("even") & (F.col("a") != F.col("b"))) | (F.col("b") < F.col("a"))
-    if not half:  # each probe looks for the rows before it
+    if not half:
         once = F.col("b") < F.col("a")
-    on = [probe["part"] == table["part"], probe["key"] == table["key"], once, bits <= most]
+        for k, i in enumerate(keys):
+            apart = F.bit_count(_segment(F.col("fp_a"), *parts[i]).bitwiseXOR(_segment(F.col("fp_b"), *parts[i])))
+            once = once & ((probe["part"] <= k) | (apart > balls[i]))
+    on = [probe["part"] == table["part"], probe["key"] == table["key"], bits <= most, once]
     return probe.join(table, on).select("a", "b", bits.alias("bits"))
 
 
@@ -235,9 +239,32 @@ def expected_bits(similarity: float, bits: int, deviations: float) -> int:
     return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
+def _accepted(
+    left: DataFrame, docs: DataFrame, words: int, similarity: float, rounds: int,
+) -> DataFrame:
+    """(a, b): for each a of ``left`` (a, b, bits) a b that is similar, if there is one.
+
+    A row's nearest candidate is compared first, then the next; after ``rounds`` refusals
+    all that it has left.
+    """
+    needed = cut(left.select(F.explode(F.array("a", "b")).alias("__row")).distinct())
+    sets = cut(_shingle_sets(docs.join(few(needed), "__row", "left_semi"), words))
+    nearest = F.min_by("b", F.struct("bits", "b")).alias("b")
+    links = None
+    for _ in range(rounds):
+        tried = cut(left.groupBy("a").agg(nearest))
+        if tried.isEmpty():
+            break
+        good = cut(_verified(tried, sets, similarity))
+        links = good if links is None else links.union(good)
+        left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
+    last = _verified(left, sets, similarity).groupBy("a").agg(F.min("b").alias("b"))
+    return cut(last if links is None else links.union(last))
+
+
 def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = 2, wide: int = 8,
-    segments: int = 8, ball: int = 1, bucket_rows: int = 200_000, rounds: int = 3,
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, keyed: int = 2, lanes: int = 4,
+    wide: int = 8, segments: int = 8, ball: int = 1, bucket_rows: int = 200_000, rounds: int = 3,
 ) -> DataFrame:
     """(__row, group) for each row of ``docs`` (__row, text); group is a row number.
 
@@ -246,16 +273,16 @@ def similar_groups(
     earlier row among its candidates joins one; the group's number is its first row's.
 
     Candidates come from fingerprints of 64 bits a lane: at that similarity a known share
-    of the bits differs, give or take, and some segment of theirs nearly always differs in
-    ``ball`` bits or fewer. Their distance over ``lanes`` is verified in the join, then
-    that over ``wide`` lanes, and then the sets of shingles are compared: a row's nearest
-    candidate first, and after ``rounds`` refusals all it has left.
+    of the bits differs, give or take, and some segment of the ``keyed`` lanes nearly always
+    differs in ``ball`` bits or fewer. The distance over ``lanes`` is verified in the join,
+    then that over ``wide`` lanes, and then the sets of shingles are compared, nearest first.
 
     Texts of equal words are one node throughout. A large group of near copies is not
-    compared pair by pair: a first pass looks, in each bucket of each table, at the row
-    before and at the first row only (hot buckets in parts of about ``bucket_rows``).
-    Rows so close to one of these that the fingerprints leave no doubt are linked to it
-    and ask no more. The others look up every row in their balls.
+    compared pair by pair: a first pass looks, in each bucket of each table, at the first
+    row and at the neighbour in the order of fingerprints (hot buckets in parts of about
+    ``bucket_rows``), which is a bounded number of candidates for a row. Rows that this
+    links, by fingerprints so close that they leave no doubt or by their sets, ask no
+    more. The others look up every row in their balls.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
@@ -266,40 +293,35 @@ def similar_groups(
     prints = cut(fingerprints(docs, words, wide))
     nodes = cut(prints.groupBy("same").agg(F.min("__row").alias("node"), F.first("fp").alias("wide")))
     short = nodes.select("node", F.slice("wide", 1, lanes).alias("fp"))
-    parts = layout(64 * lanes, segments)
+    parts = layout(64 * keyed, segments)
     salts = 1 + nodes.count() // bucket_rows
+
+    def far(pairs: DataFrame) -> DataFrame:
+        apart = distance(F.col("wa"), F.col("wb"), wide)
+        return cut(pairs.distinct().join(
+            nodes.select(F.col("node").alias("a"), F.col("wide").alias("wa")), "a").join(
+            nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb")), "b").where(
+            apart <= most_wide).select("a", "b", apart.alias("bits")))
+
     table = short.select(
         F.struct("node", "fp").alias("own"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"),
         F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("part", "key"))
-    bucket = Window.partitionBy("part", "key", "salt").orderBy("own.node")
+    bucket = Window.partitionBy("part", "key", "salt").orderBy("own.fp", "own.node")
+    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     looked = table.select(
-        "own", F.lag("own").over(bucket).alias("before"), F.first("own").over(bucket).alias("first"),
+        "own", F.lag("own").over(bucket).alias("before"), F.min("own").over(whole).alias("first"),
     ).select("own", F.explode(F.array("before", "first")).alias("x"))
-    near = looked.where(F.col("x.node") < F.col("own.node")).where(
+    near = far(looked.where(F.col("x.node") != F.col("own.node")).where(
         distance(F.col("own.fp"), F.col("x.fp"), lanes) <= most).select(
-        F.col("own.node").alias("a"), F.col("x.node").alias("b")).distinct()
-
-    def far(pairs: DataFrame, limit: int) -> DataFrame:
-        apart = distance(F.col("wa"), F.col("wb"), wide)
-        return pairs.join(nodes.select(F.col("node").alias("a"), F.col("wide").alias("wa")), "a").join(
-            nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb")), "b").where(
-            apart <= limit).select("a", "b", apart.alias("bits"))
-
-    nearest = F.min_by("b", F.struct("bits", "b")).alias("b")
-    links = cut(far(near, sure).groupBy("a").agg(nearest))
+        F.greatest("own.node", "x.node").alias("a"), F.least("own.node", "x.node").alias("b")))
+    links = cut(near.where(F.col("bits") <= sure).groupBy("a").agg(
+        F.min_by("b", F.struct("bits", "b")).alias("b")))
+    links = cut(links.union(_accepted(
+        near.join(links.select("a"), "a", "left_anti"), docs, words, similarity, rounds)))
     asking = short.join(links.select(F.col("a").alias("node")), "node", "left_anti")
     found = matches(asking, short, parts, [ball] * segments, most, lanes, half=False)
-    left = cut(far(found.select("a", "b").distinct(), most_wide))
-    needed = left.select(F.explode(F.array("a", "b")).alias("__row")).distinct()
-    sets = cut(_shingle_sets(docs.join(needed, "__row"), words))
-    for _ in range(rounds):
-        if left.isEmpty():
-            break
-        tried = cut(left.groupBy("a").agg(nearest))
-        good = cut(_verified(tried, sets, similarity))
-        links = links.union(good)
-        left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
-    links = links.union(_verified(left, sets, similarity))
+    late = far(found.select("a", "b")).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    links = links.union(_accepted(late, docs, words, similarity, rounds))
     reached = components(links).toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(
         "same", F.coalesce("group", "node").alias("group"))

@@ -70,6 +70,15 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """``df``, to be broadcast if it has ``most_rows`` rows or fewer.
+
+    For a written table of narrow rows, such as row numbers, that meets a wide one: the
+    wide one then stays where it is. A longer table is joined as any other.
+    """
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` written to the shared folder in buckets of ``key``: joins on it move only the other side.
 
