@@ -202,7 +202,7 @@ def calibrate(tree: Tree, index: DataFrame, queries: list, k: int, recall: float
 
 
 def search(
-    vectors: DataFrame, is_query, k: int = 20, recall: float = 0.97, leaf_rows: int = 100,
+    vectors: DataFrame, is_query, k: int = 20, recall: float = 0.95, leaf_rows: int = 1000,
     sample_rows: int = SAMPLE_ROWS, calibration: int = CALIBRATION_QUERIES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query row.
