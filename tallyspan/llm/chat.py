@@ -56,21 +56,23 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         "conv_id", "id", F.col("p").alias("up"), F.col("p").alias("parent"),
         F.coalesce("score", F.lit(0.0)).alias("total"), F.lit(0).cast("bigint").alias("steps"),
     ).withColumn("steps", F.when(F.col("up").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")))
-    # jumps[i]: (conv_id, id, up): the message 2**i answers back, where there is one.
-    jumps, left, before = [], nodes.where("up IS NOT NULL").count(), -1
-    while left:
-        jumps.append(nodes.where("up IS NOT NULL").select("conv_id", "id", "up"))
-        far = nodes.select(F.col("conv_id").alias("c"), F.col("id").alias("p"), F.col("up").alias("up2"),
-                           F.col("total").alias("total2"), F.col("steps").alias("steps2"))
-        nodes = cut(nodes.join(
-            far, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("p")), "left").select(
+    # jumps[i]: (conv_id, id, up): the message 2**i answers back, where there is one. A
+    # message that has looked back to its root is finished and joins no more.
+    finished, looking, jumps = nodes.where("up IS NULL"), nodes.where("up IS NOT NULL"), []
+    left, before = looking.count(), -1
+    while left and left != before:  # messages that never finish hang on a ring
+        jumps.append(looking.select("conv_id", "id", "up"))
+        far = finished.union(looking).select(
+            F.col("conv_id").alias("c"), F.col("id").alias("p"), F.col("up").alias("up2"),
+            F.col("total").alias("total2"), F.col("steps").alias("steps2"))
+        further = cut(looking.join(
+            far, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("p"))).select(
             "conv_id", "id", F.col("up2").alias("up"), "parent",
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps")))
-        before, left = left, nodes.where("up IS NOT NULL").count()
-        if left == before:  # only rings are left: every look back ends at another
-            nodes = nodes.where("up IS NULL")
-            break
+            (F.col("total") + F.col("total2")).alias("total"),
+            (F.col("steps") + F.col("steps2")).alias("steps")))
+        finished, looking = finished.union(further.where("up IS NULL")), further.where("up IS NOT NULL")
+        before, left = left, looking.count()
+    nodes = finished
     inner = nodes.where("parent IS NOT NULL").select(
         F.col("conv_id").alias("c"), F.col("parent").alias("p")).distinct()
     leaves = nodes.join(
