@@ -134,18 +134,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def best(queries: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, own=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def best(
+    queries: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, own=None, seen=None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per query, (places, scores) of its k best rows of ``x``, ties to smaller ids.
 
     Scores are sums of products in double precision, in one order for all rows, so that
     equal vectors have equal scores; the matrix product only narrows the choice.
-    ``own[i]`` is the place of query i's own row, or -1.
+    ``own[i]`` is the place of query i's own row, or -1; ``seen[i]`` marks the rows that
+    query i looks at (None: all).
     """
     for start in range(0, len(queries), 128):
         rough = queries[start:start + 128] @ x.T
         for i, row in enumerate(rough, start):
             if own is not None and own[i] >= 0:
                 row[own[i]] = -np.inf
+            if seen is not None:
+                row[~seen[i]] = -np.inf
             n = min(k, len(row))
             least = np.partition(row, len(row) - n)[len(row) - n]
             slack = 1e-9 * (1.0 + np.abs(least))
@@ -254,34 +259,41 @@ def search(
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = Tree(**shared.value)
         for batch in batches:
-            leaves, at = [], []
+            groups, leaves, at = [], [], []
             for i, q in enumerate(_matrix(batch.column("v")) if len(batch) else ()):
-                seen = 0
+                seen, visited = 0, {}
                 for n, leaf in enumerate(tree.visits(q)):
                     if n >= visits and seen > k:
                         break
                     seen += counts[leaf]
-                    leaves.append(leaf)
-                    at.append(i)
+                    visited.setdefault(int(group_of[leaf]), []).append(leaf)
+                groups += visited.keys()
+                leaves += visited.values()
+                at += [i] * len(visited)
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*[c.take(take) for c in batch.columns], pa.array(leaves, pa.int32())],
-                [*batch.schema.names, "leaf"])
-
-    probes = cut(asks.mapInArrow(walked, extended(asks, "leaf int")))
-    # Blocks of a leaf's vectors and of the queries that visit it.
-    sizes = index.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("nv")).join(
-        probes.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("nq")), "leaf")
-    return _met(index, probes, sizes, k)
-
-
-def _met(index: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+                [*[c.take(take) for c in batch.columns], pa.array(groups, pa.int32()),
+                 pa.array(leaves, pa.list_(pa.int32()))], [*batch.schema.names, "g", "leaves"])
+
+    # Neighbouring leaves make a group of about BLOCK_ROWS rows, which is met at once; a
+    # query looks in it at the leaves that it visits. A larger leaf is a group of its own.
+    group_of = (np.cumsum(counts) - 1) // BLOCK_ROWS
+    probes = cut(asks.mapInArrow(walked, extended(asks, "g int, leaves array<int>")))
+    groups = spark.createDataFrame([(i, int(g)) for i, g in enumerate(group_of)], "leaf int, g int")
+    held = index.join(F.broadcast(groups), "leaf")  # a row for each leaf
+    # Blocks of a group's vectors and of the queries that visit it.
+    sizes = held.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("nv")).join(
+        probes.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("nq")), "g")
+    return _met(held, probes, sizes, k)
+
+
+def _met(held: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
     """The k best of the vectors in the leaves that each query visits."""
-    asked = probes.join(sizes, "leaf").select(
-        "leaf", F.pmod(F.xxhash64("__row"), F.col("nq")).cast("int").alias("qb"),
+    asked = probes.join(sizes, "g").select(
+        "g", "leaves", F.pmod(F.xxhash64("__row"), F.col("nq")).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"), "__row", "vec_id", "v")
-    held = index.join(sizes, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"),
+    held = held.join(sizes, "g").select(
+        "g", "leaf", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"),
         F.pmod(F.xxhash64("__row"), F.col("nv")).cast("int").alias("vb"), "__row", "vec_id", "v")
 
     def meet(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
@@ -291,14 +303,15 @@ def _met(index: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataF
         own = [place.get(r, -1) for r in q["__row"].tolist()]
         ids = x["vec_id"].fillna(-1).to_numpy(np.int64)
         found = list(best(np.stack(q["v"].to_list()).astype(np.float64),
-                          np.stack(x["v"].to_list()).astype(np.float64), ids, k, own))
+                          np.stack(x["v"].to_list()).astype(np.float64), ids, k, own,
+                          [np.isin(x["leaf"].to_numpy(), visited) for visited in q["leaves"]]))
         n = [len(f[0]) for f in found]
         near = np.concatenate([f[0] for f in found])
         return pd.DataFrame({
             "asking": np.repeat(q["__row"].to_numpy(), n), "query_id": q["vec_id"].repeat(n).to_numpy(),
             "vec_id": x["vec_id"].to_numpy()[near], "score": np.concatenate([f[1] for f in found])})
 
-    keys = ["leaf", "qb", "vb"]
+    keys = ["g", "qb", "vb"]
     met = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
         meet, "asking bigint, query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("asking").orderBy(F.desc("score"), "vec_id")
