@@ -32,11 +32,11 @@ SEED = 42
 _CHUNK = 1 << 15
 
 
-def fingerprint(tokens: list[bytes], words: int, lanes: int = 1) -> list[int]:
+def fingerprint(tokens: list[bytes], words: int, lanes: int = 1, once: bool = False) -> list[int]:
     """``lanes`` signed 64-bit numbers: majority bits of the hashes of all shingles.
 
-    Shingles are ``words`` words joined by one space and count as often as they occur;
-    fewer words are one shingle, and none have all bits zero. The first lane is made of
+    Shingles are ``words`` words joined by one space and count as often as they occur, or
+    ``once`` each; fewer words are one shingle, and none have all bits zero. The first lane is made of
     XXH64 with seed 42, further ones of numbers mixed from it.
     """
     if not tokens:
@@ -45,12 +45,15 @@ def fingerprint(tokens: list[bytes], words: int, lanes: int = 1) -> list[int]:
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(tokens) - words + 1)
-    first, last = starts[:n].tolist(), ends[-n:].tolist()
     digest, counts = xxhash.xxh64_intdigest, np.zeros((lanes, 64), np.int64)
+    every = np.fromiter(
+        (digest(joined[s:e], SEED)
+         for s, e in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64)
+    if once:
+        every = np.unique(every)
+        n = len(every)
     for i in range(0, n, _CHUNK):
-        hashes = np.fromiter(
-            (digest(joined[s:e], SEED)
-             for s, e in zip(first[i:i + _CHUNK], last[i:i + _CHUNK], strict=True)), np.uint64)
+        hashes = every[i:i + _CHUNK]
         for lane in range(lanes):
             own = (hashes if lane == 0 else mix(hashes + np.uint64(lane))).astype(">u8")
             bits = np.unpackbits(own.view(np.uint8)).reshape(-1, 64)
@@ -59,7 +62,7 @@ def fingerprint(tokens: list[bytes], words: int, lanes: int = 1) -> list[int]:
     return [int.from_bytes(lane.tobytes(), "big", signed=True) for lane in set_bits]
 
 
-def fingerprints(docs: DataFrame, words: int, lanes: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int, lanes: int = 1, once: bool = False) -> DataFrame:
     """``docs`` with ``same`` and ``fp`` (an array of ``lanes`` bigints) for its ``text``.
 
     ``same`` is a digest of the words, equal for texts of equal words.
@@ -72,7 +75,7 @@ def fingerprints(docs: DataFrame, words: int, lanes: int = 1) -> DataFrame:
             for text in batch.column("text"):
                 tokens = encode(text.as_py(), BY_SPACE_LOWER).split()
                 same.append(xxhash.xxh3_128_digest(b" ".join(tokens)))
-                found.append(fingerprint(tokens, words, lanes))
+                found.append(fingerprint(tokens, words, lanes, once))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in others], pa.array(same, pa.binary()),
                  pa.array(found, pa.list_(pa.int64()))], [*others, "same", "fp"])
@@ -281,16 +284,15 @@ def similar_groups(
     compared pair by pair: a first pass looks, in each bucket of each table, at the first
     row and at the neighbour in the order of fingerprints (hot buckets in parts of about
     ``bucket_rows``), which is a bounded number of candidates for a row. Rows that this
-    links, by fingerprints so close that they leave no doubt or by their sets, ask no
-    more. The others look up every row in their balls.
+    links ask no more. The others look up every row in their balls.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
     """
     docs = docs.select("__row", "text")
     most = expected_bits(similarity, 64 * lanes, 2.0)
-    most_wide, sure = (expected_bits(similarity, 64 * wide, x) for x in (2.0, -2.0))
-    prints = cut(fingerprints(docs, words, wide))
+    most_wide = expected_bits(similarity, 64 * wide, 2.0)
+    prints = cut(fingerprints(docs, words, wide, once=True))
     nodes = cut(prints.groupBy("same").agg(F.min("__row").alias("node"), F.first("fp").alias("wide")))
     short = nodes.select("node", F.slice("wide", 1, lanes).alias("fp"))
     parts = layout(64 * keyed, segments)
@@ -314,10 +316,7 @@ def similar_groups(
     near = far(looked.where(F.col("x.node") != F.col("own.node")).where(
         distance(F.col("own.fp"), F.col("x.fp"), lanes) <= most).select(
         F.greatest("own.node", "x.node").alias("a"), F.least("own.node", "x.node").alias("b")))
-    links = cut(near.where(F.col("bits") <= sure).groupBy("a").agg(
-        F.min_by("b", F.struct("bits", "b")).alias("b")))
-    links = cut(links.union(_accepted(
-        near.join(links.select("a"), "a", "left_anti"), docs, words, similarity, rounds)))
+    links = _accepted(near, docs, words, similarity, rounds)
     asking = short.join(links.select(F.col("a").alias("node")), "node", "left_anti")
     found = matches(asking, short, parts, [ball] * segments, most, lanes, half=False)
     late = far(found.select("a", "b")).join(near.select("a", "b"), ["a", "b"], "left_anti")

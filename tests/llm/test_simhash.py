@@ -151,3 +151,21 @@ def test_a_large_group_of_near_copies_is_not_compared_pair_by_pair(frame):
     groups = simhash.similar_groups(docs)
     assert groups.select("group").distinct().count() == 1
     assert groups.where(F.col("group") > F.col("__row")).count() == 0
+
+
+def grouped(frame, texts):
+    docs = with_row(frame(list(enumerate(texts)), DOCS))
+    ids = {r["__row"]: r["doc_id"] for r in docs.collect()}
+    return {ids[r["__row"]]: ids[r["group"]] for r in simhash.similar_groups(docs).collect()}
+
+
+def test_a_repeated_line_neither_joins_different_texts_nor_parts_alike_ones(frame):
+    draw = random.Random(5)
+    prose = lambda n=200: " ".join("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    line = prose(9)
+    texts = [f"{prose()}\n" + f"{line}\n" * n for n in (30, 60, 100, 100)]
+    same = prose()
+    texts += [f"{same}\n" + f"{line}\n" * n for n in (2, 30)]
+    got = grouped(frame, texts)
+    assert len({got[i] for i in range(4)}) == 4 and got[4] == got[5]
+    assert not {got[i] for i in range(4)} & {got[4]}
