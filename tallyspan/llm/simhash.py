@@ -62,25 +62,56 @@ def fingerprint(tokens: list[bytes], words: int, lanes: int = 1, once: bool = Fa
     return [int.from_bytes(lane.tobytes(), "big", signed=True) for lane in set_bits]
 
 
-def fingerprints(docs: DataFrame, words: int, lanes: int = 1, once: bool = False) -> DataFrame:
+def band_keys(tokens: list[bytes], words: int, bands: int, least: int) -> list[int]:
+    """A signed 64-bit key for each band: of ``least`` least hashes of the set of shingles.
+
+    Each least hash is taken by a hash function of its own, so two texts agree in it with
+    the probability of their Jaccard similarity, however few their shingles.
+    """
+    if not tokens:
+        return [0] * bands
+    own = np.unique(np.fromiter(
+        (xxhash.xxh64_intdigest(b" ".join(tokens[i:i + words]), SEED + 1)
+         for i in range(max(1, len(tokens) - words + 1))), np.uint64))
+    low = np.full(bands * least, ~np.uint64(0))
+    salts = mix(np.arange(1, bands * least + 1, dtype=np.uint64))
+    for i in range(0, len(own), _CHUNK):
+        part = own[i:i + _CHUNK]
+        low = np.minimum(low, np.fromiter((mix(part ^ x).min() for x in salts), np.uint64))
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for column in low.reshape(bands, least).T:
+        keys = mix(keys ^ column) + np.uint64(1)
+    return keys.view(np.int64).tolist()
+
+
+def fingerprints(
+    docs: DataFrame, words: int, lanes: int = 1, once: bool = False, bands: int = 0, least: int = 5,
+) -> DataFrame:
     """``docs`` with ``same`` and ``fp`` (an array of ``lanes`` bigints) for its ``text``.
 
-    ``same`` is a digest of the words, equal for texts of equal words.
+    ``same`` is a digest of the words, equal for texts of equal words. With ``bands`` there
+    are ``keys`` too, an array of as many bigints.
     """
     others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, found = [], []
+            same, found, keys = [], [], []
             for text in batch.column("text"):
                 tokens = encode(text.as_py(), BY_SPACE_LOWER).split()
                 same.append(xxhash.xxh3_128_digest(b" ".join(tokens)))
                 found.append(fingerprint(tokens, words, lanes, once))
+                if bands:
+                    keys.append(band_keys(tokens, words, bands, least))
+            new = [pa.array(same, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
+            if bands:
+                new.append(pa.array(keys, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.array(same, pa.binary()),
-                 pa.array(found, pa.list_(pa.int64()))], [*others, "same", "fp"])
+                [*[batch.column(c) for c in others], *new], [*others, *names])
 
-    return docs.mapInArrow(run, extended(docs, "same binary, fp array<bigint>", without=("text",)))
+    names = ["same", "fp", "keys"] if bands else ["same", "fp"]
+    return docs.mapInArrow(run, extended(
+        docs, "same binary, fp array<bigint>" + (", keys array<bigint>" if bands else ""), without=("text",)))
 
 
 def segments_for(n: int, bits: int = 64) -> int:
@@ -236,12 +267,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where((union > 0) & (shared >= similarity * union)).select("a", "b")
 
 
-def expected_bits(similarity: float, bits: int, deviations: float) -> int:
-    """How many of ``bits`` differ at a Jaccard similarity, with standard deviations more."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
-
-
 def _accepted(
     left: DataFrame, docs: DataFrame, words: int, similarity: float, rounds: int,
 ) -> DataFrame:
@@ -266,8 +291,8 @@ def _accepted(
 
 
 def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, keyed: int = 2, lanes: int = 4,
-    wide: int = 8, segments: int = 8, ball: int = 1, bucket_rows: int = 200_000, rounds: int = 3,
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, wide: int = 8, bands: int = 28,
+    least: int = 5, bucket_rows: int = 200_000, rounds: int = 3,
 ) -> DataFrame:
     """(__row, group) for each row of ``docs`` (__row, text); group is a row number.
 
@@ -275,51 +300,42 @@ def similar_groups(
     ``words``-word shingles is at least ``similarity``. Every row that has such an
     earlier row among its candidates joins one; the group's number is its first row's.
 
-    Candidates come from fingerprints of 64 bits a lane: at that similarity a known share
-    of the bits differs, give or take, and some segment of the ``keyed`` lanes nearly always
-    differs in ``ball`` bits or fewer. The distance over ``lanes`` is verified in the join,
-    then that over ``wide`` lanes, and then the sets of shingles are compared, nearest first.
+    Candidates share one of ``bands`` keys, each of ``least`` least hashes: of pairs at a
+    similarity of s, all but (1 - s ** least) ** bands, which is 1.5e-5 at 0.8. The sets
+    of shingles are compared, nearest first by fingerprints of ``wide`` lanes.
 
     Texts of equal words are one node throughout. A large group of near copies is not
-    compared pair by pair: a first pass looks, in each bucket of each table, at the first
-    row and at the neighbour in the order of fingerprints (hot buckets in parts of about
-    ``bucket_rows``), which is a bounded number of candidates for a row. Rows that this
-    links ask no more. The others look up every row in their balls.
+    compared pair by pair: a first pass looks, for each key, at the first row and at the
+    one before (hot keys in parts of about ``bucket_rows``), which is a bounded number of
+    candidates for a row. Rows that this links ask no more. The others look up every row
+    of their keys.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
     """
     docs = docs.select("__row", "text")
-    most = expected_bits(similarity, 64 * lanes, 2.0)
-    most_wide = expected_bits(similarity, 64 * wide, 2.0)
-    prints = cut(fingerprints(docs, words, wide, once=True))
-    nodes = cut(prints.groupBy("same").agg(F.min("__row").alias("node"), F.first("fp").alias("wide")))
-    short = nodes.select("node", F.slice("wide", 1, lanes).alias("fp"))
-    parts = layout(64 * keyed, segments)
+    prints = cut(fingerprints(docs, words, wide, once=True, bands=bands, least=least))
+    nodes = cut(prints.groupBy("same").agg(
+        F.min("__row").alias("node"), F.first("fp").alias("wide"), F.first("keys").alias("keys")))
     salts = 1 + nodes.count() // bucket_rows
 
-    def far(pairs: DataFrame) -> DataFrame:
+    def measured(pairs: DataFrame) -> DataFrame:
         apart = distance(F.col("wa"), F.col("wb"), wide)
         return cut(pairs.distinct().join(
             nodes.select(F.col("node").alias("a"), F.col("wide").alias("wa")), "a").join(
-            nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb")), "b").where(
-            apart <= most_wide).select("a", "b", apart.alias("bits")))
-
-    table = short.select(
-        F.struct("node", "fp").alias("own"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"),
-        F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("part", "key"))
-    bucket = Window.partitionBy("part", "key", "salt").orderBy("own.fp", "own.node")
-    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb")), "b").select(
+            "a", "b", apart.alias("bits")))
+
+    table = nodes.select("node", F.explode("keys").alias("key"))
+    bucket = Window.partitionBy("key", F.pmod(F.xxhash64("node"), F.lit(salts))).orderBy("node")
     looked = table.select(
-        "own", F.lag("own").over(bucket).alias("before"), F.min("own").over(whole).alias("first"),
-    ).select("own", F.explode(F.array("before", "first")).alias("x"))
-    near = far(looked.where(F.col("x.node") != F.col("own.node")).where(
-        distance(F.col("own.fp"), F.col("x.fp"), lanes) <= most).select(
-        F.greatest("own.node", "x.node").alias("a"), F.least("own.node", "x.node").alias("b")))
+        "node", F.lag("node").over(bucket).alias("before"), F.first("node").over(bucket).alias("first"))
+    near = measured(looked.select(
+        F.col("node").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("b < a"))
     links = _accepted(near, docs, words, similarity, rounds)
-    asking = short.join(links.select(F.col("a").alias("node")), "node", "left_anti")
-    found = matches(asking, short, parts, [ball] * segments, most, lanes, half=False)
-    late = far(found.select("a", "b")).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    asking = table.join(links.select(F.col("a").alias("node")), "node", "left_anti")
+    found = asking.toDF("a", "key").join(table.toDF("b", "key"), "key").where("b < a")
+    late = measured(found.select("a", "b")).join(near.select("a", "b"), ["a", "b"], "left_anti")
     links = links.union(_accepted(late, docs, words, similarity, rounds))
     reached = components(links).toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(

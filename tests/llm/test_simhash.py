@@ -169,3 +169,22 @@ def test_a_repeated_line_neither_joins_different_texts_nor_parts_alike_ones(fram
     got = grouped(frame, texts)
     assert len({got[i] for i in range(4)}) == 4 and got[4] == got[5]
     assert not {got[i] for i in range(4)} & {got[4]}
+
+
+def test_no_pair_at_the_edge_is_lost(frame):
+    draw = random.Random(21)
+    texts, pairs = [], []
+    for _ in range(150):  # the second text has a run of other words at its end: 0.80 to 0.82
+        words = [f"w{draw.randrange(10 ** 9)}" for _ in range(204)]
+        other = words[:-draw.randrange(20, 23)]
+        other += [f"v{draw.randrange(10 ** 9)}" for _ in range(204 - len(other))]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(words), " ".join(other)]
+    few = [f"x{i}" for i in range(9)]
+    pairs.append((len(texts), len(texts) + 1))
+    texts += [" ".join(few), " ".join(few[:-1])]  # five shingles against four
+    sets = [shingles(t) for t in texts]
+    assert all(0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.83 for a, b in pairs)
+    got = grouped(frame, texts)
+    assert [(a, b) for a, b in pairs if got[a] != got[b]] == []
+    assert len(set(got.values())) == len(pairs)
