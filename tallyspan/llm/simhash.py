@@ -259,6 +259,12 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("__row", "text").mapInArrow(run, "__row bigint, shingles array<int>")
 
 
+def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(__row, shingles) of the rows in ``pairs`` (a, b)."""
+    needed = cut(pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct())
+    return cut(_shingle_sets(docs.join(few(needed), "__row", "left_semi"), words))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` (a, b) of rows whose sets of shingles overlap by ``similarity``."""
     both = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
@@ -270,24 +276,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def _accepted(
     left: DataFrame, docs: DataFrame, words: int, similarity: float, rounds: int,
 ) -> DataFrame:
-    """(a, b): for each a of ``left`` (a, b, bits) a b that is similar, if there is one.
+    """(a, b): for each a of ``left`` (a, b, bits) a b that is similar, if it is found soon.
 
-    A row's nearest candidate is compared first, then the next; after ``rounds`` refusals
-    all that it has left.
+    A row's nearest candidate is compared first, then the next, ``rounds`` in all.
     """
-    needed = cut(left.select(F.explode(F.array("a", "b")).alias("__row")).distinct())
-    sets = cut(_shingle_sets(docs.join(few(needed), "__row", "left_semi"), words))
+    sets = _sets_of(left, docs, words)
     nearest = F.min_by("b", F.struct("bits", "b")).alias("b")
-    links = None
+    links = left.select("a", "b").where("false")
     for _ in range(rounds):
         tried = cut(left.groupBy("a").agg(nearest))
         if tried.isEmpty():
             break
         good = cut(_verified(tried, sets, similarity))
-        links = good if links is None else links.union(good)
+        links = links.union(good)
         left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
-    last = _verified(left, sets, similarity).groupBy("a").agg(F.min("b").alias("b"))
-    return cut(last if links is None else links.union(last))
+    return cut(links)
+
+
+def _across(table: DataFrame, reached: DataFrame) -> DataFrame:
+    """(a, b), b < a: all pairs of ``table`` (node, key) of one key in different components.
+
+    ``reached``: (node, component). Within a key, the rows outside its largest component
+    meet all others, so a key that one component holds makes no pair.
+    """
+    placed = table.join(reached, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    mixed = cut(placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where(
+        "low <> high").select("key"))
+    rows = cut(placed.join(few(mixed), "key", "left_semi"))
+    sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"))
+    outside = rows.join(largest, "key").where("component <> largest")
+    pairs = outside.select("key", F.col("node").alias("x"), F.col("component").alias("cx")).join(
+        rows.select("key", F.col("node").alias("y"), F.col("component").alias("cy")), "key").where("cx <> cy")
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def similar_groups(
@@ -296,9 +320,9 @@ def similar_groups(
 ) -> DataFrame:
     """(__row, group) for each row of ``docs`` (__row, text); group is a row number.
 
-    A row joins the group of an earlier row if the Jaccard similarity of their sets of
-    ``words``-word shingles is at least ``similarity``. Every row that has such an
-    earlier row among its candidates joins one; the group's number is its first row's.
+    Rows are linked if the Jaccard similarity of their sets of ``words``-word shingles is
+    at least ``similarity``, and a group is what links reach: no two candidates so similar
+    are in different groups, whatever the order of rows. Its number is its first row's.
 
     Candidates share one of ``bands`` keys, each of ``least`` least hashes: of pairs at a
     similarity of s, all but (1 - s ** least) ** bands, which is 1.5e-5 at 0.8. The sets
@@ -307,8 +331,8 @@ def similar_groups(
     Texts of equal words are one node throughout. A large group of near copies is not
     compared pair by pair: a first pass looks, for each key, at the first row and at the
     one before (hot keys in parts of about ``bucket_rows``), which is a bounded number of
-    candidates for a row. Rows that this links ask no more. The others look up every row
-    of their keys.
+    candidates for a row. Components of these links are then taken, and every pair of one
+    key that is still in two components is compared.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
@@ -333,10 +357,8 @@ def similar_groups(
     near = measured(looked.select(
         F.col("node").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("b < a"))
     links = _accepted(near, docs, words, similarity, rounds)
-    asking = table.join(links.select(F.col("a").alias("node")), "node", "left_anti")
-    found = asking.toDF("a", "key").join(table.toDF("b", "key"), "key").where("b < a")
-    late = measured(found.select("a", "b")).join(near.select("a", "b"), ["a", "b"], "left_anti")
-    links = links.union(_accepted(late, docs, words, similarity, rounds))
+    left = cut(_across(table, components(links).toDF("node", "component")))
+    links = cut(links.union(_verified(left, _sets_of(left, docs, words), similarity)))
     reached = components(links).toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(
         "same", F.coalesce("group", "node").alias("group"))

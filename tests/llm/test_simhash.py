@@ -188,3 +188,20 @@ def test_no_pair_at_the_edge_is_lost(frame):
     got = grouped(frame, texts)
     assert [(a, b) for a, b in pairs if got[a] != got[b]] == []
     assert len(set(got.values())) == len(pairs)
+
+
+def test_groups_do_not_depend_on_the_order_of_rows(frame):
+    draw = random.Random(31)
+    texts, copies = [], []
+    for _ in range(10):  # two copies are each like the original, but not like each other
+        words = [f"w{draw.randrange(10 ** 9)}" for _ in range(204)]
+        copies.append([[f"v{draw.randrange(10 ** 9)}" for _ in range(18)] + words[18:], words,
+                       words[:-18] + [f"v{draw.randrange(10 ** 9)}" for _ in range(18)]])
+    for order in ((0, 2, 1), (1, 0, 2), (0, 1, 2)):
+        texts = [" ".join(c[i]) for i in order for c in copies]
+        sets = [shingles(t) for t in texts]
+        alike = [(a, b) for a in range(30) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+        assert len(alike) == 20
+        got = grouped(lambda rows, schema: frame(rows, schema, files=1), texts)
+        assert [(a, b) for a, b in alike if got[a] != got[b]] == []
+        assert len(set(got.values())) == 10
