@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut
+from tallyspan.llm.tables import cut, few, with_row
 
 BROADCAST_ROWS = 100_000  # boilerplate lines of about 60 bytes that are sent to every task
 
@@ -25,15 +25,23 @@ def _digests(text: Column) -> Column:
 
 def boilerplate(
     pages: DataFrame, host: str, text: str = "text", most_ratio: float = 0.1, least_pages: int = 5,
+    copies: bool = True,
 ) -> DataFrame:
     """(host, line, n_pages, host_pages) of the lines above the ratio; line is a digest.
 
-    A line counts once for each page. Blank lines are no lines. At least ``least_pages``
+    A line counts once for each page. Without ``copies``, the pages of a host with equal
+    texts are one page, so that only lines shared by different pages are boilerplate. Blank lines are no lines. At least ``least_pages``
     pages must have the line: on a host of few pages a line of one page is no sign.
     """
-    own = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
+    own = pages.select(F.col(host).alias("host"), F.array_distinct(_digests(F.col(text))).alias("lines"))
+    if not copies:  # a digest tells pages apart, and one row of each is opened
+        own = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
+        own = with_row(own).withColumn("page", F.unhex(F.md5(F.encode("text", "UTF-8"))))
+        first = cut(own.groupBy("host", "page").agg(F.min("__row").alias("__row")).select("__row"))
+        own = own.join(few(first), "__row", "left_semi").select(
+            "host", F.array_distinct(_digests(F.col("text"))).alias("lines"))
     totals = own.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    each = own.select("host", F.explode(F.array_distinct(_digests(F.col("text")))).alias("line"))
+    each = own.select("host", F.explode("lines").alias("line"))
     counts = each.where("line IS NOT NULL").groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages"))
     return counts.where(F.col("n_pages") >= least_pages).alias("c").join(
         totals.alias("t"), F.col("c.host").eqNullSafe(F.col("t.host"))).where(
@@ -43,7 +51,7 @@ def boilerplate(
 
 def drop_boilerplate(
     pages: DataFrame, host: str, text: str = "text", most_ratio: float = 0.1, least_pages: int = 5,
-    dropped: str = "n_dropped",
+    dropped: str = "n_dropped", copies: bool = True,
 ) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text``, and how many in ``dropped``.
 
@@ -54,10 +62,11 @@ def drop_boilerplate(
 
     The other lines stay as they were, in order, blank ones included; a text that loses
     every line is empty. Null texts stay null and count as pages of their host; a null
-    host is one host; repeated rows are pages of their own; other columns stay, but for
+    host is one host; repeated rows are pages of their own, or one page without ``copies``
+    (``pages`` must then be as ``with_row`` asks); other columns stay, but for
     one named as ``dropped``, which is replaced; no rows give no rows.
     """
-    found = cut(boilerplate(pages, host, text, most_ratio, least_pages))
+    found = cut(boilerplate(pages, host, text, most_ratio, least_pages, copies))
     by_host = found.groupBy("host").agg(F.collect_list("line").alias("__lines")).withColumnRenamed(
         "host", "__host")
     if found.count() <= BROADCAST_ROWS:

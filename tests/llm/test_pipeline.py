@@ -97,3 +97,15 @@ def test_nulls_repeated_rows_clashing_columns_and_no_rows(spark, sf_folder, tmp_
     empty = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).collect() == []
+
+
+def test_a_text_with_many_copies_stays_once(spark, sf_folder, tmp_path):
+    draw = random.Random(12)
+    texts = ["\n".join(" ".join(words(draw, 30)) for _ in range(4)) for _ in range(22)]
+    rows = [(i, "menu of the site\n" + t, "aa", "s", 0) for i, t in enumerate([*texts[:20], *texts[20:] * 15])]
+    docs = spark.read.parquet(sf_folder({"documents": (rows, DOCS)}) + "/documents.parquet")
+    corpus_pipeline.line_dedup(spark, docs, "").write.parquet(str(tmp_path / "lines"))
+    docs = spark.read.parquet(str(tmp_path / "lines"))
+    assert sorted({r["text"] for r in docs.collect()}) == sorted(texts)
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted(r["text"] for r in got) == sorted(texts)
