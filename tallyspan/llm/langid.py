@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut, extended, few
+from tallyspan.llm.tables import cut, extended, few, with_row
 
 UNDETERMINED = "und"
 _CHUNK = 1 << 20
@@ -116,15 +116,18 @@ def _gram_counts(docs: DataFrame, buckets: int) -> DataFrame:
 def fit(docs: DataFrame, per_language: int = 5000, buckets: int = 1 << 14, smooth: float = 0.5) -> Model:
     """A model of the labelled ``docs`` (text, lang); rows without either teach nothing.
 
-    About ``per_language`` texts of each language are used, chosen by a hash of the
-    text; of a language with fewer, all. What reaches the driver is one number for each
+    About ``per_language`` different texts of each language are used, chosen by a hash of
+    the text; of a language with fewer, all. Copies of a text are one: the least row
+    number stands for them, so ``docs`` must be as ``with_row`` asks. What reaches the driver is one number for each
     language and bucket. No labelled rows give a model that knows no language.
     """
-    docs = docs.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    share = cut(docs.groupBy("lang").agg(
-        F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("share")))
-    chosen = docs.join(few(share, 10_000), "lang").where(
-        F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    docs = with_row(docs).select("__row", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    texts = cut(docs.groupBy("lang", F.xxhash64("text").alias("digest")).agg(F.min("__row").alias("__row")))
+    share = texts.groupBy("lang").agg(
+        F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
+    chosen = cut(texts.join(share, "lang").where(
+        F.pmod("digest", F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("__row"))
+    chosen = docs.join(few(chosen), "__row", "left_semi")
     rows = _gram_counts(chosen, buckets).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in rows})
     counts = np.full((len(languages), buckets), smooth)

@@ -98,3 +98,16 @@ def test_held_out_folds(spark):
     rows = spark.createDataFrame([(i,) for i in ids], "doc_id bigint").select("doc_id", langid.held_out(F.col("doc_id")).alias("h"))
     assert {r["doc_id"]: r["h"] for r in rows.collect()} == {
         i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0 for i in ids}
+
+
+def test_copies_count_once_and_every_language_is_learned(frame):
+    draw = random.Random(6)
+    own = {x: [text_of(draw, LETTERS[x], 20) for _ in range(3)] for x in ("aa", "cc", "ee")}
+    rows = [(x, t) for x in own for t in own[x]]
+    many = [r for r in rows for _ in range(400)] + [("ff", text_of(draw, LETTERS["ff"], 20)) for _ in range(300)]
+    docs = frame([(i, t, x) for i, (x, t) in enumerate(many)], DOCS)
+    few = langid.fit(docs, per_language=30, buckets=1 << 10)
+    assert few.languages == ["aa", "cc", "ee", "ff"]
+    one = langid.fit(frame([(i, t, x) for i, (x, t) in enumerate(rows)], DOCS), buckets=1 << 10)
+    alone = langid.fit(docs.where("lang <> 'ff'"), per_language=30, buckets=1 << 10)
+    assert np.array_equal(one.weights, alone.weights)
