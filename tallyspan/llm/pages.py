@@ -52,7 +52,8 @@ NOT_CONTENT = frozenset(
 CONTENT = frozenset("article main".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])(?:[^\"'>]|\"[^\"]*\"|'[^']*')*/>"
+    rf"|<(?P<raw>{RAW})\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -129,7 +130,7 @@ def leaves(page: str) -> list[tuple[Node, str, int]]:
                 stack.pop()
         if tag not in VOID:
             stack.append(Node(tag, names_of(token["rest"]), stack[-1]))
-            if token["rest"].endswith("/") and tag in ("svg", "path"):
+            if token["rest"].endswith("/") and tag == "path":
                 stack.pop()
     take(page[at:])
     flush()

@@ -27,6 +27,7 @@ ODD = [
     ("</div></p></article>stray", ["stray"]),
     ("<div class='menu'><a href=x>Home</a></div><div id=content><h2>Title</h2><p>One, two. Three, four and five.</p><p>Six.</p></div>"
      "<div class='reader-comments'><p>Nice, thanks.</p></div>", ["Title", "One, two. Three, four and five.", "Six."]),
+    ('<p>a</p><svg class="i"/><p>b <svg viewBox=">" />c</p><svg/><math/><p>d</p><svg><path d=""/><text>no</text></svg><p>e</p>', ["a", "b c", "d", "e"]),
 ]
 
 
