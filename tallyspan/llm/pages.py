@@ -10,8 +10,9 @@ pass the threshold are the content.
 
 Names say what ratios can't: a short paragraph of an article has less text than a long
 notice. So paths through elements that are no content by tag, role, class or id (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) score nothing, and
-``article`` and ``main`` hold what is in them.
+headers, footers, sidebars, notices, adverts, forms, comments) score nothing, and those
+through ``article`` and ``main`` score a fixed term more, which passes the threshold; where
+the walk ends in one of them, all it holds is content.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td
 ENDS_P = frozenset(
     "address article aside blockquote center details div dl fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ENDS = HEADINGS | frozenset("p li td pre".split())  # blocks, which the walk does not enter
 NOT_CONTENT = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer foot copyright sidebar "
@@ -50,6 +53,7 @@ NOT_CONTENT = frozenset(
     "pagination pager comment comments commentlist disqus replies respond discussion form "
     "complementary contentinfo skip".split())
 CONTENT = frozenset("article main".split())
+HELD = 40.0  # what a path through an article or main element scores besides its ratios
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])(?:[^\"'>]|\"[^\"]*\"|'[^']*')*/>"
@@ -146,7 +150,7 @@ def names_of(attributes: str) -> frozenset[str]:
 
 
 def path_scores(found: list[tuple[Node, str, int]], spread: float = 1.0) -> dict[str, float]:
-    """A score for each path: text and punctuation a leaf, without links, smoothed."""
+    """A score for each path: text and punctuation a leaf, without links, smoothed, and names."""
     paths: dict[str, np.ndarray] = {}
     for node, text, linked in found:
         sums = paths.setdefault(node.key, np.zeros(4))
@@ -158,51 +162,46 @@ def path_scores(found: list[tuple[Node, str, int]], spread: float = 1.0) -> dict
     near = np.convolve(np.pad(row, 2, "edge"), reach / reach.sum(), "valid") if len(row) else row
     out: dict[str, list[float]] = {}
     for (node, _, _), x in zip(found, near.tolist(), strict=True):
-        out.setdefault(node.key, []).append(0.0 if node.out else x)
+        out.setdefault(node.key, []).append(0.0 if node.out else x + HELD * node.held)
     return {key: sum(x) / len(x) for key, x in out.items()}
 
 
 def extract(page: str | None, least: float = 0.1, share: float = 0.5) -> list[str]:
     """The blocks of a page's main text, in page order.
 
-    Where the page has an article or a main element with text, its paths are content.
-    Elsewhere the content node is found from the root by going into the element that
-    holds more than ``share`` of the text by score; below it, paths go that score less
-    than ``least`` of the mean or are mostly links.
+    The content node is found from the root by going into the element that holds more
+    than ``share`` of the text by score, as far as the first article or main element;
+    below it, paths go that score less than ``least`` of the mean or are mostly links.
     """
     found = leaves(page or "")
     kept = [(n, t, k) for n, t, k in found if not n.out]
-    if held := [t for n, t, _ in kept if n.held]:
-        return held
     if not kept:
         return []
     scores = path_scores(found)
     weight: dict[str, float] = {}
+    inner: dict[str, dict[str, Node]] = {}
     for node, text, linked in kept:
-        x: Node | None = node
-        worth = scores[node.key] * (1 - min(linked, len(text)) / len(text))
+        x, below = node, None
+        links = 0.0 if node.held else min(linked, len(text)) / len(text)
+        worth = scores[node.key] * (1 - links)
         while x is not None:
             weight[x.key] = weight.get(x.key, 0.0) + worth
-            x = x.up
-    root = ""
-    while True:
-        inner = {}
-        for node, _, _ in kept:
-            x, below = node, None
-            while x is not None and x.key != root.rstrip():
-                below, x = x, x.up
-            if x is not None and below is not None and below.tag not in ("p", "li", "td", "pre"):
-                inner[below.key] = weight[below.key]
-        best = max(inner, key=lambda k: (inner[k], k), default=None)
-        total = weight.get(root, 0.0)
-        if best is None or total <= 0 or inner[best] <= share * total or best.rsplit("/", 1)[-1][:1] in "h":
+            if below is not None and below.tag not in ENDS:
+                inner.setdefault(x.key, {})[below.key] = below
+            x, below = x.up, x
+    root = "/"
+    while root in inner:
+        best = max(inner[root], key=lambda k: (weight[k], k))
+        if weight[best] <= share * weight[root]:
+            break
+        held, root = inner[root][best].held, best
+        if held:
             break
-        root = best
     mean = sum(len(t) for _, t, _ in kept) / len(kept)
     inside = [(n, t, k) for n, t, k in kept if n.key == root or n.key.startswith(root + "/")]
     return [t for n, t, k in inside
-            if scores[n.key] >= least * min(mean, 40.0) and min(k, len(t)) <= 0.5 * len(t)
-            or n.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and min(k, len(t)) <= 0.5 * len(t)]
+            if (scores[n.key] >= least * min(mean, HELD) or n.tag in HEADINGS)
+            and (n.held or min(k, len(t)) <= 0.5 * len(t))]
 
 
 def extract_pages(pages: DataFrame, column: str = "html", text: str = "text") -> DataFrame:

@@ -44,6 +44,15 @@ def test_without_names_the_ratios_choose_the_text():
     assert len(got) == 8 and all(x.startswith("Sentence") for x in got)
 
 
+def test_the_ratios_choose_between_an_article_and_a_longer_text():
+    text = "".join(f"<p>Sentence {i}, which is long enough to be text. It has points; and more of them.</p>" for i in range(8))
+    teaser = "<article><h3>Next</h3><p>Read on, soon.</p></article>"
+    got = extract(f"<html><body><div>{teaser}</div><div><div>{text}</div></div></body></html>")
+    assert len(got) == 8 and all(x.startswith("Sentence") for x in got)
+    got = extract(f"<html><body><article>{text}<p>Short.</p><p><a href=x>Link</a></p></article><div><p>Terms, of use.</p></div></body></html>")
+    assert len(got) == 10 and got[-2:] == ["Short.", "Link"]
+
+
 def test_scores_add_text_and_punctuation_and_ignore_what_is_no_content():
     found = leaves("<body><p>Long text, with points. And more.</p><nav><p>Long text, with points. And more.</p></nav>")
     scores = path_scores(found)
