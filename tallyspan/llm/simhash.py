@@ -75,9 +75,8 @@ def band_keys(tokens: list[bytes], words: int, bands: int, least: int) -> list[i
          for i in range(max(1, len(tokens) - words + 1))), np.uint64))
     low = np.full(bands * least, ~np.uint64(0))
     salts = mix(np.arange(1, bands * least + 1, dtype=np.uint64))
-    for i in range(0, len(own), _CHUNK):
-        part = own[i:i + _CHUNK]
-        low = np.minimum(low, np.fromiter((mix(part ^ x).min() for x in salts), np.uint64))
+    for i in range(0, len(own), 256):  # small enough to stay in a core's cache
+        low = np.minimum(low, mix(own[i:i + 256] ^ salts[:, None]).min(axis=1))
     keys = np.arange(1, bands + 1, dtype=np.uint64)
     for column in low.reshape(bands, least).T:
         keys = mix(keys ^ column) + np.uint64(1)
