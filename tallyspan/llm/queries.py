@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.llm import (
-    ann, chat, decontaminate, langid, lines, pages, pieces, sharding, simhash, substrings,
+    alignment, ann, chat, decontaminate, langid, lines, pages, pieces, sharding, simhash, substrings,
 )
 from tallyspan.llm.tables import table
 
@@ -31,8 +31,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-# The vocabulary files' folder is a parameter; executors don't read it.
+# The vocabulary files' places are parameters; executors don't read them.
 PIECES = os.environ.get("TALLYSPAN_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+BYTE_PIECES = os.environ.get("TALLYSPAN_BYTE_PIECES", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 @query()
@@ -146,3 +147,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", gone.alias("n_removed"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens by two tokenizers, their groups, and how usual its links are."""
+    texts, links = alignment.align(table(spark, sf_dir, "documents"), BYTE_PIECES, PIECES)
+    texts = texts.select("block", "at", "doc_id", "n_a", "n_b", "n_groups", "n_links", F.when(
+        F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"))
+    none = F.lit(0).cast("bigint")
+    return texts.join(links, ["block", "at"], "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", none).alias("n_best"),
+        F.coalesce("count_sum", none).alias("count_sum"), "groups_sha256")

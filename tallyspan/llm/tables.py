@@ -16,6 +16,7 @@ SCHEMAS = {
     "pages": "page_id bigint, url string, html string",
     "benchmark": "item_id bigint, text string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
 }
 
 
@@ -59,14 +60,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again, so that no step runs twice.
 
     The files outlive a lost executor. They stay until the run's folder is cleared.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
