@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.llm import (
-    alignment, ann, chat, decontaminate, langid, lines, pages, pieces, sharding, simhash, substrings,
+    alignment, ann, chat, decontaminate, langid, lines, merkle, pages, pieces, sharding, simhash,
+    substrings, toxicity,
 )
 from tallyspan.llm.tables import table
 
@@ -159,3 +160,89 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.join(links, ["block", "at"], "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", none).alias("n_best"),
         F.coalesce("count_sum", none).alias("count_sum"), "groups_sha256")
+
+
+@query()
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's chance to be toxic, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+    model = toxicity.fit(docs.where("NOT held_out"), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE d AS (
+    SELECT doc_id, lang, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+            range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') AS start,
+        coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+        coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS more,
+        coalesce(strlen(text) || ':' || text, '-') AS rest
+    FROM documents),
+hashed AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256(start || n || rest) AS leaf,
+        CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN sha256(start || more || rest)
+            ELSE sha256(start || n || rest) END AS tampered
+    FROM d),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY tree) AS n
+    FROM hashed),
+nodes(tree, level, i, h, n) AS (
+    SELECT tree, 0, i, leaf, n FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+    FROM nodes WHERE n > 1 GROUP BY tree, level, i // 2, n),
+subroots AS (
+    SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+tops(level, i, h, n) AS (
+    SELECT 0, i, subroot, n FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+    FROM tops WHERE n > 1 GROUP BY level, i // 2, n),
+steps AS (
+    SELECT l.tree, l.i, o.level, (l.i >> o.level) % 2 = 1 AS to_left, s.h
+    FROM leaves l JOIN nodes o ON o.tree = l.tree AND o.i = l.i >> o.level AND o.n > 1
+    LEFT JOIN nodes s ON s.tree = o.tree AND s.level = o.level AND s.i = xor(o.i, 1)
+    UNION ALL
+    SELECT l.tree, l.i, 1000 + o.level, (r.i >> o.level) % 2 = 1, s.h
+    FROM leaves l JOIN subroots r ON r.tree = l.tree JOIN tops o ON o.i = r.i >> o.level AND o.n > 1
+    LEFT JOIN tops s ON s.level = o.level AND s.i = xor(o.i, 1)),
+witness AS (
+    SELECT tree, i, sha256(coalesce(string_agg(h, '' ORDER BY level) FILTER (h IS NOT NULL), '')) AS proof,
+        list({'l': to_left, 'h': h} ORDER BY level) AS path
+    FROM steps GROUP BY tree, i),
+folds(tree, i, k, h) AS (
+    SELECT tree, i, 0, tampered FROM leaves
+    UNION ALL
+    SELECT f.tree, f.i, k + 1, sha256(CASE WHEN w.path[k + 1].h IS NULL THEN f.h
+        WHEN w.path[k + 1].l THEN w.path[k + 1].h || f.h ELSE f.h || w.path[k + 1].h END)
+    FROM folds f JOIN witness w ON w.tree = f.tree AND w.i = f.i WHERE k < len(w.path))
+SELECT l.doc_id, l.leaf, r.subroot, t.h AS root, coalesce(w.proof, sha256('')) AS proof_sha256,
+    f.h AS folded_root, f.h = t.h AS verified
+FROM leaves l JOIN subroots r ON r.tree = l.tree JOIN tops t ON t.n = 1
+LEFT JOIN witness w ON w.tree = l.tree AND w.i = l.i
+JOIN folds f ON f.tree = l.tree AND f.i = l.i AND f.k = coalesce(len(w.path), 0)
+"""
+
+
+@query(MERKLE_SQL)
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root, and whether it still folds to the root."""
+    n, digits = F.col("n_chars"), F.col("doc_id").cast("string").cast("binary")
+    before, after = (F.col("doc_id"), F.col("source"), F.col("lang")), (F.col("text"),)
+    more = (n.cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    leaf = merkle.leaf_of(*before, n, *after)
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", leaf.alias("leaf"), F.when(
+            F.crc32(digits) % 7 == 0, merkle.leaf_of(*before, more, *after)).otherwise(leaf).alias("tampered"))
+    found = merkle.manifest(rows, "lang", ["doc_id"])
+    folded = merkle.folded(F.col("tampered"), F.col("sides"), F.col("siblings"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -1,0 +1,115 @@
+"""Toxicity: held-out accuracy, n-gram counts, and the odd cases."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyspan.llm import queries, toxicity
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def test_held_out_rows_of_the_given_tables(spark):
+    folder = "/root/testdata/sf0.1"
+    found = queries.op12_toxicity(spark, folder).join(
+        spark.read.schema(LABELS).parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").collect()
+    toxic = [r for r in found if r.toxic == 1]
+    clean = [r for r in found if r.toxic == 0]
+    # About 7 in 100 of the given labels of toxic rows are at random.
+    assert np.mean([r.predicted for r in toxic]) > 0.9
+    assert np.mean([r.predicted for r in clean]) < 0.01
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
+
+
+def made(n, seed=1):
+    draw = random.Random(seed)
+    words = ["".join(draw.choice("aeioustrnl") for _ in range(draw.randint(2, 7))) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(n):
+        text = [draw.choice(words) for _ in range(draw.randint(20, 80))]
+        bad = i % 4 == 0
+        if bad:
+            text[draw.randrange(len(text))] = "Grobian"
+            text.append("grobian!")
+        docs.append((i, " ".join(text), "en", "s", 1))
+        labels.append((i, 0, int(bad)))
+    return docs, labels
+
+
+def test_odd_rows_are_scored_and_teach_nothing(spark, sf_folder):
+    docs, labels = made(300)
+    odd = [(None, "grobian", None, None, None), (1001, None, None, None, None), (1002, "", None, None, None),
+           (1003, "GROBIAN " * 200_000, None, None, None), (1003, "GROBIAN " * 200_000, None, None, None),
+           (1004, "?!", None, None, None)]
+    labels += [(None, 1, 1), (1001, None, None), (1002, 0, 0), (1002, 0, 0), (77, 1, 1)]
+    found = queries.op12_toxicity(spark, sf_folder({"documents": (docs + odd, DOCS), "labels": (labels, LABELS)})).collect()
+    assert len(found) == len(docs) + len(odd)
+    by = {r.doc_id: r for r in found}
+    assert by[None].predicted == 1 and not by[None].held_out
+    assert by[1001].score == by[1002].score == by[1004].score < 0.3
+    assert Counter(r.predicted for r in found if r.doc_id == 1003) == {1: 2}
+    tested = [r for r in found if r.held_out and r.doc_id is not None and r.doc_id < 300]
+    assert tested and all(r.predicted == (r.doc_id % 4 == 0) for r in tested)
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 0, None)], [(1, 0, 1), (3, 0, 1)], [(1, 0, 0), (3, 0, 0)]])
+def test_no_label_or_one(spark, sf_folder, labels):
+    docs = [(i, f"text {i}", "en", "s", 1) for i in range(8)]
+    found = queries.op12_toxicity(spark, sf_folder({"documents": (docs, DOCS), "labels": (labels, LABELS)})).collect()
+    assert len(found) == 8
+    sides = {x for _, _, x in labels if x is not None}
+    assert {r.score >= 0.5 for r in found} == ({1 in sides} if sides else {False})
+
+
+def test_empty_table(spark, sf_folder):
+    assert queries.op12_toxicity(spark, sf_folder({"documents": ([], DOCS), "labels": ([], LABELS)})).collect() == []
+
+
+def test_scores_do_not_depend_on_other_columns(spark, sf_folder):
+    docs, labels = made(120, 5)
+    other = [(i, t, "xx", f"s{i}", None) for i, t, *_ in docs]
+    one, two = ({r.doc_id: r.score for r in queries.op12_toxicity(
+        spark, sf_folder({"documents": (d, DOCS), "labels": (labels, LABELS)})).collect()} for d in (docs, other))
+    assert one == pytest.approx(two, abs=1e-6)
+
+
+def test_columns_of_the_new_name_are_replaced_and_others_stay(spark, frame):
+    model = toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), 0.0)
+    rows = frame([(1, "a", 9.0, "x")], "doc_id bigint, text string, score double, weight string")
+    assert toxicity.score(rows, model).collect()[0].asDict() == {
+        "doc_id": 1, "text": "a", "weight": "x", "score": 0.5}
+
+
+def test_copies_teach_once_and_the_commoner_label_holds(spark, frame):
+    docs = frame([(i, "same text" if i < 9 else f"text {i}") for i in range(12)], "doc_id bigint, text string")
+    labels = frame([(i, int(i % 3 > 0)) for i in range(12)], "doc_id bigint, toxic int")
+    found = toxicity.sample(docs, labels, 100).collect()
+    assert sorted((r.text, r.toxic, r.weight) for r in found) == [
+        ("same text", True, 1.0), ("text 10", True, 1.0), ("text 11", True, 1.0), ("text 9", False, 1.0)]
+
+
+def test_the_sample_is_bounded_and_weighs_up(spark, frame):
+    docs = frame([(i, f"text {i}") for i in range(3000)], "doc_id bigint, text string")
+    labels = frame([(i, int(i % 30 == 0)) for i in range(3000)], "doc_id bigint, toxic int")
+    found = toxicity.sample(docs, labels, 300).collect()
+    assert sum(r.toxic for r in found) == 100 and 220 < sum(not r.toxic for r in found) < 380
+    assert sum(r.weight for r in found) == pytest.approx(3000, rel=0.3)
+
+
+def test_a_long_text_is_counted_in_parts(monkeypatch):
+    text = "Some words, over & over again " * 300
+    whole = toxicity.gram_counts(text)
+    monkeypatch.setattr(toxicity, "_CHUNK", 1000)
+    parts = toxicity.gram_counts(text)
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+    assert whole[1].sum() == sum(len(" some words over over again" * 300) + 2 - n + 1 for n in toxicity.GRAMS)
+
+
+def test_minimise_finds_the_least_of_a_bowl():
+    centre = np.arange(6.0)
+    scale = np.array([1, 3, 10, 30, 100, 1])
+    x = toxicity.minimise(lambda x: (float((scale * (x - centre) ** 2).sum()), 2 * scale * (x - centre)), np.zeros(6), 40)
+    assert x == pytest.approx(centre, abs=1e-3)
