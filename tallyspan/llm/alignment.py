@@ -36,8 +36,8 @@ from tallyspan.llm.blocks import blocks
 from tallyspan.llm.runs import merged, read_run, whole_run, write_run
 from tallyspan.llm.tables import cut
 
-BLOCK_BYTES = 4_000_000
-_PART_BYTES = 500_000
+BLOCK_BYTES = 1_000_000
+_PART_BYTES = 250_000
 # Fixed value: the words of byte-level BPE.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Up to here both libraries class letters, digits and spaces alike, whatever their Unicode version.
@@ -339,7 +339,7 @@ def align(
     null and repeated ids and repeated rows are documents of their own; other columns are
     ignored; no rows give no rows. ``a_path`` and ``b_path`` are read by the driver alone.
 
-    At most ``fan_in`` runs meet in a task, each of a block of about 4 MB of text, and there
+    At most ``fan_in`` runs meet in a task, each of a block of about 1 MB of text, and there
     the pairs of one of ``parts`` parts: their number is bounded by the vocabularies.
     """
     spark = docs.sparkSession

@@ -21,10 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut, extended, with_row
+from tallyspan.llm.tables import cut, extended, rows_written, with_row
 from tallyspan.llm.words import BY_ALNUM_LOWER, Hasher, encode, least_in_window, spans
 
-_HASH = Hasher(21)
 # The filter has this many 64-bit numbers (2 MB), whatever the benchmark's size.
 FILTER_WORDS = 1 << 18
 _HASH = Hasher(21)
@@ -132,8 +131,9 @@ def contamination(
     columns are ignored; with no items, nothing is hit.
     """
     spark = docs.sparkSession
+    # Rows are read once and written with their numbers; items are read again.
     docs = with_row(docs).select("__row", "doc_id", "text")
-    items = with_row(items.select("item_id", "text"))
+    items = rows_written(items.select("item_id", "text"))
     sizes = cut(_item_windows(items, window).where("length > 0"))
     lengths = [r["length"] for r in sizes.select("length").distinct().collect()]  # window at most
     marked = cut(_pass_over(items.select("__row", "text"), lengths, window, gram).join(sizes, "__row").select(
@@ -148,12 +148,20 @@ def contamination(
         "__row", "hit.length", "hit.mark", "hit.windows").join(marks, "mark")
     windows = hits.select("__row", "length", F.explode("windows").alias("w")).select(
         "__row", "length", "w.first", "w.key").distinct()
-    matched = cut(windows.join(keys.select("length", "key").distinct(), ["length", "key"]))
+    # Windows with the same items are one class, so that a passage of many items that is in
+    # many documents is a row for each document.
+    classes = cut(keys.groupBy("length", "key").agg(
+        F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids")))
+    named = cut(classes.select("ids").distinct().withColumn("class", F.md5(F.to_json("ids"))))
+    classed = classes.select("length", "key", F.md5(F.to_json("ids")).alias("class"))
+    matched = cut(windows.join(classed, ["length", "key"]))
     spans_of = matched.groupBy("__row").agg(
         F.sort_array(F.collect_set(F.struct("first", "length"))).alias("spans"))
-    shared = matched.select("__row", "length", "key").distinct().join(keys, ["length", "key"])
-    items_of = shared.where("item_id IS NOT NULL").groupBy("__row").agg(
-        F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    sets_of = cut(matched.groupBy("__row").agg(F.sort_array(F.collect_set("class")).alias("classes")))
+    together = sets_of.select("classes").distinct()
+    items_in = together.select("classes", F.explode("classes").alias("class")).join(named, "class").groupBy(
+        "classes").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
+    items_of = sets_of.join(items_in, "classes").select("__row", "items")
     none = F.array().cast("array<string>")
     return found.select("__row", "doc_id", "n_words").join(
         spans_of, "__row", "left").join(items_of, "__row", "left").select(

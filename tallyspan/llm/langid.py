@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut, extended, few, with_row
+from tallyspan.llm.tables import cut, extended, few
 
 UNDETERMINED = "und"
 _CHUNK = 1 << 20
@@ -113,21 +113,30 @@ def _gram_counts(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, "lang string, bucket int, n double")
 
 
-def fit(docs: DataFrame, per_language: int = 5000, buckets: int = 1 << 14, smooth: float = 0.5) -> Model:
+def fit(
+    docs: DataFrame, per_language: int = 5000, buckets: int = 1 << 14, smooth: float = 0.5,
+    most_languages: int = 1000,
+) -> Model:
     """A model of the labelled ``docs`` (text, lang); rows without either teach nothing.
 
     About ``per_language`` different texts of each language are used, chosen by a hash of
-    the text; of a language with fewer, all. Copies of a text are one: the least row
-    number stands for them, so ``docs`` must be as ``with_row`` asks. What reaches the driver is one number for each
-    language and bucket. No labelled rows give a model that knows no language.
+    the text; of a language with fewer, all. Copies of a text are one. What reaches the
+    driver is one number for each language and bucket; a ``lang`` column of over
+    ``most_languages`` values is no set of languages, and an error. No labelled rows give a
+    model that knows no language.
     """
-    docs = with_row(docs).select("__row", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    texts = cut(docs.groupBy("lang", F.xxhash64("text").alias("digest")).agg(F.min("__row").alias("__row")))
-    share = texts.groupBy("lang").agg(
-        F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
-    chosen = cut(texts.join(share, "lang").where(
-        F.pmod("digest", F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("__row"))
-    chosen = docs.join(few(chosen), "__row", "left_semi")
+    docs = docs.select("text", "lang", F.xxhash64("text").alias("digest")).where(
+        "text IS NOT NULL AND lang IS NOT NULL")
+    texts = cut(docs.select("lang", "digest").distinct())
+    counts_of = cut(texts.groupBy("lang").count())
+    if counts_of.count() > most_languages:
+        raise ValueError(f"the labels have over {most_languages} languages")
+    share = counts_of.select("lang", F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count")).alias("share"))
+    chosen = cut(texts.join(F.broadcast(share), "lang").where(
+        F.pmod("digest", F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("lang", "digest"))
+    # Copies are put together in the map tasks, so a hot text is a row for each of them.
+    chosen = docs.join(few(chosen), ["lang", "digest"], "left_semi").groupBy("lang", "digest").agg(
+        F.first("text").alias("text"))
     rows = _gram_counts(chosen, buckets).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in rows})
     counts = np.full((len(languages), buckets), smooth)

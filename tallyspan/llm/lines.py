@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import cut, few, with_row
+from tallyspan.llm.tables import cut, few, rows_written
 
 BROADCAST_ROWS = 100_000  # boilerplate lines of about 60 bytes that are sent to every task
 
@@ -36,7 +36,7 @@ def boilerplate(
     own = pages.select(F.col(host).alias("host"), F.array_distinct(_digests(F.col(text))).alias("lines"))
     if not copies:  # a digest tells pages apart, and one row of each is opened
         own = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
-        own = with_row(own).withColumn("page", F.unhex(F.md5(F.encode("text", "UTF-8"))))
+        own = rows_written(own).withColumn("page", F.unhex(F.md5(F.encode("text", "UTF-8"))))
         first = cut(own.groupBy("host", "page").agg(F.min("__row").alias("__row")).select("__row"))
         own = own.join(few(first), "__row", "left_semi").select(
             "host", F.array_distinct(_digests(F.col("text"))).alias("lines"))
@@ -62,9 +62,8 @@ def drop_boilerplate(
 
     The other lines stay as they were, in order, blank ones included; a text that loses
     every line is empty. Null texts stay null and count as pages of their host; a null
-    host is one host; repeated rows are pages of their own, or one page without ``copies``
-    (``pages`` must then be as ``with_row`` asks); other columns stay, but for
-    one named as ``dropped``, which is replaced; no rows give no rows.
+    host is one host; repeated rows are pages of their own, or one page without ``copies``;
+    other columns stay, but for one named as ``dropped``, which is replaced; no rows give no rows.
     """
     found = cut(boilerplate(pages, host, text, most_ratio, least_pages, copies))
     by_host = found.groupBy("host").agg(F.collect_list("line").alias("__lines")).withColumnRenamed(

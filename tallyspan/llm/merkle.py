@@ -116,9 +116,11 @@ def witnessed(nodes: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFr
     """
     rounds, current = [], nodes
     while True:
-        totals = current.groupBy("tree").agg(F.count(F.lit(1)).alias("total"))
-        done = cut(_appended(current.join(totals, "tree").withColumn(
-            "block", F.shiftright("number", levels)), levels), "zstd")
+        totals = cut(current.groupBy("tree").agg(F.count(F.lit(1)).alias("total")))
+        # Dealt by block, not by tree as the join may leave them: a tree may hold most rows.
+        dealt = current.join(few(totals, 100_000), "tree").withColumn(
+            "block", F.shiftright("number", levels)).repartition("tree", "block")
+        done = cut(_appended(dealt, levels), "zstd")
         rounds.append(done.drop("total"))
         current = done.where("root IS NOT NULL").select(
             "tree", F.col("block").alias("number"), F.col("root").alias("node"))
@@ -164,8 +166,8 @@ def manifest(rows: DataFrame, by: str, order: Iterable[str], levels: int = LEVEL
         "node", F.col("leaf")).withColumn("__tie", F.monotonically_increasing_id())
     own, tops = witnessed(numbered(cut(named), "tree", [*order, "leaf", "__tie"]), levels)
     roots = tops.select("tree", F.col("top").alias("node"), F.lit(0).alias("all"))
-    above, _ = witnessed(numbered(roots, "all", ["tree"]).select(
-        F.lit("").alias("tree"), F.col("tree").alias("own"), "number", "node"), levels)
+    above, _ = witnessed(cut(numbered(roots, "all", ["tree"]).select(
+        F.lit("").alias("tree"), F.col("tree").alias("own"), "number", "node")), levels)
     above = cut(above.select(F.col("own").alias("tree"), F.col("sides").alias("more_sides"),
                              F.col("siblings").alias("more"), F.col("top").alias("root")))
     return own.join(few(above, 100_000), "tree").select(

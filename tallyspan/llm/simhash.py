@@ -24,93 +24,82 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan.llm.blocks import blocks
 from tallyspan.llm.components import components
 from tallyspan.llm.tables import cut, extended, few
-from tallyspan.llm.words import BY_SPACE_LOWER, encode, mix
+from tallyspan.llm.words import BY_SPACE_LOWER, Hasher, encode, mix, spans
 
 SEED = 42
 _CHUNK = 1 << 15
+_HASHER = Hasher(31)
+_BLOCK_BYTES = 1_000_000
+# Fingerprints of pairs at the similarity asked for differ by more bits than the mean and so
+# many deviations in 3 of 10 million pairs; texts of fewer shingles are not judged by them.
+_DEVIATIONS, _FEW_SHINGLES = 5.0, 64
 
 
-def fingerprint(tokens: list[bytes], words: int, lanes: int = 1, once: bool = False) -> list[int]:
-    """``lanes`` signed 64-bit numbers: majority bits of the hashes of all shingles.
+def fingerprint(tokens: list[bytes], words: int) -> list[int]:
+    """A signed 64-bit number: majority bits of the hashes (XXH64, seed 42) of all shingles.
 
-    Shingles are ``words`` words joined by one space and count as often as they occur, or
-    ``once`` each; fewer words are one shingle, and none have all bits zero. The first lane is made of
-    XXH64 with seed 42, further ones of numbers mixed from it.
+    Shingles are ``words`` words joined by one space and count as often as they occur; fewer
+    words are one shingle, and none have all bits zero.
     """
     if not tokens:
-        return [0] * lanes
+        return [0]
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(tokens) - words + 1)
-    digest, counts = xxhash.xxh64_intdigest, np.zeros((lanes, 64), np.int64)
-    every = np.fromiter(
+    digest = xxhash.xxh64_intdigest
+    return majority(np.fromiter(
         (digest(joined[s:e], SEED)
-         for s, e in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64)
-    if once:
-        every = np.unique(every)
-        n = len(every)
-    for i in range(0, n, _CHUNK):
-        hashes = every[i:i + _CHUNK]
+         for s, e in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64), 1)
+
+
+def majority(hashes: np.ndarray, lanes: int) -> list[int]:
+    """``lanes`` signed 64-bit numbers: a bit is 1 if set in over half of the ``hashes``.
+
+    The first lane is made of the hashes, further ones of numbers mixed from them.
+    """
+    counts = np.zeros((lanes, 64), np.int64)
+    for i in range(0, len(hashes), _CHUNK):
+        part = hashes[i:i + _CHUNK]
         for lane in range(lanes):
-            own = (hashes if lane == 0 else mix(hashes + np.uint64(lane))).astype(">u8")
+            own = (part if lane == 0 else mix(part + np.uint64(lane))).astype(">u8")
             bits = np.unpackbits(own.view(np.uint8)).reshape(-1, 64)
             counts[lane] += bits.sum(axis=0, dtype=np.uint32)
-    set_bits = np.packbits(counts * 2 > n, axis=1)
+    set_bits = np.packbits(counts * 2 > len(hashes), axis=1)
     return [int.from_bytes(lane.tobytes(), "big", signed=True) for lane in set_bits]
 
 
-def band_keys(tokens: list[bytes], words: int, bands: int, least: int) -> list[int]:
+def band_keys(shingles: np.ndarray, bands: int, least: int) -> np.ndarray:
     """A signed 64-bit key for each band: of ``least`` least hashes of the set of shingles.
 
     Each least hash is taken by a hash function of its own, so two texts agree in it with
     the probability of their Jaccard similarity, however few their shingles.
     """
-    if not tokens:
-        return [0] * bands
-    own = np.unique(np.fromiter(
-        (xxhash.xxh64_intdigest(b" ".join(tokens[i:i + words]), SEED + 1)
-         for i in range(max(1, len(tokens) - words + 1))), np.uint64))
     low = np.full(bands * least, ~np.uint64(0))
     salts = mix(np.arange(1, bands * least + 1, dtype=np.uint64))
-    for i in range(0, len(own), 256):  # small enough to stay in a core's cache
-        low = np.minimum(low, mix(own[i:i + 256] ^ salts[:, None]).min(axis=1))
+    for i in range(0, len(shingles), 256):  # small enough to stay in a core's cache
+        low = np.minimum(low, mix(shingles[i:i + 256] ^ salts[:, None]).min(axis=1))
     keys = np.arange(1, bands + 1, dtype=np.uint64)
     for column in low.reshape(bands, least).T:
         keys = mix(keys ^ column) + np.uint64(1)
-    return keys.view(np.int64).tolist()
-
+    return keys.view(np.int64)
 
-def fingerprints(
-    docs: DataFrame, words: int, lanes: int = 1, once: bool = False, bands: int = 0, least: int = 5,
-) -> DataFrame:
-    """``docs`` with ``same`` and ``fp`` (an array of ``lanes`` bigints) for its ``text``.
 
-    ``same`` is a digest of the words, equal for texts of equal words. With ``bands`` there
-    are ``keys`` too, an array of as many bigints.
-    """
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with ``fp`` (an array of one bigint) for its ``text``, which is left out."""
     others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, found, keys = [], [], []
-            for text in batch.column("text"):
-                tokens = encode(text.as_py(), BY_SPACE_LOWER).split()
-                same.append(xxhash.xxh3_128_digest(b" ".join(tokens)))
-                found.append(fingerprint(tokens, words, lanes, once))
-                if bands:
-                    keys.append(band_keys(tokens, words, bands, least))
-            new = [pa.array(same, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
-            if bands:
-                new.append(pa.array(keys, pa.list_(pa.int64())))
+            found = [fingerprint(encode(text.as_py(), BY_SPACE_LOWER).split(), words)
+                     for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], *new], [*others, *names])
+                [*[batch.column(c) for c in others], pa.array(found, pa.list_(pa.int64()))], [*others, "fp"])
 
-    names = ["same", "fp", "keys"] if bands else ["same", "fp"]
-    return docs.mapInArrow(run, extended(
-        docs, "same binary, fp array<bigint>" + (", keys array<bigint>" if bands else ""), without=("text",)))
+    return docs.mapInArrow(run, extended(docs, "fp array<bigint>", without=("text",)))
 
 
 def segments_for(n: int, bits: int = 64) -> int:
@@ -240,28 +229,50 @@ def near_duplicates(
         "doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(__row, shingles): the distinct shingles of each text, as 32-bit hashes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch.column("text"):
-                tokens = encode(text.as_py(), BY_SPACE_LOWER).split()
-                n = max(1, len(tokens) - words + 1) if tokens else 0
-                found.append(list({
-                    xxhash.xxh32_intdigest(b" ".join(tokens[i:i + words]), SEED) - (1 << 31)
-                    for i in range(n)}))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("__row"), pa.array(found, pa.list_(pa.int32()))],
-                ["__row", "shingles"])
+def _shingles(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
+    """The distinct shingles of each of a block of texts, as ascending 64-bit hashes."""
+    data = b" ".join(texts)
+    starts, ends = spans(data)
+    hashes = _HASHER.words(data, starts, ends) if len(starts) else np.empty(0, np.uint64)
+    cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts]))
+    for first, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        own = hashes[first:end]
+        yield np.unique(_HASHER.runs(own, min(words, len(own)))) if len(own) else own
 
-    return docs.select("__row", "text").mapInArrow(run, "__row bigint, shingles array<int>")
 
+def _profiles(docs: DataFrame, words: int, lanes: int, bands: int, least: int) -> DataFrame:
+    """What is known of each text, in one pass over ``docs`` (__row, text).
 
-def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    same: a digest of the words, equal for texts of equal words; n: distinct shingles;
+    wide: SimHash fingerprint of ``lanes`` bigints; keys: a bigint for each band;
+    shingles: 32-bit hashes of the distinct shingles.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "text", _BLOCK_BYTES):
+                texts = [encode(t.as_py(), BY_SPACE_LOWER) for t in part.column("text")]
+                same = [xxhash.xxh3_128_digest(b" ".join(t.split())) for t in texts]
+                sizes, wide, keys, sets = [], [], [], []
+                for own in _shingles(texts, words):
+                    sizes.append(len(own))
+                    wide.append(majority(own, lanes) if len(own) else [0] * lanes)
+                    keys.append(band_keys(own, bands, least) if len(own) else np.zeros(bands, np.int64))
+                    sets.append((own >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("__row"), pa.array(same, pa.binary()), pa.array(sizes, pa.int32()),
+                     pa.array(wide, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets), pa.int32()))],
+                    ["__row", "same", "n", "wide", "keys", "shingles"])
+
+    return docs.select("__row", "text").mapInArrow(
+        run, "__row bigint, same binary, n int, wide array<bigint>, keys array<bigint>, shingles array<int>")
+
+
+def _sets_of(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     """(__row, shingles) of the rows in ``pairs`` (a, b)."""
     needed = cut(pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct())
-    return cut(_shingle_sets(docs.join(few(needed), "__row", "left_semi"), words))
+    return cut(profiles.select("__row", "shingles").join(few(needed), "__row", "left_semi"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -272,92 +283,129 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where((union > 0) & (shared >= similarity * union)).select("a", "b")
 
 
-def _accepted(
-    left: DataFrame, docs: DataFrame, words: int, similarity: float, rounds: int,
-) -> DataFrame:
-    """(a, b): for each a of ``left`` (a, b, bits) a b that is similar, if it is found soon.
+def _may_be_alike(similarity: float, words_bits: int) -> Column:
+    """What two similar rows (na, wa), (nb, wb) always, or all but always, have.
+
+    Sets whose sizes are further apart cannot be so similar. The fingerprints of long texts
+    then differ in bits whose number is spread around its mean; beyond ``_DEVIATIONS`` of
+    it no pair is expected. Short texts have too few shingles for that, and skip it.
+    """
+    sizes = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    most = words_bits * share + _DEVIATIONS * math.sqrt(words_bits * share * (1 - share))
+    apart = distance(F.col("wa"), F.col("wb"), words_bits // 64)
+    return sizes & ((F.least("na", "nb") < _FEW_SHINGLES) | (apart <= math.ceil(most)))
+
+
+def _accepted(left: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of ``left`` (a, b, bits), and the pairs of rows that have none yet.
 
-    A row's nearest candidate is compared first, then the next, ``rounds`` in all.
+    Each a meets its nearest candidate, and in further rounds the next, as long as a round
+    links a good part of the rows that meet one.
     """
-    sets = _sets_of(left, docs, words)
     nearest = F.min_by("b", F.struct("bits", "b")).alias("b")
     links = left.select("a", "b").where("false")
-    for _ in range(rounds):
+    while True:
         tried = cut(left.groupBy("a").agg(nearest))
-        if tried.isEmpty():
-            break
         good = cut(_verified(tried, sets, similarity))
         links = links.union(good)
         left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
-    return cut(links)
+        if good.count() * 10 < tried.count() or left.isEmpty():
+            return cut(links), left
 
 
-def _across(table: DataFrame, reached: DataFrame) -> DataFrame:
-    """(a, b), b < a: all pairs of ``table`` (node, key) of one key in different components.
+def _mixed(table: DataFrame, reached: DataFrame) -> DataFrame:
+    """(node, key, component): the rows of ``table`` (node, key) whose key holds several components.
 
-    ``reached``: (node, component). Within a key, the rows outside its largest component
-    meet all others, so a key that one component holds makes no pair.
+    ``reached``: (node, component); a node without a link is its own component.
     """
-    placed = table.join(reached, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    placed = table.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = cut(placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where(
-        "low <> high").select("key"))
-    rows = cut(placed.join(few(mixed), "key", "left_semi"))
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"))
+    return cut(placed.join(few(mixed), "key", "left_semi"))
+
+
+def _across(rows: DataFrame, known: DataFrame, similar: Column) -> DataFrame:
+    """(a, b), b < a: all pairs of ``rows`` (node, key, component) of one key that may be similar.
+
+    Within a key, the rows outside its largest component meet all those of others, so a key
+    that one component holds makes no pair. ``known``: (node, n, wide).
+    """
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("key").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"))
+    rows = rows.join(known, "node")
     outside = rows.join(largest, "key").where("component <> largest")
-    pairs = outside.select("key", F.col("node").alias("x"), F.col("component").alias("cx")).join(
-        rows.select("key", F.col("node").alias("y"), F.col("component").alias("cy")), "key").where("cx <> cy")
+    side = lambda df, c, x: df.select(
+        "key", F.col("node").alias(x), F.col("component").alias(f"c{c}"), F.col("n").alias(f"n{c}"),
+        F.col("wide").alias(f"w{c}")).alias(c)
+    pairs = side(outside, "a", "x").join(
+        side(rows, "b", "y"), (F.col("a.key") == F.col("b.key")) & (F.col("ca") != F.col("cb")) & similar)
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def similar_groups(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, wide: int = 8, bands: int = 28,
-    least: int = 5, bucket_rows: int = 200_000, rounds: int = 3,
+    least: int = 5, bucket_rows: int = 200_000,
 ) -> DataFrame:
-    """(__row, group) for each row of ``docs`` (__row, text); group is a row number.
+    """(__row, group) for each row of ``docs`` (__row, text), a table; group is a row number.
 
     Rows are linked if the Jaccard similarity of their sets of ``words``-word shingles is
     at least ``similarity``, and a group is what links reach: no two candidates so similar
     are in different groups, whatever the order of rows. Its number is its first row's.
 
     Candidates share one of ``bands`` keys, each of ``least`` least hashes: of pairs at a
-    similarity of s, all but (1 - s ** least) ** bands, which is 1.5e-5 at 0.8. The sets
-    of shingles are compared, nearest first by fingerprints of ``wide`` lanes.
+    similarity of s, all but (1 - s ** least) ** bands, which is 1.5e-5 at 0.8. A pair that
+    may be similar by its numbers of shingles and by SimHash fingerprints of ``wide`` lanes
+    has its sets compared.
 
     Texts of equal words are one node throughout. A large group of near copies is not
     compared pair by pair: a first pass looks, for each key, at the first row and at the
     one before (hot keys in parts of about ``bucket_rows``), which is a bounded number of
-    candidates for a row. Components of these links are then taken, and every pair of one
-    key that is still in two components is compared.
+    candidates for a row. In further passes each row meets, in every key, the row before it
+    in another order, if that is still in another component, until few passes' pairs are
+    links. Then every pair of one key that is still in two components and may be similar
+    is compared.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
     """
-    docs = docs.select("__row", "text")
-    prints = cut(fingerprints(docs, words, wide, once=True, bands=bands, least=least))
+    prints = cut(_profiles(docs, words, wide, bands, least), "zstd")
     nodes = cut(prints.groupBy("same").agg(
-        F.min("__row").alias("node"), F.first("fp").alias("wide"), F.first("keys").alias("keys")))
-    salts = 1 + nodes.count() // bucket_rows
+        F.min("__row").alias("node"), F.first("n").alias("n"), F.first("wide").alias("wide"),
+        F.first("keys").alias("keys")))
+    salts, known = 1 + nodes.count() // bucket_rows, nodes.select("node", "n", "wide")
+    similar = _may_be_alike(similarity, 64 * wide)
 
     def measured(pairs: DataFrame) -> DataFrame:
-        apart = distance(F.col("wa"), F.col("wb"), wide)
-        return cut(pairs.distinct().join(
-            nodes.select(F.col("node").alias("a"), F.col("wide").alias("wa")), "a").join(
-            nodes.select(F.col("node").alias("b"), F.col("wide").alias("wb")), "b").select(
-            "a", "b", apart.alias("bits")))
+        return cut(pairs.distinct().join(known.toDF("a", "na", "wa"), "a").join(
+            known.toDF("b", "nb", "wb"), "b").where(similar).select(
+            "a", "b", distance(F.col("wa"), F.col("wb"), wide).alias("bits")))
 
     table = nodes.select("node", F.explode("keys").alias("key"))
+    shared = cut(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    table = cut(table.join(few(shared), "key", "left_semi"))
     bucket = Window.partitionBy("key", F.pmod(F.xxhash64("node"), F.lit(salts))).orderBy("node")
     looked = table.select(
         "node", F.lag("node").over(bucket).alias("before"), F.first("node").over(bucket).alias("first"))
     near = measured(looked.select(
         F.col("node").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("b < a"))
-    links = _accepted(near, docs, words, similarity, rounds)
-    left = cut(_across(table, components(links).toDF("node", "component")))
-    links = cut(links.union(_verified(left, _sets_of(left, docs, words), similarity)))
+    links, _ = _accepted(near, _sets_of(near, prints), similarity)
+    turn = 0
+    while True:
+        turn += 1
+        rows = _mixed(table, components(links).toDF("node", "component"))
+        other = Window.partitionBy("key", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(salts))).orderBy(
+            F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)))
+        beside = rows.select("node", "component", F.lag("node").over(other).alias("b"),
+                             F.lag("component").over(other).alias("c")).where("component <> c")
+        tried = measured(beside.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")))
+        good = cut(_verified(tried, _sets_of(tried, prints), similarity))
+        links = cut(links.union(good))
+        if good.count() * 10 <= tried.count():
+            break
+    left = cut(_across(_mixed(table, components(links).toDF("node", "component")), known, similar))
+    links = cut(links.union(_verified(left, _sets_of(left, prints), similarity)))
     reached = components(links).toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(
         "same", F.coalesce("group", "node").alias("group"))

@@ -35,14 +35,20 @@ def with_row(docs: DataFrame) -> DataFrame:
     """``docs`` with a number of its own for each row in ``__row``.
 
     Ids may be null or repeated, so the operators tell rows apart by this number. It
-    depends on the input's partitions alone, which a file scan gives in the same way
-    every time: ``docs`` must be a table that was read, with narrow steps at most. A column ``__row`` that is there is kept.
+    depends on how the input is dealt to tasks, which may change from one job to the next
+    as executors come and go: write the numbered rows before they are read twice, or take
+    ``rows_written``. A column ``__row`` that is there is kept.
     """
     if "__row" in docs.columns:
         return docs
     return docs.withColumn("__row", F.monotonically_increasing_id())
 
 
+def rows_written(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, as a table: every job reads the same number for a row."""
+    return docs if "__row" in docs.columns else cut(with_row(docs))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
