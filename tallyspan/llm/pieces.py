@@ -26,16 +26,62 @@ from pyspark.sql import DataFrame
 from tallyspan.llm.tables import extended
 
 MARK = "▁"
-_REMEMBERED = 300_000
+_REMEMBERED, _LONGEST_REMEMBERED = 200_000, 100
 _BLOCK = 1_000_000
 
 
+def _fields(message: bytes) -> dict[int, int | bytes]:
+    """The fields of a protocol buffer message by number, the last of each: numbers and bytes."""
+    found, at = {}, 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = message[at]
+            out, shift, at = out | (byte & 127) << shift, shift + 7, at + 1
+            if byte < 128:
+                return out
+
+    while at < len(message):
+        field, kind = divmod(number(), 8)
+        if kind == 0:
+            found[field] = number()
+            continue
+        size = {1: 8, 5: 4}[kind] if kind != 2 else number()
+        found[field] = message[at:at + size]
+        at += size
+    return found
+
+
+def model_kind(model: bytes) -> str:
+    """``bpe`` or ``unigram``, by the model's own settings; others are refused.
+
+    So are models that change texts otherwise than these operators do, which put one mark
+    before the text, make spaces marks and leave the rest alone.
+    """
+    # Numbers of the fields and of the kinds in a model file.
+    top = _fields(model)
+    trainer, normalizer = _fields(top.get(2, b"")), _fields(top.get(3, b""))
+    kind = {1: "unigram", 2: "bpe"}.get(trainer.get(3, 1))
+    if kind is None:
+        raise ValueError("the model is neither a unigram nor a BPE model")
+    changes = {"a table of replaced characters": normalizer.get(2, b""), "no mark before the text":
+               not normalizer.get(3, 1), "extra spaces removed": normalizer.get(4, 1),
+               "spaces that are not marks": not normalizer.get(5, 1), "marks after words": trainer.get(24, 0)}
+    if any(changes.values()):
+        raise ValueError("the model has " + ", ".join(k for k, v in changes.items() if v))
+    return kind
+
+
 class Vocabulary:
     """Pieces of a model file, read by the sentencepiece library on the driver."""
 
     def __init__(self, path: str):
         import sentencepiece  # on the driver alone
 
+        with open(path, "rb") as file:
+            kind = model_kind(file.read())
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.unknown = model.unk_id()
@@ -55,7 +101,7 @@ class Vocabulary:
                 self.ids[piece], self.scores[piece] = i, model.get_score(i)
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
         # The scores of a BPE model are the ranks of its merges.
-        self.merges = len(self.scores) > 1 and all(x == int(x) for x in self.scores.values())
+        self.merges = kind == "bpe"
         several = [p for p in self.ids if len(p) > 1]
         # A word may end where no piece goes on: before a mark, and around a line end.
         self.ends = not any(MARK in p.lstrip(MARK) for p in several)
@@ -105,10 +151,10 @@ class Encoder:
             self.pairs += 1
         return found
 
-    def extend_allowed(self, word: str, lasts: list[str], paths: list[bytes]) -> None:
+    def extend_allowed(self, word: str, lasts: list[str]) -> None:
         """Go on to the end of ``word`` by the allowed path of each of its prefixes.
 
-        ``lasts`` and ``paths``: the last piece and all ids of each prefix so far.
+        ``lasts``: the last piece of each prefix so far, which leads back to the prefix before it.
         """
         allowed, codes, lengths, one = self.allowed, self.v.codes, self.v.lengths, (1,)
         for end in range(len(lasts), len(word) + 1):
@@ -117,11 +163,8 @@ class Encoder:
                 if start < 0:
                     continue
                 piece = word[start:end]
-                code = codes.get(piece)
-                if code is None:
-                    if n > 1:
-                        continue
-                    code = self.fallback(piece)
+                if n > 1 and piece not in codes:
+                    continue
                 if start == 0:
                     break
                 try:
@@ -131,13 +174,12 @@ class Encoder:
                     if self.may_follow(lasts[start], piece):
                         break
             lasts.append(piece)
-            paths.append(paths[start] + code)
 
-    def extend_scored(self, word: str, forward: list[float], paths: list[bytes]) -> None:
+    def extend_scored(self, word: str, forward: list[float], lasts: list[str]) -> None:
         """Go on to the end of ``word`` by the best sum of scores of each of its prefixes."""
         v = self.v
         for end in range(len(forward), len(word) + 1):
-            most, path = float("-inf"), b""
+            most, last = float("-inf"), ""
             for n in v.lengths.get(word[max(0, end - 2):end], (1,)):
                 if n > end:
                     continue
@@ -145,29 +187,38 @@ class Encoder:
                 if n == 1 or piece in v.codes:
                     total = forward[end - n] + v.scores.get(piece, v.least)
                     if total > most:
-                        most = total
-                        path = paths[end - n] + (v.codes.get(piece) or self.fallback(piece))
+                        most, last = total, piece
             forward.append(most)
-            paths.append(path)
+            lasts.append(last)
+
+    def path(self, lasts: list[str]) -> bytes:
+        """The ids of the whole word, from its last piece back to its first."""
+        codes, at, out = self.v.codes, len(lasts) - 1, []
+        while at:
+            piece = lasts[at]
+            out.append(codes.get(piece) or self.fallback(piece))
+            at -= len(piece)
+        return b"".join(out[::-1])
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode ``words``, depth first through the trie that their sorted list is."""
         if self.pairs > _REMEMBERED:
             self.allowed, self.pairs = {}, 0
         merges, known = self.v.merges, self.known
-        state, paths, before = [""] if merges else [0.0], [b""], ""
+        forward, lasts, before = [0.0], [""], ""
         for word in sorted(words):
             shared = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
                     break
                 shared += 1
-            del state[shared + 1:], paths[shared + 1:]
+            del lasts[shared + 1:]
             if merges:
-                self.extend_allowed(word, state, paths)
+                self.extend_allowed(word, lasts)
             else:
-                self.extend_scored(word, state, paths)
-            known[word] = paths[-1]
+                del forward[shared + 1:]
+                self.extend_scored(word, forward, lasts)
+            known[word] = self.path(lasts)
             before = word
 
     def fallback(self, letter: str) -> bytes:
@@ -196,7 +247,11 @@ class Encoder:
             self.known = {}
         new = set().union(*cut).difference(self.known)
         self.learn(new)
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in cut]
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in cut]
+        for word in new:
+            if len(word) > _LONGEST_REMEMBERED:
+                del self.known[word]
+        return out
 
 
 def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:

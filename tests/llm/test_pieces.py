@@ -1,6 +1,7 @@
 """SentencePiece encoding against the library and plain Viterbi; round trips; edge cases."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -122,3 +123,45 @@ def test_query_over_real_texts(spark, sf_dir, library):
     assert len(rows) == len(texts)
     for r in rows:
         assert r["round_trip"] and r["n_pieces"] == len(r["ids"]) and r["ids"] == library.encode(texts[r["doc_id"]])
+
+
+def test_a_megabyte_without_a_space_takes_bounded_memory():
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)),
+             "".join(chr(draw.randrange(0x4E00, 0x9000)) for _ in range(100_000))]
+    encoder = pieces.Encoder(pieces.Vocabulary(PIECES))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for word in words:
+        tracemalloc.start()
+        found = encoder.texts([word])[0].tolist()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200e6 and found == library.encode(word)
+    assert not any(len(w) > 100 for w in encoder.known)
+
+
+def message(**fields):
+    out = b""
+    for name, value in fields.items():
+        n = int(name[1:])
+        if isinstance(value, bytes):
+            assert len(value) < 128
+            out += bytes([n << 3 | 2, len(value)]) + value
+        else:
+            key = n << 3
+            out += (bytes([key]) if key < 128 else bytes([key & 127 | 128, key >> 7])) + bytes([value])
+    return out
+
+
+@pytest.mark.parametrize("trainer, normalizer, kind", [
+    ({"f3": 2}, {"f3": 1, "f4": 0}, "bpe"), ({"f3": 1}, {"f4": 0}, "unigram"), ({}, {"f4": 0}, "unigram"),
+    ({"f3": 3}, {"f4": 0}, None), ({"f3": 2}, {}, None), ({"f3": 2}, {"f4": 0, "f3": 0}, None),
+    ({"f3": 2}, {"f4": 0, "f2": b"map"}, None), ({"f3": 2, "f24": 1}, {"f4": 0}, None),
+    ({"f3": 2}, {"f4": 0, "f5": 0}, None)])
+def test_the_settings_are_the_model_files_own(trainer, normalizer, kind):
+    model = message(f2=message(**trainer), f3=message(**normalizer))
+    if kind is None:
+        with pytest.raises(ValueError):
+            pieces.model_kind(model)
+    else:
+        assert pieces.model_kind(model) == kind
