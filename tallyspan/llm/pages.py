@@ -1,23 +1,26 @@
 """HTML extraction by tag-path ratios.
 
 A page's texts are its leaves, each with the path of tags from the root. Over each path
-the length of its texts, their punctuation and what of them stands in links are summed,
-and divided by how often the path occurs. These ratios are smoothed along the page, as
-neighbouring leaves belong together, and fused into one score for each path. Scores add up
-from paths to the branches above them; walking from the root into the branch that holds
-most, until no branch holds enough, selects the content node, and the paths below it that
-pass the threshold are the content.
+the length of its texts outside links and their punctuation are summed and divided by how
+often the path occurs. These ratios are fused and brought between 0 and 1, and smoothed
+along the page, as neighbouring leaves belong together. Walking from the root into the
+branch that holds most text by score, until no branch holds enough, selects the content
+node, and the paths below it that pass the threshold are the content.
 
 Names say what ratios can't: a short paragraph of an article has less text than a long
-notice. So paths through elements that are no content by tag, role, class or id (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) score nothing, and those
-through ``article`` and ``main`` score a fixed term more, which passes the threshold; where
-the walk ends in one of them, all it holds is content.
+notice. So a path through ``article``, ``main`` or the content node gets ``TERM`` more, and one
+through an element that is no content by tag, role, class or id (menu, footer, sidebar,
+notice, advert, form, comments) as much less. The threshold lies above the term: no path
+is content by its names alone.
+
+Pages are read by one scan that never goes back, and paths are numbers with a parent, so
+time and memory grow with the page, however broken or deep its markup.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -25,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyspan.llm.blocks import blocks
 from tallyspan.llm.tables import extended
 
 # Element names of HTML, and words that name parts beside the content.
@@ -53,42 +57,128 @@ NOT_CONTENT = frozenset(
     "pagination pager comment comments commentlist disqus replies respond discussion form "
     "complementary contentinfo skip".split())
 CONTENT = frozenset("article main".split())
-HELD = 40.0  # what a path through an article or main element scores besides its ratios
+SCOPES = frozenset("table button td th".split())  # a paragraph outside goes on
+TERM, THRESHOLD = 0.5, 0.6  # of names, and of a path's score
+# Characters a leaf, weighed by punctuation, that make half of the largest ratio; on pages of
+# shorter texts, their mean does.
+HALF = 40.0
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])(?:[^\"'>]|\"[^\"]*\"|'[^']*')*/>"
-    rf"|<(?P<raw>{RAW})\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I)
+_BLOCK_BYTES = 2_000_000
+_TAG = re.compile(r"<(/?)([a-zA-Z][\w:.-]{0,80})")
+_PLAIN = re.compile(r"[^\"'>]*")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 _POINT = re.compile(r"[.,;:!?…。，、！？।؟\"'()–—-]")
 
 
-class Node:
-    """An element on the way from the root; ``out``: it or one above is no content."""
+def tokens(page: str) -> Iterator[tuple[int, int, str, str, bool]]:
+    """(start, end, tag, attributes, whether it is an end tag) of each piece of markup.
+
+    Comments, declarations and the insides of scripts and the like have the tag ''. A quote
+    that is never closed is a character like others, and a ``<`` that never ends is text.
+    """
+    at, size, quotes = 0, len(page), {'"': True, "'": True}
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            yield start, at, "", "", False
+            continue
+        found = _TAG.match(page, start)
+        if found is None:
+            if not page.startswith(("<!", "<?"), start):
+                at = start + 1
+                continue
+            end = page.find(">", start)
+            if end < 0:
+                return
+            at = end + 1
+            yield start, at, "", "", False
+            continue
+        end = found.end()
+        while True:  # to the tag's end, over quoted values
+            end = _PLAIN.match(page, end).end()
+            if end >= size or page[end] == ">":
+                break
+            close = page.find(page[end], end + 1) if quotes[page[end]] else -1
+            if close < 0:
+                quotes[page[end]] = False
+            end = max(end, close) + 1
+        if end >= size:  # no end outside quotes: from now on quotes mean nothing
+            quotes = dict.fromkeys(quotes, False)
+            end = page.find(">", found.end())
+            if end < 0:
+                return
+        tag, rest, at = found[2].lower(), page[found.end():end], end + 1
+        if tag in _RAW_END and not found[1] and not (tag == "svg" and rest.endswith("/")):
+            close = _RAW_END[tag].search(page, at)
+            at = close.end() if close else size
+            yield start, at, "", "", False
+        elif not (tag in ("svg", "math") and rest.endswith("/")):
+            yield start, at, tag, rest, bool(found[1])
+        else:
+            yield start, at, "", "", False
+
+
+class Paths:
+    """Paths of a page by number, 0 the root; a path's number is above its parent's.
+
+    ``out``: it or one above is no content by name; ``held``: it or one above is an article
+    or main element; ``block``: a heading, paragraph and the like.
+    """
+
+    def __init__(self):
+        self.known: dict[tuple[int, str], int] = {}
+        self.parent, self.out, self.held, self.block = [0], [False], [False], [False]
+
+    def below(self, up: int, tag: str, names: frozenset[str]) -> int:
+        key = up, tag + "".join("." + n for n in sorted(names))
+        if key not in self.known:
+            self.known[key] = len(self.parent)
+            self.parent.append(up)
+            self.held.append(self.held[up] or tag in CONTENT or "main" in names)
+            self.out.append(self.out[up] or tag in HIDDEN or tag in ASIDE or (
+                tag not in ("html", "body", *CONTENT) and bool(names & NOT_CONTENT)))
+            self.block.append(tag in ENDS)
+        return self.known[key]
 
-    __slots__ = ("tag", "key", "up", "out", "held")
 
-    def __init__(self, tag: str, names: frozenset[str], up: Node | None):
-        self.tag, self.up = tag, up
-        self.key = (up.key if up else "") + "/" + tag + "".join("." + n for n in sorted(names))
-        self.held = bool(up and up.held) or tag in CONTENT or "main" in names
-        self.out = bool(up and up.out) or tag in HIDDEN or tag in ASIDE or (
-            tag not in ("html", "body", *CONTENT) and bool(names & NOT_CONTENT))
+class _Open:
+    """The open elements: (tag, path, place of the paragraph that a new block would end)."""
 
+    def __init__(self, paths: Paths):
+        self.paths, self.stack, self.count = paths, [("", 0, -1)], Counter()
 
-def leaves(page: str) -> list[tuple[Node, str, int]]:
-    """(element, text, characters inside links) of each block of text, in page order."""
-    top = Node("", frozenset(), None)
-    stack, found, texts, linked, links, at = [top], [], [], 0, 0, 0
+    def push(self, tag: str, names: frozenset[str]) -> None:
+        _, path, paragraph = self.stack[-1]
+        paragraph = len(self.stack) if tag == "p" else -1 if tag in SCOPES else paragraph
+        self.stack.append((tag, self.paths.below(path, tag, names), paragraph))
+        self.count[tag] += 1
+
+    def pop_to(self, size: int) -> None:
+        while len(self.stack) > size:
+            self.count[self.stack.pop()[0]] -= 1
+
+    def close(self, tag: str) -> None:
+        if self.count[tag]:
+            size = len(self.stack) - 1
+            while self.stack[size][0] != tag:
+                size -= 1
+            self.pop_to(size)
+
+
+def leaves(page: str) -> tuple[Paths, list[tuple[int, str, int]]]:
+    """The paths, and (path, text, characters inside links) of each block of text, in page order."""
+    paths = Paths()
+    stack, found, texts, linked, links, at = _Open(paths), [], [], 0, 0, 0
 
     def flush() -> None:
         nonlocal texts, linked
         text = _SPACE.sub(" ", unescape("".join(texts))).strip() if texts else ""
         if text:
-            found.append((stack[-1], text, linked))
+            found.append((stack.stack[-1][1], text, linked))
         texts, linked = [], 0
 
     def take(text: str) -> None:
@@ -97,20 +187,20 @@ def leaves(page: str) -> list[tuple[Node, str, int]]:
             texts.append(text)
             linked += len(text) if links else 0
 
-    for token in _TOKEN.finditer(page):
-        take(page[at:token.start()])
-        at = token.end()
-        tag = (token["tag"] or "").lower()
+    for start, end, tag, rest, closes in tokens(page):
+        take(page[at:start])
+        at = end
         if not tag:
             continue
         if tag in INLINE:
-            links = max(0, links + (-1 if token["end"] else 1)) if tag == "a" else links
-            if names_of(token["rest"]) & NOT_CONTENT and not token["end"]:
+            links = max(0, links + (-1 if closes else 1)) if tag == "a" else links
+            names = names_of(rest)
+            if names & NOT_CONTENT and not closes:
                 flush()
-                stack.append(Node(tag, names_of(token["rest"]), stack[-1]))
-            elif token["end"] and stack[-1].tag == tag:
+                stack.push(tag, names)
+            elif closes and stack.stack[-1][0] == tag:
                 flush()
-                stack.pop()
+                stack.pop_to(len(stack.stack) - 1)
             continue
         if tag == "br":
             texts.append("\n")
@@ -119,26 +209,19 @@ def leaves(page: str) -> list[tuple[Node, str, int]]:
             continue
         flush()
         links = 0
-        if token["end"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+        if closes:
+            stack.close(tag)
             continue
-        if tag in ENDS_P and any(n.tag == "p" for n in stack):
-            own = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p")
-            if not any(n.tag in ("table", "button", "td", "th") for n in stack[own:]):
-                del stack[own:]
-        closes = CLOSES.get(tag, "").split()
-        if stack[-1].tag in closes:
-            while len(stack) > 1 and stack[-1].tag in closes:
-                stack.pop()
+        if tag in ENDS_P and stack.stack[-1][2] >= 0:
+            stack.pop_to(stack.stack[-1][2])
+        ended = CLOSES.get(tag, "").split()
+        while len(stack.stack) > 1 and stack.stack[-1][0] in ended:
+            stack.pop_to(len(stack.stack) - 1)
         if tag not in VOID:
-            stack.append(Node(tag, names_of(token["rest"]), stack[-1]))
-            if token["rest"].endswith("/") and tag == "path":
-                stack.pop()
+            stack.push(tag, names_of(rest))
     take(page[at:])
     flush()
-    return found
+    return paths, found
 
 
 def names_of(attributes: str) -> frozenset[str]:
@@ -149,59 +232,75 @@ def names_of(attributes: str) -> frozenset[str]:
     return frozenset(words & (NOT_CONTENT | CONTENT))
 
 
-def path_scores(found: list[tuple[Node, str, int]], spread: float = 1.0) -> dict[str, float]:
-    """A score for each path: text and punctuation a leaf, without links, smoothed, and names."""
-    paths: dict[str, np.ndarray] = {}
-    for node, text, linked in found:
-        sums = paths.setdefault(node.key, np.zeros(4))
-        sums += (1, len(text), len(_POINT.findall(text)), min(linked, len(text)))
-    fused = {key: 0.0 if (n := s[0]) == 0 else (s[1] - s[3]) / n * np.log2(2 + s[2] / n)
-             for key, s in paths.items()}
-    row = np.array([0.0 if node.out else fused[node.key] for node, _, _ in found])
+def path_ratios(found: list[tuple[int, str, int]], out: list[bool], spread: float = 1.0) -> dict[int, float]:
+    """A ratio from 0 to 1 for each path: text and punctuation a leaf, without links, smoothed."""
+    sums: dict[int, list[int]] = {}
+    for path, text, linked in found:
+        s = sums.setdefault(path, [0, 0, 0])
+        s[0] += 1
+        s[1] += len(text) - min(linked, len(text))
+        s[2] += len(_POINT.findall(text))
+    fused = {path: s[1] / s[0] * np.log2(2 + s[2] / s[0]) for path, s in sums.items()}
+    row = np.array([0.0 if out[p] else fused[p] for p, _, _ in found])
+    if row.any():
+        row = row / (row + min(HALF, row.sum() / np.count_nonzero(row)))
     reach = np.exp(-0.5 * (np.arange(-2, 3) / spread) ** 2)
     near = np.convolve(np.pad(row, 2, "edge"), reach / reach.sum(), "valid") if len(row) else row
-    out: dict[str, list[float]] = {}
-    for (node, _, _), x in zip(found, near.tolist(), strict=True):
-        out.setdefault(node.key, []).append(0.0 if node.out else x + HELD * node.held)
-    return {key: sum(x) / len(x) for key, x in out.items()}
+    total: dict[int, float] = {}
+    for (path, _, _), x in zip(found, near.tolist(), strict=True):
+        total[path] = total.get(path, 0.0) + x
+    return {path: x / sums[path][0] for path, x in total.items()}
+
 
+def _content_node(paths: Paths, found: list[tuple[int, str, int]], scores: dict[int, float], share: float) -> int:
+    """The path reached from the root by going into the branch that holds more than ``share``.
 
-def extract(page: str | None, least: float = 0.1, share: float = 0.5) -> list[str]:
+    A leaf's weight is its text outside links times its path's score. The walk ends at the
+    first article or main element, and above headings, paragraphs and the like.
+    """
+    weight = np.zeros(len(paths.parent))
+    for path, text, linked in found:
+        weight[path] += max(0.0, scores[path]) * (len(text) - min(linked, len(text)))
+    weight, parent = weight.tolist(), paths.parent
+    for path in range(len(parent) - 1, 0, -1):
+        weight[parent[path]] += weight[path]
+    best: dict[int, int] = {}
+    for path in range(1, len(parent)):
+        if not paths.block[path] and weight[path] > weight[best.get(parent[path], path)] * (
+                parent[path] in best):
+            best[parent[path]] = path
+    root = 0
+    while root in best and weight[best[root]] > share * weight[root]:
+        root = best[root]
+        if paths.held[root]:
+            break
+    return root
+
+
+def extract(page: str | None, share: float = 0.5) -> list[str]:
     """The blocks of a page's main text, in page order.
 
-    The content node is found from the root by going into the element that holds more
-    than ``share`` of the text by score, as far as the first article or main element;
-    below it, paths go that score less than ``least`` of the mean or are mostly links.
+    A path's score is its ratio and the terms of its names. Below the content node, the
+    paths that come to ``THRESHOLD`` are kept, but for those outside articles that are
+    mostly links; a page of names without ratios has no content.
     """
-    found = leaves(page or "")
-    kept = [(n, t, k) for n, t, k in found if not n.out]
+    paths, found = leaves(page or "")
+    scores = {path: ratio + (-TERM if paths.out[path] else TERM if paths.held[path] else 0.0)
+              for path, ratio in path_ratios(found, paths.out).items()}
+    kept = [x for x in found if not paths.out[x[0]]]
     if not kept:
         return []
-    scores = path_scores(found)
-    weight: dict[str, float] = {}
-    inner: dict[str, dict[str, Node]] = {}
-    for node, text, linked in kept:
-        x, below = node, None
-        links = 0.0 if node.held else min(linked, len(text)) / len(text)
-        worth = scores[node.key] * (1 - links)
-        while x is not None:
-            weight[x.key] = weight.get(x.key, 0.0) + worth
-            if below is not None and below.tag not in ENDS:
-                inner.setdefault(x.key, {})[below.key] = below
-            x, below = x.up, x
-    root = "/"
-    while root in inner:
-        best = max(inner[root], key=lambda k: (weight[k], k))
-        if weight[best] <= share * weight[root]:
-            break
-        held, root = inner[root][best].held, best
-        if held:
-            break
-    mean = sum(len(t) for _, t, _ in kept) / len(kept)
-    inside = [(n, t, k) for n, t, k in kept if n.key == root or n.key.startswith(root + "/")]
-    return [t for n, t, k in inside
-            if (scores[n.key] >= least * min(mean, HELD) or n.tag in HEADINGS)
-            and (n.held or min(k, len(t)) <= 0.5 * len(t))]
+    root = _content_node(paths, kept, scores, share)
+    inside = [False] * len(paths.parent)
+    for path in range(len(inside)):
+        inside[path] = path == root or (path > 0 and inside[paths.parent[path]])
+    taken = []
+    for path, text, linked in found:
+        score = scores[path] + (0.0 if paths.held[path] or paths.out[path] else TERM)
+        if inside[path] and score >= THRESHOLD and (
+                paths.held[path] or min(linked, len(text)) <= 0.5 * len(text)):
+            taken.append(text)
+    return taken
 
 
 def extract_pages(pages: DataFrame, column: str = "html", text: str = "text") -> DataFrame:
@@ -217,8 +316,9 @@ def extract_pages(pages: DataFrame, column: str = "html", text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = ["\n".join(extract(x.as_py())) for x in batch.column(column)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.array(found, pa.string())], [*others, text])
+            for part in blocks(batch, column, _BLOCK_BYTES):
+                found = ["\n".join(extract(x.as_py())) for x in part.column(column)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in others], pa.array(found, pa.string())], [*others, text])
 
     return pages.mapInArrow(run, extended(pages, f"`{text}` string", without=(column,)))

@@ -1,12 +1,16 @@
 """HTML extraction: the article of real and odd pages, and edge cases."""
 
+import random
 import re
+import time
+import tracemalloc
 from html import unescape
 
 import duckdb
 import pytest
 
-from tallyspan.llm.pages import extract, extract_pages, path_scores, leaves
+from tallyspan.llm import pages
+from tallyspan.llm.pages import extract, extract_pages, leaves, path_ratios
 from tallyspan.llm.queries import QUERIES
 
 PAGES = "page_id bigint, url string, html string"
@@ -53,10 +57,48 @@ def test_the_ratios_choose_between_an_article_and_a_longer_text():
     assert len(got) == 10 and got[-2:] == ["Short.", "Link"]
 
 
-def test_scores_add_text_and_punctuation_and_ignore_what_is_no_content():
-    found = leaves("<body><p>Long text, with points. And more.</p><nav><p>Long text, with points. And more.</p></nav>")
-    scores = path_scores(found)
-    assert max(scores, key=scores.get) == "//body/p" and scores["//body/nav.nav/p" if "//body/nav.nav/p" in scores else "//body/nav/p"] == 0.0
+def test_ratios_add_text_and_punctuation_and_ignore_what_is_no_content():
+    paths, found = leaves(
+        "<body><p>Long text, with points. And more.</p><pre>Long text with points And more</pre>"
+        "<nav><p>Long text, with points. And more.</p></nav><ul><li><a href=x>Long text, with points.</a></ul>")
+    (prose, _, _), (bare, _, _), (menu, _, _), (link, _, _) = found
+    ratios = path_ratios(found, paths.out, spread=0.01)
+    assert ratios[prose] > ratios[bare] > ratios[link] == ratios[menu] == 0.0 and paths.out[menu]
+    assert all(0 <= x < 1 for x in ratios.values())
+
+
+def test_the_ratios_decide_on_the_given_pages(sf_dir, monkeypatch):
+    given = [x for x, in duckdb.sql(f"SELECT html FROM '{sf_dir}/pages.parquet'").fetchall()]
+    before = [extract(x) for x in given]
+    monkeypatch.setattr(pages, "path_ratios", lambda found, out: {p: 0.0 for p, _, _ in found})
+    assert sum(extract(x) != y for x, y in zip(given, before, strict=True)) > 0.9 * len(given)
+    draw = random.Random(2)
+    monkeypatch.setattr(pages, "path_ratios", lambda found, out: {p: draw.random() for p, _, _ in found})
+    assert sum(extract(x) != y for x, y in zip(given, before, strict=True)) > 0.1 * len(given)
+
+
+def test_a_poor_ratio_outvotes_an_article():
+    text = "".join(f"<p>Sentence {i}, which is long enough to be text. It has points; and more of them.</p>" for i in range(8))
+    links = "".join(f"<div><a href=/{i}>Item {i} of the list</a></div>" for i in range(9))
+    got = extract(f"<body><article>{text}<section>{links}</section></article></body>")
+    assert len(got) < 8 + 9 and got[:8] == [x for x in got if x.startswith("Sentence")]
+
+
+LONG = {
+    "quotes": '<a "' * 250_000, "two quotes": "<a '\">\"" * 160_000, "nested": "<div>" * 100_000 + "deep",
+    "nested texts": "<div>x " * 100_000, "signs": "<" * 1_000_000, "tags": "<a" * 400_000, "comments": "<!--" * 250_000,
+    "ends": "<p>" * 1000 + "</x>" * 200_000, "cells": "<p><td>" + "<div><p>" * 60_000,
+    "names": "<div class=main>" * 60_000, "scripts": "<script>" * 120_000, "closed": "<p>" * 100_000 + "</p>" * 100_000}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_broken_and_deep_markup_takes_time_and_memory_as_its_length(name):
+    tracemalloc.start()
+    start = time.perf_counter()
+    extract(LONG[name])
+    took, peak = time.perf_counter() - start, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 30 and peak < 300e6
 
 
 def test_articles_of_the_given_pages(spark, sf_dir):
