@@ -34,12 +34,12 @@ def boilerplate(
     pages must have the line: on a host of few pages a line of one page is no sign.
     """
     own = pages.select(F.col(host).alias("host"), F.array_distinct(_digests(F.col(text))).alias("lines"))
-    if not copies:  # a digest tells pages apart, and one row of each is opened
-        own = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
-        own = rows_written(own).withColumn("page", F.unhex(F.md5(F.encode("text", "UTF-8"))))
+    if not copies:  # a digest tells pages apart, and one row of each counts; no text is written
+        digest = F.unhex(F.md5(F.encode(F.col(text), "UTF-8"))).alias("page")
+        own = rows_written(pages.select(
+            F.col(host).alias("host"), F.array_distinct(_digests(F.col(text))).alias("lines"), digest))
         first = cut(own.groupBy("host", "page").agg(F.min("__row").alias("__row")).select("__row"))
-        own = own.join(few(first), "__row", "left_semi").select(
-            "host", F.array_distinct(_digests(F.col("text"))).alias("lines"))
+        own = own.join(few(first), "__row", "left_semi")
     totals = own.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     each = own.select("host", F.explode("lines").alias("line"))
     counts = each.where("line IS NOT NULL").groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages"))

@@ -244,35 +244,43 @@ def _profiles(docs: DataFrame, words: int, lanes: int, bands: int, least: int) -
     """What is known of each text, in one pass over ``docs`` (__row, text).
 
     same: a digest of the words, equal for texts of equal words; n: distinct shingles;
-    wide: SimHash fingerprint of ``lanes`` bigints; keys: a bigint for each band;
-    shingles: 32-bit hashes of the distinct shingles.
+    wide: SimHash fingerprint of ``lanes`` bigints; keys: a bigint for each band.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", _BLOCK_BYTES):
                 texts = [encode(t.as_py(), BY_SPACE_LOWER) for t in part.column("text")]
                 same = [xxhash.xxh3_128_digest(b" ".join(t.split())) for t in texts]
-                sizes, wide, keys, sets = [], [], [], []
+                sizes, wide, keys = [], [], []
                 for own in _shingles(texts, words):
                     sizes.append(len(own))
                     wide.append(majority(own, lanes) if len(own) else [0] * lanes)
                     keys.append(band_keys(own, bands, least) if len(own) else np.zeros(bands, np.int64))
-                    sets.append((own >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__row"), pa.array(same, pa.binary()), pa.array(sizes, pa.int32()),
-                     pa.array(wide, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
-                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets), pa.int32()))],
-                    ["__row", "same", "n", "wide", "keys", "shingles"])
+                     pa.array(wide, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                    ["__row", "same", "n", "wide", "keys"])
 
     return docs.select("__row", "text").mapInArrow(
-        run, "__row bigint, same binary, n int, wide array<bigint>, keys array<bigint>, shingles array<int>")
+        run, "__row bigint, same binary, n int, wide array<bigint>, keys array<bigint>")
 
 
-def _sets_of(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """(__row, shingles) of the rows in ``pairs`` (a, b)."""
+def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(__row, shingles) of the rows in ``pairs`` (a, b): distinct shingles as 32-bit hashes."""
     needed = cut(pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct())
-    return cut(profiles.select("__row", "shingles").join(few(needed), "__row", "left_semi"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "text", _BLOCK_BYTES):
+                sets = [(own >> np.uint64(32)).astype(np.uint32).view(np.int32) for own in _shingles(
+                    [encode(t.as_py(), BY_SPACE_LOWER) for t in part.column("text")], words)]
+                offsets = pa.array(np.cumsum([0] + [len(own) for own in sets]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("__row"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets), pa.int32()))],
+                    ["__row", "shingles"])
+
+    return cut(docs.select("__row", "text").join(few(needed), "__row", "left_semi").mapInArrow(
+        run, "__row bigint, shingles array<int>"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -390,7 +398,7 @@ def similar_groups(
         "node", F.lag("node").over(bucket).alias("before"), F.first("node").over(bucket).alias("first"))
     near = measured(looked.select(
         F.col("node").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("b < a"))
-    links, _ = _accepted(near, _sets_of(near, prints), similarity)
+    links, _ = _accepted(near, _sets_of(near, docs, words), similarity)
     turn = 0
     while True:
         turn += 1
@@ -400,12 +408,12 @@ def similar_groups(
         beside = rows.select("node", "component", F.lag("node").over(other).alias("b"),
                              F.lag("component").over(other).alias("c")).where("component <> c")
         tried = measured(beside.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")))
-        good = cut(_verified(tried, _sets_of(tried, prints), similarity))
+        good = cut(_verified(tried, _sets_of(tried, docs, words), similarity))
         links = cut(links.union(good))
         if good.count() * 10 <= tried.count():
             break
     left = cut(_across(_mixed(table, components(links).toDF("node", "component")), known, similar))
-    links = cut(links.union(_verified(left, _sets_of(left, prints), similarity)))
+    links = cut(links.union(_verified(left, _sets_of(left, docs, words), similarity)))
     reached = components(links).toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(
         "same", F.coalesce("group", "node").alias("group"))

@@ -46,7 +46,7 @@ def with_row(docs: DataFrame) -> DataFrame:
 
 def rows_written(docs: DataFrame) -> DataFrame:
     """``docs`` with ``__row``, as a table: every job reads the same number for a row."""
-    return docs if "__row" in docs.columns else cut(with_row(docs))
+    return docs if "__row" in docs.columns else cut(with_row(docs), "zstd")
 
 
 def shared_folder(spark: SparkSession) -> str:
