@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.sources import SCHEMAS, read_table, run_folder, stream_files, stream_table, write_table
 from tallyspan.streaming import first_deliveries, run_available, session_counts, window_counts
+from tallyspan.streaming.dedupe import spans_before
 
 START = dt.datetime(2024, 3, 1)
 HOUR = dt.timedelta(hours=1)
@@ -102,6 +103,64 @@ def test_deliveries_that_come_late_are_kept(spark, folder):
     assert Counter(r.event_id for r in rows) == Counter([100, 101, 50, 102, None])
 
 
+@pytest.mark.parametrize("fan", [2, 3, 16])
+def test_spans_hold_every_earlier_batch_once_and_are_few(fan):
+    written = set()
+    for number in range(1200):
+        spans = spans_before(number, fan)
+        assert [b for first, end in spans for b in range(first, end)] == list(range(number))
+        assert all(end - first == 1 or (first, end) in written for first, end in spans)
+        lengths = Counter(end - first for first, end in spans)
+        assert all(n < fan for n in lengths.values())
+        size = fan
+        while (number + 1) % size == 0:
+            written.add((number + 1 - size, number + 1))
+            size *= fan
+
+
+def test_deliveries_over_many_batches(spark, folder):
+    """30 batches, keys merged by threes: copies come back after any number of batches."""
+    rng, sent = random.Random(4), []
+    for _ in range(30):
+        again = rng.sample(sent, min(len(sent), 5))
+        # A new event, a hot one, one without a time and one without a key, and copies.
+        rows = [event(len(sent) + 1000, len(sent) * 700), event(7, 7), (8, None, 1, "view", 1.0, "{}"),
+                (None, START, 1, "view", 1.0, "{}"), *again]
+        sent += [r for r in rows if r not in sent]
+        arrive(spark, f"{folder}/in", rows)
+    stream = stream_files(spark, f"{folder}/in", "events", files_per_trigger=1)
+    got = first_deliveries(stream, ["event_id"], "ts", f"{folder}/out", fan=3)
+    assert Counter(map(tuple, got.collect())) == Counter(sent)
+    assert spark.read.text(f"{folder}/out/checkpoint/offsets").count() >= 30
+    # The keys of the first 27 batches are one table, by day.
+    merged = spark.read.parquet(f"{folder}/out/keys/__span=from-0-to-27")
+    assert merged.count() == 30 and "__day" in merged.columns
+    one = merged.where("__day = DATE '2024-03-01'").select("event_id")
+    assert "PartitionFilters: [isnotnull(__day" in one._jdf.queryExecution().toString()
+    # With more copies and the same folder it goes on.
+    arrive(spark, f"{folder}/in", [*sent[::7], event(9999, 1)])
+    stream = stream_files(spark, f"{folder}/in", "events", files_per_trigger=1)
+    got = first_deliveries(stream, ["event_id"], "ts", f"{folder}/out", fan=3)
+    assert Counter(map(tuple, got.collect())) == Counter([*sent, event(9999, 1)])
+
+
+def test_a_batch_of_very_many_days_loses_no_copy(spark, folder):
+    many = [event(i, i * 1440) for i in range(1100)]
+    assert len(deliver(spark, folder, many)) == 1100
+    assert len(deliver(spark, folder, [*many, event(5000, 0)])) == 1101
+
+
+def test_a_key_on_another_day_is_another_row(spark, folder):
+    assert len(deliver(spark, folder, [event(1, 0), event(1, 0), event(1, 1440)])) == 2
+    assert len(deliver(spark, folder, [event(1, 1440), event(1, 2880)])) == 3
+
+
+def test_a_stream_without_input_gives_no_rows(spark, folder):
+    spark.createDataFrame([], SCHEMAS["events"]).write.parquet(f"{folder}/in")
+    stream = stream_files(spark, f"{folder}/in", "events").where("event_id < 0")
+    assert first_deliveries(stream, ["event_id"], "ts", f"{folder}/out").collect() == []
+
+
 def test_repeated_rows_are_dropped_in_the_map_tasks(spark, sf_dir):
     rows = read_table(spark, sf_dir, "events").dropDuplicates(["event_id"])
     text = rows._jdf.queryExecution().toString()
