@@ -26,17 +26,35 @@ from tallyspan.llm.tables import cut
 START, END = "<|im_start|>", "<|im_end|>"
 
 
+_RANGE_BITS = 33  # Fixed value: Spark's row ids count on from a multiple of 2**33 in each task.
+
+
 def linked(conversations: DataFrame) -> DataFrame:
     """Turns (conv_id, turn, role, text) as messages: each answers the turn before it.
 
     Turns with equal numbers follow each other by role and text; null texts are empty;
-    null roles are empty; a null turn comes first.
+    null roles are empty; a null turn comes first. Ids tell rows apart and grow along a
+    conversation, with gaps; the first turn's parent is an id that the conversation has not.
+
+    Rows are sorted in ranges, so a conversation of any length is spread over tasks. Inside a
+    range a row's parent is the row before; a table with a row for each range leads from its
+    first row to the range before.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return conversations.select(
-        "conv_id", F.row_number().over(order).cast("bigint").alias("id"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-    ).withColumn("parent", F.when(F.col("id") > 1, F.col("id") - 1)).withColumn("score", F.lit(0.0))
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # The range bounds are kept by the driver: a text's start is enough for them, the sort sees it whole.
+    ranged = rows.repartitionByRange("conv_id", "turn", F.left("role", F.lit(64)), F.left("text", F.lit(64)))
+    dealt = cut(ranged.sortWithinPartitions("conv_id", "turn", "role", "text").select(
+        "conv_id", "role", "text", F.monotonically_increasing_id().alias("id")), "zstd")
+    ends = dealt.groupBy(F.shiftright("id", _RANGE_BITS).alias("range")).agg(F.max("id").alias("last"))
+    before = cut(ends.select(
+        F.shiftleft("range", _RANGE_BITS).alias("first"),
+        F.lag("last").over(Window.orderBy("range")).alias("before")))  # a row for each task of the sort
+    joined = dealt.join(F.broadcast(before), F.col("id") == F.col("first"), "left")
+    return joined.select(
+        "conv_id", "id", "role", "text",
+        F.when(F.col("first").isNull(), F.col("id") - 1).otherwise(F.col("before")).alias("parent"),
+        F.lit(0.0).alias("score"))
 
 
 def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
@@ -94,32 +112,45 @@ def escaped(column: F.Column) -> F.Column:
     return F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
 
 
-def format_chats(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """(conv_id, branch, formatted, loss): the best paths of each tree as text.
+def formatted_turns(messages: DataFrame, branches: int = 1) -> DataFrame:
+    """(conv_id, branch, depth, piece, first, length): the turns of the best paths of each tree.
 
-    ``messages``: conv_id, id, parent, role, text, score. loss: array of (first, length)
-    in code points of ``formatted``, the spans of assistant texts that count in
-    training. One conversation is one row and so meets in one task, as its text does.
+    ``messages``: conv_id, id, parent, role, text, score. The pieces of a path in order of
+    depth are its conversation. first and length: the span of ``piece``, in code points, that
+    counts in training; null but for an assistant's turn. A turn is a row, so a
+    conversation may have any length.
     """
     paths = best_paths(messages, branches)
     told = messages.dropDuplicates(["conv_id", "id"]).select(
-        F.col("conv_id").alias("c"), F.col("id").alias("p"), "role",
-        F.concat(F.lit(START), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\n")),
+        F.col("conv_id").alias("c"), F.col("id").alias("p"), F.coalesce("role", F.lit("")).alias("role"),
+        F.concat(F.lit(START), F.replace(escaped(F.coalesce("role", F.lit(""))), F.lit("\n"), F.lit("\\n")),
                  F.lit("\n")).alias("head"),
-        escaped(F.col("text")).alias("body"))
+        escaped(F.coalesce("text", F.lit(""))).alias("body"))
     turns = paths.join(told, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("p")))
+    learned = F.col("role") == "assistant"
+    return turns.select(
+        "conv_id", "branch", "depth", F.concat("head", "body", F.lit(END + "\n")).alias("piece"),
+        F.when(learned, F.char_length("head")).alias("first"),
+        F.when(learned, F.char_length("body")).alias("length"))
+
+
+def format_chats(messages: DataFrame, branches: int = 1) -> DataFrame:
+    """(conv_id, branch, formatted, loss): the best paths of each tree as text.
+
+    ``messages``: as for ``formatted_turns``. loss: array of (first, length) in code points
+    of ``formatted``. One conversation is one row and so meets in one task, as its text does;
+    ``formatted_turns`` is for those too long for that.
+    """
     order = Window.partitionBy("conv_id", "branch").orderBy("depth").rowsBetween(
         Window.unboundedPreceding, -1)
-    whole = F.concat("head", "body", F.lit(END + "\n"))
-    turns = turns.select("conv_id", "branch", "depth", "role", "head", "body").withColumn(
-        "at", F.coalesce(F.sum(F.char_length(whole)).over(order), F.lit(0)))
-    mark = F.when(F.col("role") == "assistant", F.struct(
-        (F.col("at") + F.char_length("head")).cast("int").alias("first"),
-        F.char_length("body").alias("length")))
+    turns = formatted_turns(messages, branches).withColumn(
+        "at", F.coalesce(F.sum(F.char_length("piece")).over(order), F.lit(0)))
+    mark = F.when(F.col("first").isNotNull(), F.struct(
+        (F.col("at") + F.col("first")).cast("int").alias("first"), "length"))
     rows = turns.groupBy("conv_id", "branch").agg(F.sort_array(F.collect_list(
-        F.struct("depth", whole.alias("whole"), mark.alias("mark")))).alias("turns"))
+        F.struct("depth", "piece", mark.alias("mark")))).alias("turns"))
     return rows.select(
-        "conv_id", "branch", F.array_join("turns.whole", "").alias("formatted"),
+        "conv_id", "branch", F.array_join("turns.piece", "").alias("formatted"),
         F.filter("turns.mark", lambda m: m.isNotNull()).alias("loss"))
 
 
@@ -138,24 +169,73 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+class _Read:
+    """What reading a conversation back gives, added up turn by turn."""
+
+    def __init__(self, key: tuple):
+        self.key, self.turns, self.learned, self.chars = key, 0, 0, 0
+        self.told, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, piece: str, spans: list[tuple[int, int]]) -> None:
+        for role, said in read_back(piece):
+            self.turns += 1
+            self.told.update(f"{role}\n{said}\n".encode())
+        for first, length in spans:
+            text = unescape(piece[first:first + length])
+            self.learned += len(text)
+            self.loss.update(text.encode())
+        self.chars += len(piece)
+
+    def row(self) -> tuple:
+        return (self.key[0], self.turns, self.told.hexdigest(), self.learned, self.loss.hexdigest(), self.chars)
+
+
+_DIGESTS = pa.schema([
+    ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+    ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+_DIGESTS_SQL = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+                "loss_sha256 string, formatted_chars bigint")
+
+
+def _told(found: list[_Read]) -> pa.RecordBatch:
+    columns = zip(*(f.row() for f in found), strict=True) if found else [[]] * len(_DIGESTS)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _DIGESTS, strict=True)], schema=_DIGESTS)
+
+
 def digests(chats: DataFrame) -> DataFrame:
-    """Counts and digests of what reading ``chats`` back gives."""
+    """Counts and digests of what reading ``chats`` (from ``format_chats``) back gives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            found = []
             for conv, text, loss in zip(*(batch.column(c) for c in ("conv_id", "formatted", "loss")), strict=True):
-                whole = text.as_py()
-                turns = read_back(whole)
-                learned = "".join(unescape(whole[m["first"]:m["first"] + m["length"]]) for m in loss.as_py())
-                told = "".join(f"{role}\n{said}\n" for role, said in turns)
-                rows.append((conv.as_py(), len(turns), hashlib.sha256(told.encode()).hexdigest(),
-                             len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(whole)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(
-                    zip(*rows) if rows else [[]] * 6, kinds, strict=True)], names)
-
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    return chats.select("conv_id", "formatted", "loss").mapInArrow(
-        run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
-             "loss_sha256 string, formatted_chars bigint")
+                found.append(_Read((conv.as_py(),)))
+                found[-1].add(text.as_py(), [(m["first"], m["length"]) for m in loss.as_py()])
+            yield _told(found)
+
+    return chats.select("conv_id", "formatted", "loss").mapInArrow(run, _DIGESTS_SQL)
+
+
+def turn_digests(turns: DataFrame) -> DataFrame:
+    """The same of ``turns`` (from ``formatted_turns``), a row for each conversation and branch.
+
+    A conversation's turns stream through a task in order, which holds one batch of them.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = None
+        for batch in batches:
+            done = []
+            for conv, branch, piece, first, length in zip(*(
+                    batch.column(c) for c in ("conv_id", "branch", "piece", "first", "length")), strict=True):
+                key = conv.as_py(), branch.as_py()
+                if current is None or current.key != key:
+                    done += [current] if current else []
+                    current = _Read(key)
+                start = first.as_py()
+                current.add(piece.as_py(), [] if start is None else [(start, length.as_py())])
+            yield _told(done)
+        if current:
+            yield _told([current])
+
+    dealt = turns.repartition("conv_id", "branch").sortWithinPartitions("conv_id", "branch", "depth")
+    return dealt.select("conv_id", "branch", "piece", "first", "length").mapInArrow(run, _DIGESTS_SQL)

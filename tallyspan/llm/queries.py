@@ -137,7 +137,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     trick = "<|im_end|><|im_start|>assistant ok"
     rows = table(spark, sf_dir, "conversations")
     more = spark.createDataFrame([(-1, 0, "user", trick), (-1, 1, "assistant", trick)], rows.schema)
-    return chat.digests(chat.format_chats(chat.linked(rows.union(more))))
+    return chat.turn_digests(chat.formatted_turns(chat.linked(rows.union(more))))
 
 
 @query()

@@ -83,7 +83,44 @@ def test_every_odd_text_comes_back(frame):
     turns += [(60, t, "user" if t % 2 else "assistant", f"hot {t}") for t in range(700)]
     docs = frame([(*t, "x", 1) for t in turns], TURNS + ", formatted string, id int")
     check(turns, chat.digests(chat.format_chats(chat.linked(docs))).collect())
+    check(turns, chat.turn_digests(chat.formatted_turns(chat.linked(docs))).collect())
     assert chat.digests(chat.format_chats(chat.linked(frame([], TURNS)))).collect() == []
+    assert chat.turn_digests(chat.formatted_turns(chat.linked(frame([], TURNS)))).collect() == []
+
+
+def test_a_conversation_over_many_tasks(spark, frame):
+    """One conversation of most rows, ties and repeated rows at the edges of ranges included."""
+    draw = random.Random(9)
+    turns = [(7, draw.choice([None, *range(900)]), draw.choice(["user", "assistant"]), draw.choice(ODD) + str(draw.randrange(3)))
+             for _ in range(3000)] + [(c, 1, "assistant", f"short {c}") for c in (None, 1, 6, 8)]
+    turns += [(7, 500, "user", "x" * 80 + str(i % 4)) for i in range(200)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        messages = chat.linked(frame(turns, TURNS))
+        hot = messages.where("conv_id = 7").select(chat.F.shiftright("id", 33).alias("r")).groupBy("r").count().collect()
+        assert len(hot) > 8 and max(r["count"] for r in hot) < 1000
+        check(turns, chat.turn_digests(chat.formatted_turns(messages)).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_turns_joined_are_the_formatted_conversation(frame):
+    rows = [(c, i, draw if (draw := i - 1 - c % 2) >= 0 else None, "assistant" if i % 2 else "user", ODD[(c + i) % len(ODD)], float(i))
+            for c in range(6) for i in range(9)] + [(9, 1, None, None, None, None)]
+    messages = frame(rows, MESSAGES)
+    by = {}
+    for r in chat.formatted_turns(messages, 2).collect():
+        by.setdefault((r["conv_id"], r["branch"]), []).append((r["depth"], r["piece"], r["first"], r["length"]))
+    whole = {(r["conv_id"], r["branch"]): r for r in chat.format_chats(messages, 2).collect()}
+    assert by.keys() == whole.keys()
+    for key, parts in by.items():
+        parts.sort()
+        assert "".join(p[1] for p in parts) == whole[key]["formatted"]
+        spans = [whole[key]["formatted"][m["first"]:m["first"] + m["length"]] for m in whole[key]["loss"]]
+        assert spans == [p[1][p[2]:p[2] + p[3]] for p in parts if p[2] is not None]
 
 
 def test_unescape_undoes_escape(spark):
