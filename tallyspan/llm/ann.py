@@ -10,8 +10,11 @@ Nearness is the largest inner product. One more component, the square root of M
 with M the largest norm, makes all vectors as long as M, and the largest inner product the
 least distance, so that the tree can split by distance.
 
-Leaves hold what they hold: one of many equal vectors is cut into blocks, and each query
-that visits it meets each block.
+Equal vectors are one class. Their scores are equal for every query, and ties go to the
+smaller id, so of a class only the k + 1 rows of smallest ids can be among a query's k
+nearest others: those are indexed, and no answer is lost. A class that asks is led through
+the tree once, for its k + 1 nearest rows of all; each asking row then drops its own. So
+many copies of one vector cost neither candidates nor visits.
 """
 
 from __future__ import annotations
@@ -28,9 +31,12 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.tables import cut, extended, with_row
 
-SAMPLE_ROWS = 20_000  # most rows, on average, that the tree is fitted on
+_CLASS = ("c1", "c2")  # 128 bits of hash that equal vectors share
+
+SAMPLE_ROWS = 20_000  # about as many rows the tree is fitted on, or more for many leaves
+ROWS_A_LEAF = 8  # sampled rows a leaf, at least
 CALIBRATION_QUERIES = 200  # about as many queries have their true neighbours found
-MOST_LEAVES = 4096
+MOST_LEAVES = 16_384  # bounds the sample too: about ROWS_A_LEAF times as many rows
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 4096
 
@@ -206,9 +212,22 @@ def calibrate(tree: Tree, index: DataFrame, queries: list, k: int, recall: float
     return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) + 1
 
 
+def _answers(met: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """The k nearest rows of every asking row, from the k + 1 nearest of its class."""
+    found = F.struct((-F.col("score")).alias("s"), "vec_id", F.col("row").alias("r"))
+    lists = met.groupBy(*_CLASS).agg(F.sort_array(F.collect_list(found)).alias("found"))
+    # A hot class's asking rows meet one row here; adaptive execution splits them.
+    others = F.slice(F.filter("found", lambda x: x["r"] != F.col("__row")), 1, k)
+    return asks.select(*_CLASS, "__row", F.col("vec_id").alias("query_id")).join(lists, list(_CLASS)).select(
+        "query_id", F.posexplode(others).alias("at", "x")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"),
+        (-F.col("x.s")).alias("score"))
+
+
 def search(
     vectors: DataFrame, is_query, k: int = 20, recall: float = 0.95, leaf_rows: int = 1000,
     sample_rows: int = SAMPLE_ROWS, calibration: int = CALIBRATION_QUERIES,
+    most_leaves: int = MOST_LEAVES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query row.
 
@@ -217,6 +236,9 @@ def search(
     product in double precision, ties go to the smaller vec_id. A query gets k rows, or
     all candidates if there are fewer.
 
+    Leaves hold ``leaf_rows`` rows or so, up to ``most_leaves`` leaves, and larger ones
+    beyond. The tree is fitted on about ``sample_rows`` rows, or 8 a leaf if that is more.
+
     Vectors that are null, empty, zero or hold a null or a number that is not finite take
     no part, nor do those of another length than most; repeated rows are rows of their
     own, and a null id sorts first among ties; other columns are ignored; no rows give
@@ -225,19 +247,28 @@ def search(
     spark = vectors.sparkSession
     rows = with_row(vectors).select("__row", "vec_id", F.col("embedding").alias("v"),
                                     F.coalesce(is_query, F.lit(False)).alias("asks"))
-    rows = cut(usable(rows, "v"))
+    rows = cut(usable(rows, "v").withColumns(
+        {"c1": F.xxhash64(F.lit(1), "v"), "c2": F.xxhash64(F.lit(2), "v")}))
+    # The group limit runs in the map tasks too, so a hot class shuffles k + 1 rows a task.
+    place = F.row_number().over(Window.partitionBy(*_CLASS).orderBy("vec_id", "__row"))
+    kept = cut(rows.withColumn("__n", place).where(F.col("__n") <= k + 1).select(
+        "__row", "vec_id", "v", *_CLASS, (F.col("__n") == 1).alias("first")))
+    asking = cut(rows.where("asks").select(*_CLASS, "__row", "vec_id"))
+    # One row for each class that asks; its vector is that of the class's first row.
+    askers = asking.groupBy(*_CLASS).agg(F.min("__row").alias("asker"))
     norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("norm2"),
-                     F.sum(F.col("asks").cast("bigint")).alias("asking")).first()
+    facts = kept.agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("norm2")).first()
     out = "query_id bigint, rank int, vec_id bigint, score double"
-    if not facts["n"] or not facts["asking"]:
+    classes = askers.count()
+    if not facts["n"] or not classes:
         return spark.createDataFrame([], out)
     draw = F.pmod(F.xxhash64("__row"), F.lit(1 << 20))
-    share = min(1.0, sample_rows / facts["n"])
-    sample = np.array([r["v"] for r in rows.where(draw < share * (1 << 20)).select("v").collect()]
-                      or [rows.first()["v"]], np.float64)
-    own_rows = max(leaf_rows, facts["n"] / MOST_LEAVES) * min(1.0, len(sample) / facts["n"])
-    tree = fit(sample, float(np.sqrt(facts["norm2"])), max(8, int(own_rows)))
+    leaves = min(most_leaves, facts["n"] / leaf_rows)
+    share = min(1.0, max(sample_rows, ROWS_A_LEAF * leaves) / facts["n"])
+    drawn = kept.where(draw < share * (1 << 20)).select("v").toArrow().column("v").combine_chunks()
+    sample = _matrix(drawn) if len(drawn) else np.array([kept.first()["v"]], np.float64)
+    own_rows = max(leaf_rows, facts["n"] / most_leaves) * min(1.0, len(sample) / facts["n"])
+    tree = fit(sample, float(np.sqrt(facts["norm2"])), max(ROWS_A_LEAF, int(own_rows)))
     shared = spark.sparkContext.broadcast(vars(tree))
 
     def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,14 +278,14 @@ def search(
                 leaf = tree.find(tree.stored(_matrix(batch.column("v"))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], [*batch.schema.names, "leaf"])
 
-    index = cut(rows.mapInArrow(led, extended(rows, "leaf int")))
+    index = cut(kept.mapInArrow(led, extended(kept, "leaf int")))
     counts = np.zeros(tree.leaves, np.int64)
-    for r in index.groupBy("leaf").count().collect():  # at most MOST_LEAVES rows or so
+    for r in index.groupBy("leaf").count().collect():  # a row for each leaf
         counts[r["leaf"]] = r["count"]
-    asks = index.where("asks").select("__row", "vec_id", "v")
-    part = min(1.0, calibration / facts["asking"])
-    chosen = asks.where(F.pmod(F.xxhash64("__row", F.lit(1)), F.lit(1 << 20)) < part * (1 << 20))
-    visits = calibrate(tree, index, chosen.select("__row", "v").collect(), k, recall)
+    asks = cut(askers.join(index.where("first").select(*_CLASS, "v"), list(_CLASS)))
+    part = min(1.0, calibration / classes)
+    chosen = asks.where(F.pmod(F.xxhash64("asker", F.lit(1)), F.lit(1 << 20)) < part * (1 << 20))
+    visits = calibrate(tree, index, chosen.select(F.col("asker").alias("__row"), "v").collect(), k, recall)
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = Tree(**shared.value)
@@ -280,40 +311,39 @@ def search(
     group_of = (np.cumsum(counts) - 1) // BLOCK_ROWS
     probes = cut(asks.mapInArrow(walked, extended(asks, "g int, leaves array<int>")))
     groups = spark.createDataFrame([(i, int(g)) for i, g in enumerate(group_of)], "leaf int, g int")
-    held = index.join(F.broadcast(groups), "leaf")  # a row for each leaf
+    held = index.select("__row", "vec_id", "v", "leaf").join(F.broadcast(groups), "leaf")  # a row for each leaf
     # Blocks of a group's vectors and of the queries that visit it.
     sizes = held.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("nv")).join(
         probes.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("nq")), "g")
-    return _met(held, probes, sizes, k)
+    return _answers(_met(held, probes, sizes, k + 1), asking, k)
 
 
 def _met(held: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
-    """The k best of the vectors in the leaves that each query visits."""
+    """(c1, c2, row, vec_id, score): the k best rows of the leaves that each class visits."""
     asked = probes.join(sizes, "g").select(
-        "g", "leaves", F.pmod(F.xxhash64("__row"), F.col("nq")).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"), "__row", "vec_id", "v")
+        "g", "leaves", F.pmod(F.xxhash64("asker"), F.col("nq")).cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("vb"), *_CLASS, "v")
     held = held.join(sizes, "g").select(
         "g", "leaf", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"),
         F.pmod(F.xxhash64("__row"), F.col("nv")).cast("int").alias("vb"), "__row", "vec_id", "v")
 
     def meet(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
-            return pd.DataFrame({"asking": [], "query_id": [], "vec_id": [], "score": []})
-        place = {r: i for i, r in enumerate(x["__row"].tolist())}
-        own = [place.get(r, -1) for r in q["__row"].tolist()]
+            return pd.DataFrame({"c1": [], "c2": [], "row": [], "vec_id": [], "score": []})
+        x = x.sort_values("__row", ignore_index=True)  # rows of one id and score: by number
         ids = x["vec_id"].fillna(-1).to_numpy(np.int64)
         found = list(best(np.stack(q["v"].to_list()).astype(np.float64),
-                          np.stack(x["v"].to_list()).astype(np.float64), ids, k, own,
+                          np.stack(x["v"].to_list()).astype(np.float64), ids, k, None,
                           [np.isin(x["leaf"].to_numpy(), visited) for visited in q["leaves"]]))
         n = [len(f[0]) for f in found]
         near = np.concatenate([f[0] for f in found])
         return pd.DataFrame({
-            "asking": np.repeat(q["__row"].to_numpy(), n), "query_id": q["vec_id"].repeat(n).to_numpy(),
-            "vec_id": x["vec_id"].to_numpy()[near], "score": np.concatenate([f[1] for f in found])})
+            "c1": np.repeat(q["c1"].to_numpy(), n), "c2": np.repeat(q["c2"].to_numpy(), n),
+            "row": x["__row"].to_numpy()[near], "vec_id": x["vec_id"].to_numpy()[near],
+            "score": np.concatenate([f[1] for f in found])})
 
     keys = ["g", "qb", "vb"]
     met = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
-        meet, "asking bigint, query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("asking").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        meet, "c1 bigint, c2 bigint, row bigint, vec_id bigint, score double")
+    order = Window.partitionBy(*_CLASS).orderBy(F.desc("score"), "vec_id", "row")
+    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")

@@ -63,6 +63,47 @@ def test_hot_vector_and_ties(frame, monkeypatch):
         assert [r[1] for r in got[q]] == [r[1] for r in expected[q]]
 
 
+def test_equal_vectors_are_one_class(frame, monkeypatch):
+    """Few copies are indexed and a class is met once; every asking copy gets its whole answer."""
+    indexed, asked = [], []
+    met = ann._met
+
+    def counting(held, probes, sizes, k):
+        indexed.append(held.count())
+        asked.append(probes.select("c1", "c2").distinct().count())
+        return met(held, probes, sizes, k)
+
+    monkeypatch.setattr(ann, "_met", counting)
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(900, 8)).astype(np.float32)
+    x[300:600] = x[0] * 3  # a third of all rows
+    x[600:604] = x[1]  # fewer copies than neighbours asked for
+    ids = draw.permutation(900)
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)]
+    got = rows_of(ann.search(frame(rows, VECTORS), F.col("vec_id") % 3 == 0, k=7, recall=1.0))
+    expected = brute(ids, x.astype(float), range(0, 900, 3), 7)
+    assert indexed == [900 - 300 + 8]
+    assert asked == [len({x[n].tobytes() for n in range(900) if ids[n] % 3 == 0})]
+    assert set(got) == set(expected)
+    hot = {int(i) for i in ids[300:600] if i % 3 == 0} | {int(i) for i in ids[600:604] if i % 3 == 0}
+    for q in hot:
+        assert [(r[0], r[1]) for r in got[q]] == [(r[0], r[1]) for r in expected[q]]
+    hits = sum(len({r[1] for r in got[q]} & {r[1] for r in expected[q]}) for q in got)
+    assert hits >= 0.97 * 7 * len(got)
+
+
+def test_leaves_stay_of_one_size_as_rows_grow(frame):
+    """The sample follows the leaves, so that twice the rows make about twice the leaves."""
+    draw = np.random.default_rng(7)
+    leaves = []
+    for n in (2000, 8000):
+        x = draw.normal(size=(n, 6))
+        share = ann.ROWS_A_LEAF * (n / 50) / n
+        sample = x[draw.random(n) < share]
+        leaves.append(ann.fit(sample, 10.0, max(ann.ROWS_A_LEAF, int(50 * share))).leaves)
+    assert 3 < leaves[1] / leaves[0] < 5.5
+
+
 def test_unusable_vectors_few_rows_and_no_rows(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (3, [1.0, 1.0]), (4, None), (40, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
