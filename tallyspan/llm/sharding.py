@@ -21,17 +21,19 @@ from pyspark.sql import functions as F
 from tallyspan.llm.tables import cut, with_row
 
 
-def numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
+def numbered(rows: DataFrame, by: str, name: str, spread: int = 256) -> DataFrame:
     """``rows`` (__row, link, …) with ``name``: 0, 1, … without gaps within each ``by``.
 
     Rows of one link get numbers in a row: small links come first, then ``big`` ones, then
     rows without a link (big is null), each by 16 bits of the link's hash, then by link and
-    row. The rows of a big link are spread over 256 buckets side by side.
+    row. The rows of a big link are spread over ``spread`` buckets side by side, at most
+    65,536: the caller makes them follow the number of rows.
     """
     tier = F.when(F.col("big").isNull(), 2).when(F.col("big"), 1).otherwise(0)
     h = F.xxhash64(F.coalesce("link", F.col("__row").cast("string")))
-    fine = F.when(F.coalesce("big", F.lit(False)), F.xxhash64("__row")).otherwise(F.shiftright(h, 8))
-    bucket = tier * 65536 + F.pmod(h, F.lit(256)) * 256 + F.pmod(fine, F.lit(256))
+    fine = F.when(F.coalesce("big", F.lit(False)), F.pmod(F.xxhash64("__row"), F.lit(spread))).otherwise(
+        F.pmod(F.shiftright(h, 8), F.lit(256)))
+    bucket = (tier * 256 + F.pmod(h, F.lit(256))) * 65536 + fine
     rows = rows.withColumn("__bucket", bucket)
     before = Window.partitionBy(by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy(by, "__bucket").agg(F.count(F.lit(1)).alias("__n")).withColumn(
@@ -57,6 +59,24 @@ def _flows(asked: np.ndarray, load: np.ndarray, quota: np.ndarray) -> np.ndarray
     return share
 
 
+def spread_of(n: int) -> int:
+    """Buckets for the rows of a big link among ``n`` rows: a million rows each or fewer."""
+    return min(65_536, max(256, -(-n // 1_000_000)))
+
+
+def _by_size(rows: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``other`` (both with ``big``), those of big links without a shuffle.
+
+    ``other`` has a row for each link, or link and shard. Only some 20 links a shard can
+    be big (``assign``), so their part of it is small at any size of the input.
+    """
+    def part(df: DataFrame, big: bool) -> DataFrame:
+        return df.where(F.col("big") == big)
+
+    heavy = part(rows, True).join(F.broadcast(part(other, True).drop("big")), on, how)
+    return heavy.unionByName(part(rows, False).join(part(other, False).drop("big"), on, how))
+
+
 def _table(values, column: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(column) + 1)
 
@@ -78,12 +98,12 @@ def propagate(linked: DataFrame, quota: np.ndarray, rounds: int = 12, slack: flo
         weight = F.struct("n", F.xxhash64("link", "shard"))
         room = _table([bool(x) for x in load < quota], "shard")
         open_to = F.when(room | ~F.col("big"), weight)
-        best = counts.groupBy("link").agg(
+        best = counts.groupBy("link", "big").agg(
             F.max_by("shard", open_to).alias("to"), F.max(open_to).alias("to_weight"))
-        here = counts.select("link", "shard", weight.alias("weight"))
-        wish = here.join(best, "link").where("to IS NOT NULL AND to_weight > weight").select(
-            "link", "shard", "to")
-        asking = cut(labels.join(wish, ["link", "shard"]).select("__row", "link", "big", "shard", "to"))
+        here = counts.select("link", "big", "shard", weight.alias("weight"))
+        wish = here.join(best, ["link", "big"]).where("to IS NOT NULL AND to_weight > weight").select(
+            "link", "big", "shard", "to")
+        asking = cut(_by_size(labels, wish, ["link", "shard"]).select("__row", "link", "big", "shard", "to"))
         asked = np.zeros((shards, shards))
         for r in asking.groupBy("shard", "to").count().collect():
             asked[r["shard"], r["to"]] = r["count"]
@@ -109,15 +129,26 @@ def assign(rows: DataFrame, shards: int = 24, rounds: int = 12) -> DataFrame:
     """
     several = rows.where("link IS NOT NULL").groupBy("link").agg(
         F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    quota = quotas(rows.count(), shards)
-    # A big link is one that fills a good part of a shard.
-    several = several.select("link", (F.col("__n") * 20 > int(quota.min())).alias("big"))
-    ids = cut(rows.select("__row", "link").join(several, "link", "left"))
+    n = rows.count()
+    quota, spread = quotas(n, shards), spread_of(n)
+    # A big link is one that fills a good part of a shard: n rows make 20 to a shard at
+    # most, or so, however many rows there are, so that a broadcast of them stays small.
+    several = cut(several.select("link", (F.col("__n") * 20 > max(int(quota.min()), 1)).alias("big")))
+    big = F.broadcast(several.where("big").select("link", "big"))
+    marked = rows.select("__row", "link").join(big, "link", "left")
+    few = several.where("NOT big").withColumnRenamed("big", "__few")
+    # Rows of big links and without a link take no part in the join that shuffles.
+    alone = F.col("big").isNotNull() | F.col("link").isNull()
+    ids = cut(marked.where(alone).select("__row", "link", "big").unionByName(
+        marked.where(~alone).drop("big").join(few, "link", "left").select(
+            "__row", "link", F.col("__few").alias("big"))))
     labels = propagate(ids.where("big IS NOT NULL"), quota, rounds)
     # Small links that found no common shard are dealt again as a whole.
     split = cut(labels.where(~F.col("big")).groupBy("link").agg(
         F.min("shard").alias("a"), F.max("shard").alias("b")).where("a <> b").select("link"))
-    ranked = numbered(labels.join(split, "link", "left_anti"), "shard", "__at")
+    small = labels.where(~F.col("big"))
+    ranked = numbered(small.join(split, "link", "left_anti").unionByName(labels.where("big")),
+                      "shard", "__at", spread)
     fits = F.col("__at") < _table([int(q) for q in quota], "shard")
     ranked = cut(ranked.withColumn("__fits", fits))
     kept = ranked.where("__fits").select("__row", "link", "big", "shard")
@@ -125,14 +156,14 @@ def assign(rows: DataFrame, shards: int = 24, rounds: int = 12) -> DataFrame:
     for r in kept.groupBy("shard").count().collect():
         free[r["shard"]] -= r["count"]
     pool = ranked.where("NOT __fits").select("__row", "link", "big").union(
-        labels.join(split, "link", "left_semi").select("__row", "link", "big")).union(
+        small.join(split, "link", "left_semi").select("__row", "link", "big")).union(
         ids.where("big IS NULL").select("__row", "link", "big")).withColumn("__all", F.lit(0))
-    pool = numbered(pool, "__all", "__at")
+    pool = numbered(pool, "__all", "__at", spread)
     ends = [int(x) for x in np.cumsum(free)]
     # The first shard whose free places, counted on, reach beyond the number.
     place = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col("__at")))
     dealt = pool.select("__row", "link", "big", place.cast("int").alias("shard"))
-    slots = numbered(kept.union(dealt), "shard", "slot").select("__row", "shard", "slot")
+    slots = numbered(kept.union(dealt), "shard", "slot", spread).select("__row", "shard", "slot")
     return rows.join(slots, "__row")
 
 

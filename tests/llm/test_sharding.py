@@ -27,9 +27,28 @@ def test_numbers_have_no_gaps(spark):
         F.col("id").alias("__row"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("link"),
         (F.col("id") % 4).alias("by"),
         (F.col("id") % 3 == 0).alias("big"))
-    got = sharding.numbered(rows, "by", "at").collect()
-    for by in range(4):
-        assert sorted(r["at"] for r in got if r["by"] == by) == list(range(1250))
+    for spread in (256, 7, 1000):
+        got = sharding.numbered(rows, "by", "at", spread).collect()
+        for by in range(4):
+            assert sorted(r["at"] for r in got if r["by"] == by) == list(range(1250))
+
+
+def test_buckets_follow_the_rows():
+    assert [sharding.spread_of(n) for n in (0, 10**6, 10**9, 10**10, 10**12)] == [256, 256, 1000, 10_000, 65_536]
+
+
+def test_a_hot_link_is_joined_without_a_shuffle(frame):
+    rows = frame([(i, "hot" if i % 3 == 0 else f"g{i // 6}", i % 3 == 0, i % 5) for i in range(600)],
+                 "__row bigint, link string, big boolean, shard int")
+    wish = frame([("hot", True, s, 9) for s in range(5)] + [("g1", False, 1, 2)],
+                 "link string, big boolean, shard int, to int")
+    joined = sharding._by_size(rows, wish, ["link", "shard"])
+    assert joined.where("link = 'hot'").count() == 200
+    expected = sum(i // 6 == 1 and i % 5 == 1 and i % 3 != 0 for i in range(600))
+    assert joined.where("link = 'g1' AND to = 2").count() == expected
+    text = joined._jdf.queryExecution().toString()
+    heavy = text[text.index("== Optimized Logical Plan =="):].split("Join Inner")[1]
+    assert "strategy=broadcast" in heavy
 
 
 def test_small_groups_stay_whole_and_a_hot_one_fills_few_shards(frame):
@@ -81,4 +100,9 @@ def test_query_over_real_texts(spark, sf_dir):
     result = QUERIES["op5_sharding"](spark, sf_dir)
     assert result.dtypes == [("doc_id", "bigint"), ("size", "bigint"), ("text_crc32", "bigint"), ("law", "string"),
                              ("shard", "int"), ("slot", "bigint"), ("grown_shard", "int")]
-    check(result.collect(), 1000, 24)
+    rows = result.collect()
+    check(rows, 1000, 24)
+    places = {}
+    for r in rows:
+        places.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
+    assert all(len(p) == 1 for p in places.values())  # no copies of a text are apart
