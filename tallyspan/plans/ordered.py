@@ -13,6 +13,7 @@ from tallyspan.operators import (
     moving,
     previous,
     range_join,
+    regular_grid,
     sessions,
     with_lookback,
 )
@@ -185,3 +186,28 @@ def sliding_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum("n").alias("n"), amount(F.sum("total"), 100).alias("total"))
         .select(F.col("window.start").alias("window_start"), "n", "total")
     )
+
+
+@query("""
+    WITH held AS (
+        SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts) AS cell, count(*) AS n,
+               CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(value) AS mean
+        FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+    grid AS (
+        SELECT user_id, unnest(generate_series(min(cell), max(cell), INTERVAL 6 HOUR)) AS cell
+        FROM held GROUP BY user_id),
+    around AS (
+        SELECT g.user_id, g.cell, a.cell AS a_at, a.mean AS a_mean, a.n AS a_n, b.cell AS b_at, b.mean AS b_mean
+        FROM grid g
+        ASOF JOIN held a ON g.user_id = a.user_id AND g.cell >= a.cell
+        ASOF JOIN held b ON g.user_id = b.user_id AND g.cell <= b.cell)
+    SELECT user_id, cell AS grid_time, CASE WHEN cell = a_at THEN a_n ELSE 0 END AS n_rows,
+           CASE WHEN cell = a_at THEN a_mean
+                ELSE a_mean + (b_mean - a_mean) * (epoch(cell - a_at) / epoch(b_at - a_at)) END AS mean
+    FROM around
+""")
+def filled_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provisional P36: each user's mean value every 6 hours, gaps filled by interpolation."""
+    events = read_table(spark, sf_dir, "events").select("user_id", "ts", cents("value").alias("value"))
+    mean = amount(exact_sum("value"), 100) / F.count("value")
+    return regular_grid(events, ["user_id"], "ts", "6 hours", {"mean": mean})

@@ -20,7 +20,7 @@ SHUFFLES = {
     "hourly_events": 1, "top_customers_per_nation": 1, "latest_event_per_user": 1,
     "value_change": 1, "moving_average": 1, "events_in_last_day": 1, "user_sessions": 1,
     "event_type_runs": 1, "last_click_before_purchase": 1, "brands_in_small_and_large": 1,
-    "users_per_event_type": 2, "part_rollup": 2, "part_cube": 2, "sliding_hours": 2,
+    "users_per_event_type": 2, "filled_means": 2, "part_rollup": 2, "part_cube": 2, "sliding_hours": 2,
     "purchases_after_click": 2, "order_line_counts": 2, "orders_with_large_lines": 2,
     "orders_without_lines": 2, "parts_above_brand_average": 2,
     # The second copy of the first shuffle is reused when the job runs.
