@@ -11,6 +11,7 @@ from tallyspan.operators import (
     count_within,
     islands,
     moving,
+    overlap_join,
     previous,
     range_join,
     regular_grid,
@@ -211,3 +212,27 @@ def filled_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("user_id", "ts", cents("value").alias("value"))
     mean = amount(exact_sum("value"), 100) / F.count("value")
     return regular_grid(events, ["user_id"], "ts", "6 hours", {"mean": mean})
+
+
+@query("""
+    WITH open_orders AS (
+        SELECT o_custkey, o_orderkey, any_value(o_orderdate) AS opened, max(l_shipdate) AS closed
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderkey)
+    SELECT a.o_custkey AS custkey, a.o_orderkey AS orderkey, b.o_orderkey AS other_orderkey,
+           greatest(a.opened, b.opened) AS both_from, least(a.closed, b.closed) AS both_to
+    FROM open_orders a JOIN open_orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey
+     AND a.opened <= b.closed AND b.opened <= a.closed
+    WHERE a.opened <= a.closed AND b.opened <= b.closed
+""")
+def orders_open_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provisional P37: overlap join, two orders of a customer open at the same time."""
+    shipped = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closed"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    held = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"),
+        F.col("o_orderdate").alias("opened"), "closed")
+    other = held.select("custkey", *[F.col(c).alias(f"other_{c}") for c in ("orderkey", "opened", "closed")])
+    pairs = overlap_join(held, other, ["custkey"], ("opened", "closed"), ("other_opened", "other_closed"), "1 day")
+    return pairs.where("orderkey < other_orderkey").select(
+        "custkey", "orderkey", "other_orderkey", F.greatest("opened", "other_opened").alias("both_from"),
+        F.least("closed", "other_closed").alias("both_to"))
