@@ -1,4 +1,5 @@
 from tallyspan.operators.asof import asof_join
+from tallyspan.operators.coverage import interval_union
 from tallyspan.operators.gaps import regular_grid
 from tallyspan.operators.grouping import rollup_totals, top_per_group
 from tallyspan.operators.intervals import overlap_join
@@ -11,6 +12,6 @@ from tallyspan.operators.sets import except_all, intersect_distinct
 
 __all__ = [
     "asof_join", "count_within", "except_all", "exact_percentile", "find_cuts",
-    "intersect_distinct", "islands", "moving", "overlap_join", "previous", "range_join", "regular_grid",
+    "intersect_distinct", "interval_union", "islands", "moving", "overlap_join", "previous", "range_join", "regular_grid",
     "rollup_totals", "sessions", "top_per_group", "with_lookback",
 ]

@@ -9,6 +9,7 @@ from tallyspan.functions import amount, cents, exact_sum
 from tallyspan.operators import (
     asof_join,
     count_within,
+    interval_union,
     islands,
     moving,
     overlap_join,
@@ -214,6 +215,15 @@ def filled_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regular_grid(events, ["user_id"], "ts", "6 hours", {"mean": mean})
 
 
+def _open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with lines, open from their date to the last shipment."""
+    shipped = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closed"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"),
+        F.col("o_orderdate").alias("opened"), "closed")
+
+
 @query("""
     WITH open_orders AS (
         SELECT o_custkey, o_orderkey, any_value(o_orderdate) AS opened, max(l_shipdate) AS closed
@@ -226,13 +236,30 @@ def filled_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def orders_open_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provisional P37: overlap join, two orders of a customer open at the same time."""
-    shipped = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("closed"))
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    held = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"),
-        F.col("o_orderdate").alias("opened"), "closed")
+    held = _open_orders(spark, sf_dir)
     other = held.select("custkey", *[F.col(c).alias(f"other_{c}") for c in ("orderkey", "opened", "closed")])
     pairs = overlap_join(held, other, ["custkey"], ("opened", "closed"), ("other_opened", "other_closed"), "1 day")
     return pairs.where("orderkey < other_orderkey").select(
         "custkey", "orderkey", "other_orderkey", F.greatest("opened", "other_opened").alias("both_from"),
         F.least("closed", "other_closed").alias("both_to"))
+
+
+@query("""
+    WITH open_orders AS (
+        SELECT o_custkey, o_orderkey, any_value(o_orderdate) AS opened, max(l_shipdate) AS closed
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderkey),
+    flagged AS (
+        SELECT *, CASE WHEN opened <= max(closed) OVER (
+                   PARTITION BY o_custkey ORDER BY opened, closed, o_orderkey
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS begins
+        FROM open_orders WHERE opened <= closed),
+    numbered AS (
+        SELECT *, sum(begins) OVER (PARTITION BY o_custkey ORDER BY opened, closed, o_orderkey
+                                    ROWS UNBOUNDED PRECEDING) AS stretch
+        FROM flagged)
+    SELECT o_custkey AS custkey, min(opened) AS covered_from, max(closed) AS covered_to, count(*) AS n_rows
+    FROM numbered GROUP BY o_custkey, stretch
+""")
+def customer_open_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provisional P38: union of intervals, when each customer has some order open."""
+    return interval_union(_open_orders(spark, sf_dir), ["custkey"], ("opened", "closed"))

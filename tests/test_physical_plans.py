@@ -25,6 +25,8 @@ SHUFFLES = {
     "orders_without_lines": 2, "parts_above_brand_average": 2,
     # The second copy of the first shuffle is reused when the job runs.
     "repeat_orders": 3,
+    # Two sides of a join by order, equal intervals, and the window by customer.
+    "customer_open_times": 4,
     # Four inputs of two joins, each made of two shuffles; reused when the job runs.
     "orders_open_together": 12,
     "region_revenue": 9,
