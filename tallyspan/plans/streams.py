@@ -9,10 +9,11 @@ which it leaves there.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspan.plans.registry import query
 from tallyspan.sources import run_folder, stream_table
-from tallyspan.streaming import first_deliveries, run_available, session_counts, window_counts
+from tallyspan.streaming import first_deliveries, join_within, run_available, session_counts, window_counts
 
 
 @query("""
@@ -68,3 +69,22 @@ def stream_late_events(spark: SparkSession, sf_dir: str, folder: str | None = No
     events = stream_table(spark, sf_dir, "events")
     counts = window_counts(events, "ts", "1 hour", "1 day", ["event_type"])
     return run_available(counts, folder or run_folder(spark, "late"))
+
+
+@query("""
+    WITH c AS (SELECT * FROM events WHERE event_type = 'click'),
+    p AS (SELECT * FROM events WHERE event_type = 'purchase')
+    SELECT c.user_id, c.event_id AS click_id, c.ts AS click_ts, p.event_id AS purchase_id, p.ts AS purchase_ts
+    FROM c LEFT JOIN p ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 1 HOUR
+    WHERE p.event_id IS NOT NULL OR c.ts + INTERVAL 1 HOUR
+        <= least((SELECT max(ts) FROM c), (SELECT max(ts) FROM p)) - INTERVAL 10 MINUTE
+""")
+def stream_clicks_to_purchases(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Provisional P39: two streams joined, purchases up to an hour after a click, and clicks without one."""
+    def kind(event_type: str, prefix: str) -> DataFrame:
+        return stream_table(spark, sf_dir, "events").where(F.col("event_type") == event_type).select(
+            "user_id", F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts"))
+
+    pairs = join_within(kind("click", "click"), kind("purchase", "purchase"), ["user_id"],
+                        "click_ts", "purchase_ts", "1 hour", "10 minutes", "left")
+    return run_available(pairs, folder or run_folder(spark, "clicks"))
