@@ -205,3 +205,39 @@ def test_groups_do_not_depend_on_the_order_of_rows(frame):
         got = grouped(lambda rows, schema: frame(rows, schema, files=1), texts)
         assert [(a, b) for a, b in alike if got[a] != got[b]] == []
         assert len(set(got.values())) == 10
+
+
+def test_texts_of_one_template_that_are_not_alike_are_not_compared_pair_by_pair(frame, monkeypatch):
+    draw = random.Random(41)
+    word = lambda: f"w{draw.randrange(10 ** 9)}"
+    head = [word() for _ in range(40)]
+    texts = [" ".join(head + [word() for _ in range(9)]) for _ in range(200)]  # at 0.67, in most keys
+    pairs = [(i, 200 + i) for i in range(20)]
+    texts += [texts[i].rsplit(" ", 1)[0] + " other" + str(i) for i, _ in pairs]
+    compared, verified = [], simhash._verified
+
+    def counted(pairs, sets, similarity):
+        compared.append(pairs.count())
+        return verified(pairs, sets, similarity)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    got = grouped(frame, texts)
+    assert [(a, b) for a, b in pairs if got[a] != got[b]] == []
+    assert len(set(got.values())) == 200
+    assert sum(compared) < 10 * len(texts)
+
+
+def test_rare_shingles_find_every_similar_pair(frame):
+    draw = random.Random(43)
+    sets = []
+    for _ in range(40):
+        base = draw.sample(range(400), draw.randrange(1, 50))
+        for _ in range(4):
+            sets.append(sorted({*draw.sample(base, max(1, len(base) - draw.randrange(5))),
+                                *draw.sample(range(400), draw.randrange(3))}))
+    rows = frame([(i, s) for i, s in enumerate(sets)], "__row bigint, shingles array<int>")
+    rare = simhash._rare(rows, 0.8).withColumn("component", F.col("node"))
+    found = {(r["b"], r["a"]) for r in simhash._across(rare, 0.8).collect()}
+    alike = {(i, j) for i, a in enumerate(map(set, sets)) for j, b in enumerate(map(set, sets))
+             if i < j and len(a & b) >= 0.8 * len(a | b)}
+    assert len(alike) > 50 and alike <= found
