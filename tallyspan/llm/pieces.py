@@ -131,14 +131,22 @@ class Vocabulary:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
 
+# The longest end of a text that a piece begins with, the pieces that the text ends in with
+# their lengths, longest first and its last character at least, and the states after it.
+State = tuple[str, tuple[tuple[int, str], ...], dict[str, "State"]]
+
+
 class Encoder:
-    """Encodes words with a vocabulary, remembering pairs and words."""
+    """Encodes words with a vocabulary, remembering pairs, states and words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.allowed: dict[str, dict[str, bool]] = {}
         self.pairs = 0
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.starts = {p[:n] for p in vocabulary.codes for n in range(1, len(p) + 1)} if vocabulary.merges else set()
+        self.forget_states()
 
     def may_follow(self, a: str, b: str) -> bool:
         """Whether merging the characters of a and b leaves just these two."""
@@ -151,20 +159,38 @@ class Encoder:
             self.pairs += 1
         return found
 
-    def extend_allowed(self, word: str, lasts: list[str]) -> None:
+    def forget_states(self) -> None:
+        """Begin anew with the state of an empty text alone."""
+        self.states: dict[str, State] = {"": ("", (), {})}
+        self.steps = 0
+
+    def step(self, state: State, letter: str) -> State:
+        """The state after one more character."""
+        tail, codes = state[0] + letter, self.v.codes
+        while tail and tail not in self.starts:
+            tail = tail[1:]
+        after = self.states.get(tail or letter)
+        if after is None:
+            ends = [tail[i:] for i in range(len(tail) - 1) if tail[i:] in codes]
+            after = self.states[tail or letter] = (tail, tuple((len(p), p) for p in [*ends, letter]), {})
+            self.steps += 1
+        if tail:  # a letter that begins no piece has its state whatever is before it
+            state[2][letter] = after
+            self.steps += 1
+        return after
+
+    def extend_allowed(self, word: str, lasts: list[str], states: list[State]) -> None:
         """Go on to the end of ``word`` by the allowed path of each of its prefixes.
 
-        ``lasts``: the last piece of each prefix so far, which leads back to the prefix before it.
+        ``lasts``: the last piece of each prefix so far, which leads back to the prefix before
+        it. ``states``: the state of each, whose pieces are tried, the longest first.
         """
-        allowed, codes, lengths, one = self.allowed, self.v.codes, self.v.lengths, (1,)
+        allowed, state = self.allowed, states[-1]
         for end in range(len(lasts), len(word) + 1):
-            for n in lengths.get(word[end - 2:end] if end > 1 else word[0], one):
+            letter = word[end - 1]
+            state = state[2].get(letter) or self.step(state, letter)
+            for n, piece in state[1]:
                 start = end - n
-                if start < 0:
-                    continue
-                piece = word[start:end]
-                if n > 1 and piece not in codes:
-                    continue
                 if start == 0:
                     break
                 try:
@@ -174,6 +200,7 @@ class Encoder:
                     if self.may_follow(lasts[start], piece):
                         break
             lasts.append(piece)
+            states.append(state)
 
     def extend_scored(self, word: str, forward: list[float], lasts: list[str]) -> None:
         """Go on to the end of ``word`` by the best sum of scores of each of its prefixes."""
@@ -196,16 +223,22 @@ class Encoder:
         codes, at, out = self.v.codes, len(lasts) - 1, []
         while at:
             piece = lasts[at]
-            out.append(codes.get(piece) or self.fallback(piece))
+            try:
+                out.append(codes[piece])
+            except KeyError:
+                out.append(self.fallback(piece))
             at -= len(piece)
-        return b"".join(out[::-1])
+        out.reverse()
+        return b"".join(out)
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode ``words``, depth first through the trie that their sorted list is."""
         if self.pairs > _REMEMBERED:
             self.allowed, self.pairs = {}, 0
+        if self.steps > _REMEMBERED:
+            self.forget_states()
         merges, known = self.v.merges, self.known
-        forward, lasts, before = [0.0], [""], ""
+        forward, lasts, states, before = [0.0], [""], [self.states[""]], ""
         for word in sorted(words):
             shared = 0
             for a, b in zip(before, word, strict=False):
@@ -214,7 +247,8 @@ class Encoder:
                 shared += 1
             del lasts[shared + 1:]
             if merges:
-                self.extend_allowed(word, lasts)
+                del states[shared + 1:]
+                self.extend_allowed(word, lasts, states)
             else:
                 del forward[shared + 1:]
                 self.extend_scored(word, forward, lasts)
@@ -243,9 +277,12 @@ class Encoder:
     def texts(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         cut = [self.cut(t) for t in texts]
-        if len(self.known) > _REMEMBERED:
-            self.known = {}
+        if len(self.known) > _REMEMBERED // 2:  # words that come again are kept
+            self.older, self.known = self.known, {}
         new = set().union(*cut).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((word, self.older[word]) for word in again)
+        new -= again
         self.learn(new)
         out = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in cut]
         for word in new:

@@ -110,6 +110,29 @@ def test_forgetting_changes_nothing(monkeypatch, vocabulary, library):
         assert encoder.texts([text])[0].tolist() == library.encode(text)
 
 
+def test_words_that_come_again_are_not_learned_again(monkeypatch, vocabulary, library):
+    monkeypatch.setattr(pieces, "_REMEMBERED", 40)
+    encoder, learned = pieces.Encoder(vocabulary), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: (learned.extend(words), learn(words)))
+    for i in range(100):
+        text = f"the usual words {i}x {i}y {i}z"
+        assert encoder.texts([text])[0].tolist() == library.encode(text)
+        assert len(encoder.known) + len(encoder.older) <= 60
+    assert all(learned.count("▁" + word) == 1 for word in ("the", "usual", "words"))
+
+
+def test_a_state_tries_the_pieces_that_a_text_ends_in(vocabulary):
+    encoder = pieces.Encoder(vocabulary)
+    for text in ["▁international", "▁日本語のテキスト", "aaaa\U0010ffff=\U0010ffff", "▁the▁the"]:
+        state = encoder.states[""]
+        for end, letter in enumerate(text, 1):
+            state = state[2].get(letter) or encoder.step(state, letter)
+            ends = [text[at:end] for at in range(end - 1) if text[at:end] in vocabulary.codes]
+            assert [piece for _, piece in state[1]] == [*ends, letter]
+            assert all(n == len(piece) for n, piece in state[1])
+
+
 def test_decoding_odd_ids(frame, vocabulary, spark):
     rows = frame([(1, [None, -1, 10 ** 6, 0]), (2, None), (3, []), (4, [vocabulary.byte_ids[255]])], "doc_id bigint, ids array<int>")
     got = {r["doc_id"]: r["decoded"] for r in pieces.decode(rows, vocabulary).collect()}
