@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.llm.blocks import blocks
-from tallyspan.llm.components import components
+from tallyspan.llm.components import components, joined
 from tallyspan.llm.tables import cut, extended, few
 from tallyspan.llm.words import BY_SPACE_LOWER, Hasher, encode, mix, spans
 
@@ -36,6 +36,9 @@ _BLOCK_BYTES = 1_000_000
 # Fingerprints of pairs at the similarity asked for differ by more bits than the mean and so
 # many deviations in 3 of 10 million pairs; texts of fewer shingles are not judged by them.
 _DEVIATIONS, _FEW_SHINGLES = 5.0, 64
+# Tables of keys meet tables as narrow as they are: to move both costs less than a copy of a
+# long one in the driver and in each executor.
+_FEW_KEYS = 200_000
 _SLACK = 1e-6  # of products with a similarity, whose rounding must lose no pair
 
 
@@ -311,8 +314,8 @@ def _may_be_alike(similarity: float, words_bits: int) -> Column:
     return sizes & ((F.least("na", "nb") < _FEW_SHINGLES) | (apart <= math.ceil(most)))
 
 
-def _accepted(left: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) of ``left`` (a, b, bits), and the pairs of rows that have none yet.
+def _accepted(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of ``left`` (a, b, bits).
 
     Each a meets its nearest candidate, and in further rounds the next, as long as a round
     links a good part of the rows that meet one.
@@ -323,9 +326,9 @@ def _accepted(left: DataFrame, sets: DataFrame, similarity: float) -> tuple[Data
         tried = cut(left.groupBy("a").agg(nearest))
         good = cut(_verified(tried, sets, similarity))
         links = links.union(good)
+        if good.count() * 10 <= tried.count():
+            return cut(links)
         left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
-        if good.count() * 10 < tried.count() or left.isEmpty():
-            return cut(links), left
 
 
 def _mixed(table: DataFrame, reached: DataFrame) -> DataFrame:
@@ -336,7 +339,7 @@ def _mixed(table: DataFrame, reached: DataFrame) -> DataFrame:
     placed = table.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = cut(placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"))
-    return cut(placed.join(few(mixed), "key", "left_semi"))
+    return cut(placed.join(few(mixed, _FEW_KEYS), "key", "left_semi"))
 
 
 def _rare(sets: DataFrame, similarity: float) -> DataFrame:
@@ -349,7 +352,7 @@ def _rare(sets: DataFrame, similarity: float) -> DataFrame:
     """
     each = sets.select(F.col("__row").alias("node"), F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
     common = cut(each.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
-    ranked = each.join(few(common), "key").groupBy("node", "n").agg(
+    ranked = each.join(few(common, _FEW_KEYS), "key").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("held", "key"))).alias("common"))
     ranked = ranked.withColumn("own", F.col("n") - F.size("common"))
     most = F.col("n") - F.ceil(similarity * F.col("n") - _SLACK).cast("int") + 1 - F.col("own")
@@ -445,27 +448,31 @@ def similar_groups(
 
     table = nodes.select("node", F.explode("keys").alias("key"))
     shared = cut(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    table = cut(table.join(few(shared), "key", "left_semi"))
+    table = cut(table.join(few(shared, _FEW_KEYS), "key", "left_semi"))
     bucket = Window.partitionBy("key", F.pmod(F.xxhash64("node"), F.lit(salts))).orderBy("node")
     looked = table.select(
         "node", F.lag("node").over(bucket).alias("before"), F.first("node").over(bucket).alias("first"))
     near = measured(looked.select(
         F.col("node").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("b < a"))
-    links, _ = _accepted(near, _sets_of(_ends(near), docs, words), similarity)
-    open_rows = _mixed(table, components(links).toDF("node", "component"))
+    links = _accepted(near, _sets_of(_ends(near), docs, words), similarity)
+    reached = cut(components(links))
+    open_rows = _mixed(table, reached)
     sets = _sets_of(open_rows.select(F.col("node").alias("__row")).distinct(), docs, words)
-    rare, turn = _rare(sets, similarity), 0
+    rows, turn = _mixed(_rare(sets, similarity), reached), 0
     while True:
         turn += 1
-        rows = _mixed(rare, components(links).toDF("node", "component"))
         tried = cut(_beside(rows, similarity, turn, salts))
         good = cut(_verified(tried, sets, similarity))
-        links = cut(links.union(good))
-        if good.count() * 10 <= tried.count():
+        n_good = good.count()
+        if n_good:  # keys of one component stay so
+            reached = joined(reached, good)
+            rows = _mixed(rows.drop("component"), reached)
+        if n_good * 10 <= tried.count():
             break
-    left = cut(_across(_mixed(rare, components(links).toDF("node", "component")), similarity))
-    links = cut(links.union(_verified(left, sets, similarity)))
-    reached = components(links).toDF("node", "group")
+    last = cut(_verified(cut(_across(rows, similarity)), sets, similarity))
+    if not last.isEmpty():
+        reached = joined(reached, last)
+    reached = reached.toDF("node", "group")
     groups = nodes.join(reached, "node", "left").select(
         "same", F.coalesce("group", "node").alias("group"))
     return prints.select("__row", "same").join(groups, "same").select("__row", "group")

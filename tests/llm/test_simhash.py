@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tallyspan.llm import components as stars
 from tallyspan.llm import simhash
 from tallyspan.llm.components import components
 from tallyspan.llm.tables import with_row
@@ -71,6 +72,49 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components(frame.where("a < 0")).collect() == []
 
 
+def written(monkeypatch, module):
+    """What ``module`` cuts from now on."""
+    tables, cut = [], module.cut
+
+    def counted(*args):
+        tables.append(args)
+        return cut(*args)
+
+    monkeypatch.setattr(module, "cut", counted)
+    return tables
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    tables = written(monkeypatch, stars)
+    links = [(10, 3), (3, 11), (20, 21), (21, 20), (30, 30)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {3: 3, 10: 3, 11: 3, 20: 20, 21: 20}
+    assert len(tables) == 1
+    chain = spark.createDataFrame([(1, 2), (2, 3)], "a bigint, b bigint")
+    assert {r["component"] for r in components(chain).collect()} == {1}
+    assert len(tables) == 3
+
+
+def test_more_links_join_the_components_that_are_known(spark):
+    draw = random.Random(5)
+    for n in (0, 10, 60):
+        first = [(draw.randrange(200), draw.randrange(200)) for _ in range(60)]
+        more = [(draw.randrange(260), draw.randrange(260)) for _ in range(n)]
+        frame = lambda links: spark.createDataFrame(links, "a bigint, b bigint")
+        got = stars.joined(components(frame(first)).localCheckpoint(), frame(more)).collect()
+        linked = {r["node"]: r["component"] for r in components(frame(first + more)).collect()}
+        assert {r["node"]: r["component"] for r in got} == linked
+        assert len(got) == len(linked)
+
+
+def test_groups_are_found_in_few_jobs(frame, monkeypatch):
+    texts = [f"{' '.join(f'w{i}x{j}' for j in range(60))} {end}" for i in range(30) for end in ("a", "b", "c")]
+    docs = with_row(frame(list(enumerate(texts)), DOCS))
+    tables = written(monkeypatch, stars)
+    assert simhash.similar_groups(docs).select("group").distinct().count() == 30
+    assert len(tables) <= 4
+
+
 def texts_with_copies():
     draw = random.Random(2)
     word = lambda: "".join(draw.choice("abcdef") for _ in range(4))
