@@ -293,7 +293,11 @@ def _sets_of(needed: DataFrame, docs: DataFrame, words: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b) of rows whose sets of shingles overlap by ``similarity``."""
+    """The ``pairs`` (a, b), a table, of rows whose sets of shingles overlap by ``similarity``.
+
+    Only the sets of these rows are moved, however many others there are.
+    """
+    sets = sets.join(few(cut(_ends(pairs))), "__row", "left_semi")
     both = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
@@ -331,12 +335,18 @@ def _accepted(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         left = cut(left.join(good.select("a"), "a", "left_anti").join(tried, ["a", "b"], "left_anti"))
 
 
+def _placed(table: DataFrame, reached: DataFrame) -> DataFrame:
+    """``table`` (node) with ``component``, of ``reached`` (node, component) or the node itself."""
+    return table.join(few(reached, _FEW_KEYS), "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+
+
 def _mixed(table: DataFrame, reached: DataFrame) -> DataFrame:
     """(node, key, component): the rows of ``table`` (node, key) whose key holds several components.
 
     ``reached``: (node, component); a node without a link is its own component.
     """
-    placed = table.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = _placed(table, reached)
     mixed = cut(placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"))
     return cut(placed.join(few(mixed, _FEW_KEYS), "key", "left_semi"))
@@ -375,9 +385,11 @@ def _beside(rows: DataFrame, similarity: float, turn: int, salts: int) -> DataFr
     """(a, b), b < a: rows (node, key, at, n, component) and two others of a key, if in another component.
 
     One is the key's first by place, whose rarer shingles are the fewest: of a group of near
-    copies it is like the most others. The other is the one before in a random order.
+    copies it is like the most others. The other is the one before in a random order. Rows
+    are dealt out before the order is made, so that it is not moved with them.
     """
-    part = Window.partitionBy("key", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(salts)))
+    salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(salts))
+    rows, part = rows.withColumn("salt", salt).repartition("key", "salt"), Window.partitionBy("key", "salt")
     random = part.orderBy(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)))
     row = F.struct("node", "component", "n", "at")
     met = rows.select("node", "component", F.col("n").alias("na"), F.col("at").alias("ata"), F.array(
@@ -429,7 +441,8 @@ def similar_groups(
     keys, their rarest shingles, of which any two so similar share one at places that allow
     it. In passes each row meets, in every such key, two others, if still in another
     component, until few passes' pairs are links. Then every pair of one such key that is
-    still in two components is compared if the places of the shingle allow it.
+    still in two components is compared if the places of the shingle allow it. Keys of one
+    component are left out after passes with many links, and before that last comparison.
 
     Null texts and texts without words are one group; other columns are ignored; no
     rows give no rows.
@@ -458,18 +471,19 @@ def similar_groups(
     reached = cut(components(links))
     open_rows = _mixed(table, reached)
     sets = _sets_of(open_rows.select(F.col("node").alias("__row")).distinct(), docs, words)
-    rows, turn = _mixed(_rare(sets, similarity), reached), 0
+    n_open, rows, turn = sets.count(), _mixed(_rare(sets, similarity), reached).drop("component"), 0
     while True:
         turn += 1
-        tried = cut(_beside(rows, similarity, turn, salts))
+        tried = cut(_beside(_placed(rows, reached), similarity, turn, salts))
         good = cut(_verified(tried, sets, similarity))
         n_good = good.count()
-        if n_good:  # keys of one component stay so
+        if n_good:
             reached = joined(reached, good)
-            rows = _mixed(rows.drop("component"), reached)
+        if n_good * 10 > n_open:  # keys of one component stay so
+            rows = _mixed(rows, reached).drop("component")
         if n_good * 10 <= tried.count():
             break
-    last = cut(_verified(cut(_across(rows, similarity)), sets, similarity))
+    last = cut(_verified(cut(_across(_mixed(rows, reached), similarity)), sets, similarity))
     if not last.isEmpty():
         reached = joined(reached, last)
     reached = reached.toDF("node", "group")

@@ -271,6 +271,33 @@ def test_texts_of_one_template_that_are_not_alike_are_not_compared_pair_by_pair(
     assert sum(compared) < 10 * len(texts)
 
 
+def test_only_the_sets_of_pairs_are_moved(frame):
+    sets = frame([(i, [i // 2, 1000, 1001, 1002, 1003]) for i in range(400)], "__row bigint, shingles array<int>")
+    pairs = frame([(3, 2), (4, 3), (7, 6)], "a bigint, b bigint")
+    got = simhash._verified(pairs, sets, 0.8)
+    assert sorted(map(tuple, got.collect())) == [(3, 2), (7, 6)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2  # both sides
+
+
+def test_passes_with_few_links_do_not_look_through_all_keys(frame, monkeypatch):
+    draw = random.Random(47)
+    word = lambda: f"w{draw.randrange(10 ** 9)}"
+    texts = [" ".join(word() for _ in range(60)) for _ in range(400)]
+    docs = with_row(frame(list(enumerate(texts)), DOCS))
+    good = docs.sparkSession.createDataFrame([(1, 0)], "a bigint, b bigint")
+    sets = frame([(i, list(range(60))) for i in range(400)], "__row bigint, shingles array<int>")
+    passes, looked, links = [], [], iter([good] * 3 + [good.where("false")] * 9)
+    mixed = simhash._mixed
+    monkeypatch.setattr(simhash, "_sets_of", lambda *args: sets)
+    monkeypatch.setattr(simhash, "_accepted", lambda *args: good.where("false"))
+    monkeypatch.setattr(simhash, "_verified", lambda *args: next(links))
+    monkeypatch.setattr(simhash, "_beside", lambda *args: passes.append(args) or good)
+    monkeypatch.setattr(simhash, "_mixed", lambda *args: looked.append(args) or mixed(*args))
+    simhash.similar_groups(docs)
+    assert len(passes) == 4 and len(looked) == 3  # before, one more for each of the three
+
+
 def test_rare_shingles_find_every_similar_pair(frame):
     draw = random.Random(43)
     sets = []
